@@ -83,13 +83,16 @@ def pooled_groups(sessions: DataFrame, fine: str, coarse: str, min_n: int = 10,
 
 
 def progression_trend(sessions: DataFrame, group: Sequence[str], date_col: str = "workout_date_local",
-                      value: str = "working_e1rm_lb", min_points: int = 2) -> DataFrame:
-    """Per group, least-squares slope of ``value`` per day (G18); a line needs ``min_points``."""
+                      value: str = "working_e1rm_lb", min_points: int = 3) -> DataFrame:
+    """Per group, least-squares slope of ``value`` per day (G18). A line needs
+    ``min_points`` sessions on at least two distinct days (else the slope is undefined)."""
     d = sessions.where(F.col(value).isNotNull()).withColumn("__day", day_number(date_col).cast("double"))
-    return d.groupBy(*group).agg(
+    return (d.groupBy(*group).agg(
         F.regr_slope(F.col(value), F.col("__day")).alias("slope_per_day"),
         F.regr_intercept(F.col(value), F.col("__day")).alias("intercept"),
-        F.regr_count(F.col(value), F.col("__day")).cast("long").alias("n")).where(F.col("n") >= min_points)
+        F.regr_count(F.col(value), F.col("__day")).cast("long").alias("n"),
+        F.count_distinct("__day").alias("__days"))
+        .where((F.col("n") >= min_points) & (F.col("__days") >= 2)).drop("__days"))
 
 
 def reps_at_load(sets: DataFrame, group: Sequence[str], weight: str = "weight_lb", reps: str = "reps") -> DataFrame:

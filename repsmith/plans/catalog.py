@@ -598,7 +598,8 @@ def q_min_sample_pooling(spark, sf_dir):
 @query("progression_trend")
 def q_progression_trend(spark, sf_dir):
     t = A.progression_trend(_rel(spark, sf_dir), ["canonical_exercise", "training_era"])
-    return t.select("canonical_exercise", "training_era", r6("slope_per_day").alias("slope_per_day"), "n")
+    return t.select("canonical_exercise", "training_era",
+                    X.round_half_away("slope_per_day", 4).alias("slope_per_day"), "n")
 
 
 @query("reps_at_load")

@@ -529,9 +529,10 @@ FROM t GROUP BY 1, 2, 3""",
 
     "progression_trend": f"""
 SELECT canonical_exercise, training_era,
-       {rnd("regr_slope(working_e1rm_lb, CAST(date_diff('day', DATE '1970-01-01', workout_date_local) AS DOUBLE))", 6)} AS slope_per_day,
+       {rnd("regr_slope(working_e1rm_lb, CAST(date_diff('day', DATE '1970-01-01', workout_date_local) AS DOUBLE))", 4)} AS slope_per_day,
        CAST(count(*) AS BIGINT) AS n
-FROM fes WHERE working_e1rm_lb IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2""",
+FROM fes WHERE working_e1rm_lb IS NOT NULL GROUP BY 1, 2
+HAVING count(*) >= 3 AND count(DISTINCT workout_date_local) >= 2""",
 
     "reps_at_load": """
 SELECT workout_id, canonical_exercise, weight_lb AS top_weight_lb, reps AS reps_at_top_weight
