@@ -78,6 +78,25 @@ def trailing_range_max(df: DataFrame, keys: Sequence[str], date_col: str, values
     return _join_back(df, daily, [*keys, date_col])
 
 
+def day_level_features(df: DataFrame, keys: Sequence[str], date_col: str, id_col: str, gap_out: str,
+                       values: dict[str, str], lo: int = 90, hi: int = 1) -> DataFrame:
+    """:func:`gap_since_previous` and :func:`trailing_range_max` in one pass: one per-(key, day)
+    aggregate, one window over it (lag + range max), one join back."""
+    if hi < 1:
+        raise ValueError("the per-day rewrite needs a frame that excludes the current day (hi >= 1)")
+    keys = list(keys)
+    days = df.groupBy(*keys, date_col).agg(F.min(id_col).alias("__first_id"),
+                                           *[F.max(c).alias(f"__d_{c}") for c in values])
+    w_lag = Window.partitionBy(*keys).orderBy(date_col)
+    w_rng = Window.partitionBy(*keys).orderBy(day_number(date_col)).rangeBetween(-lo, -hi)
+    days = days.select(*keys, date_col, "__first_id", F.lag(date_col).over(w_lag).alias("__prev"),
+                       *[F.max(f"__d_{c}").over(w_rng).alias(o) for c, o in values.items()])
+    joined = _join_back(df, days, [*keys, date_col])
+    gap = F.when(F.col(id_col) == F.col("__first_id"),
+                 F.datediff(F.col(date_col), F.col("__prev"))).otherwise(F.lit(0))
+    return joined.withColumn(gap_out, gap.cast("long")).drop("__first_id", "__prev")
+
+
 def trailing_range_max_direct(df: DataFrame, keys: Sequence[str], date_col: str, values: dict[str, str],
                               lo: int = 90, hi: int = 1) -> DataFrame:
     """Row-level window form of :func:`trailing_range_max` (reference for tests)."""

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from repsmith.functions import scalars as X
 from repsmith.operators.joins import range_join
@@ -49,12 +48,30 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def era_seed(spark: SparkSession) -> DataFrame:
-    """The era seed as a typed DataFrame (3 rows by construction)."""
-    schema = T.StructType([T.StructField("era", T.StringType()), T.StructField("start_date", T.StringType()),
-                           T.StructField("end_date", T.StringType()), T.StructField("description", T.StringType())])
-    return (spark.createDataFrame(ERAS, schema)
-            .select("era", F.col("start_date").cast("date").alias("start_date"),
-                    F.col("end_date").cast("date").alias("end_date"), "description"))
+    """The era seed as a typed DataFrame (3 rows by construction).
+
+    Built as a SQL ``VALUES`` relation, so it lives in the plan (exact statistics, no
+    Python worker) rather than as an opaque Python-side RDD."""
+    return seed_frame(spark, ERAS, ["era STRING", "start_date DATE", "end_date DATE", "description STRING"])
+
+
+def seed_frame(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """Small fixed table -> LocalRelation with typed columns (``"name TYPE"`` specs)."""
+    names = [c.split()[0] for c in columns]
+    types = [c.split(None, 1)[1] for c in columns]
+
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, (int, float)):
+            return repr(v)
+        return "'" + str(v).replace("'", "''") + "'"
+
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in zip(names, types))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def set_type_of(returnflag: str = "l_returnflag", linestatus: str = "l_linestatus"):

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from repsmith.functions.scalars import has_estimated_load, supports_load_metrics
 from repsmith.operators.joins import zero_filled
 from repsmith.operators.rollups import exercise_session_rollup, workout_rollup
-from repsmith.operators.windows import gap_since_previous, pr_flag, relative_performance, trailing_range_max
+from repsmith.operators.windows import (day_level_features, gap_since_previous, pr_flag, relative_performance,
+                                       trailing_range_max)
 
 FCT_SET_COLUMNS = [
     "set_key", "workout_id", "workout_date_local", "workout_hour_local", "training_era",
@@ -57,7 +58,9 @@ def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: S
     s = sets.select("workout_id", "set_key", "exercise_index", "set_index", "exercise_template_id", "set_type",
                     "is_working_set", "is_warmup", "is_to_failure", "is_dropset", "weight_lb", "weight_kg",
                     "reps", "rpe", "duration_seconds", "distance_meters")
-    out = s.join(w, "workout_id", "inner").join(d, "exercise_template_id", "left")
+    # fact-to-fact: shuffle both on workout_id and build the hash table from the
+    # unique-key workout side; never broadcast either (both grow with the data).
+    out = s.join(w.hint("shuffle_hash"), "workout_id", "inner").join(d, "exercise_template_id", "left")
     return out.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:])
 
 
@@ -81,28 +84,49 @@ def exercise_sessions(fct_set_df: DataFrame, entity_cols: Sequence[str] = ()) ->
     return exercise_session_rollup(fct_set_df, extra_group_cols=entity_cols)
 
 
-def rest_intervals(sessions: DataFrame, fct_workout_df: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
-    """Days since the last exposure to the same exercise (W2) and since the last workout.
-
-    With no entity column the workout gap is one global sequence (as in a single-athlete
-    log); it is computed on the per-day table, so no task holds all workouts.
-    """
-    s = gap_since_previous(sessions, [*entity_cols, "canonical_exercise"], "workout_date_local",
-                           "workout_id", "days_since_last_exposure")
-    wg = gap_since_previous(fct_workout_df.select("workout_id", *entity_cols, "workout_date_local"),
+def workout_gaps(live_workouts: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """Days since the previous live workout (W3). ``live_workouts`` holds exactly the rows of
+    fct_workout (non-deleted workouts, with or without sets), so the set rollup is not needed.
+    With no entity column this is one global sequence, computed on the per-day table so no
+    task holds all workouts."""
+    wg = gap_since_previous(live_workouts.select("workout_id", *entity_cols, "workout_date_local"),
                             list(entity_cols), "workout_date_local", "workout_id", "days_since_last_workout")
-    return s.join(wg.select("workout_id", "days_since_last_workout"), "workout_id", "left")
+    return wg.select("workout_id", "days_since_last_workout")
 
 
-def fct_exercise_session(rest: DataFrame, entity_cols: Sequence[str] = (), partition_extra: Sequence[str] = (),
-                         lo: int = 90, hi: int = 1, require_value: bool = False) -> DataFrame:
+def rest_intervals(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """Days since the last exposure to the same exercise (W2) and since the last workout."""
+    s = gap_since_previous(sessions, [*entity_cols, "canonical_exercise"], "workout_date_local",
+                           "workout_id", "days_since_last_exposure")
+    return s.join(workout_gaps(live_workouts, entity_cols), "workout_id", "left")
+
+
+def session_features(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = (),
+                     partition_extra: Sequence[str] = (), lo: int = 90, hi: int = 1) -> DataFrame:
+    """Rest intervals and trailing 90-day bests together: one per-(exercise, day) table
+    carries both the lag and the range max, so the sessions are aggregated and joined
+    back once. With ``partition_extra`` the baseline partition differs from the gap
+    partition, so the two are computed separately."""
+    keys = [*entity_cols, "canonical_exercise"]
+    vals = {"working_e1rm_lb": "trailing_90d_max_e1rm_lb", "working_e1rm_kg": "trailing_90d_max_e1rm_kg"}
+    if partition_extra:
+        r = gap_since_previous(sessions, keys, "workout_date_local", "workout_id", "days_since_last_exposure")
+        r = trailing_range_max(r, [*entity_cols, *partition_extra, "canonical_exercise"], "workout_date_local",
+                               vals, lo=lo, hi=hi)
+    else:
+        r = day_level_features(sessions, keys, "workout_date_local", "workout_id", "days_since_last_exposure",
+                               vals, lo=lo, hi=hi)
+    return r.join(workout_gaps(live_workouts, entity_cols), "workout_id", "left")
+
+
+def fct_exercise_session(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = (),
+                         partition_extra: Sequence[str] = (), lo: int = 90, hi: int = 1,
+                         require_value: bool = False) -> DataFrame:
     """Session fact (P10): trailing 90-day best (W4), relative performance (W5), PR flag.
 
     ``partition_extra`` (e.g. ``["training_era"]``) keeps baselines from crossing eras.
     """
-    t = trailing_range_max(rest, [*entity_cols, *partition_extra, "canonical_exercise"], "workout_date_local",
-                           {"working_e1rm_lb": "trailing_90d_max_e1rm_lb",
-                            "working_e1rm_kg": "trailing_90d_max_e1rm_kg"}, lo=lo, hi=hi)
+    t = session_features(sessions, live_workouts, entity_cols, partition_extra, lo, hi)
     return t.select(
         "workout_id", *entity_cols, "workout_date_local", "workout_hour_local", "training_era",
         "canonical_exercise", "movement_pattern", "working_e1rm_lb", "working_e1rm_kg",
@@ -138,8 +162,9 @@ def build_marts(workouts: DataFrame, sets: DataFrame, templates: DataFrame, cros
     fs = fct_set(sets, workouts, dim, entity_cols)
     fw = fct_workout(workouts, fs, entity_cols)
     sess = exercise_sessions(fs, entity_cols)
-    rest = rest_intervals(sess, fw, entity_cols)
-    fes = fct_exercise_session(rest, entity_cols)
+    live = workouts.where(~F.col("is_deleted"))
+    rest = rest_intervals(sess, live, entity_cols)
+    fes = fct_exercise_session(sess, live, entity_cols)
     return {"dim_exercise": dim, "fct_set": fs, "fct_workout": fw, "int_exercise_sessions": sess,
             "int_exercise_rest_intervals": rest, "fct_exercise_session": fes,
             "obt_sets": obt_sets(fs, fw, fes)}
