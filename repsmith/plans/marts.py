@@ -64,14 +64,18 @@ def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: S
     return out.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:])
 
 
-def fct_workout(workouts: DataFrame, fct_set_df: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
-    """Workout fact (P9, A4, J6): live workouts with zero-filled set rollups."""
+def fct_workout(workouts: DataFrame, sets: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """Workout fact (P9, A4, J6): live workouts with zero-filled set rollups.
+
+    The rollup reads only set columns, so it is taken over the staging sets (or fct_set,
+    same result): the left join from live workouts drops sets of deleted workouts, which
+    is exactly the inner join fct_set applies, without re-running the dimension join."""
     w = workouts.where(~F.col("is_deleted")).select(
         "workout_id", *entity_cols, "title", "routine_id", "workout_date_local",
         F.col("workout_hour_local").alias("hour_local"), "part_of_day", "day_of_week",
         "day_of_week_number", "is_weekend", F.col("duration_min").alias("session_duration"),
         "training_era", "created_at", "updated_at")
-    m = workout_rollup(fct_set_df)
+    m = workout_rollup(sets)
     out = zero_filled(w, m, "workout_id", ["total_exercises", "total_sets", "total_working_sets"])
     return out.select("workout_id", *entity_cols, "title", "routine_id", "workout_date_local", "hour_local",
                       "part_of_day", "day_of_week", "day_of_week_number", "is_weekend", "session_duration",
@@ -160,7 +164,7 @@ def build_marts(workouts: DataFrame, sets: DataFrame, templates: DataFrame, cros
     """All marts, lazily, in dependency order."""
     dim = dim_exercise(templates, crosswalk)
     fs = fct_set(sets, workouts, dim, entity_cols)
-    fw = fct_workout(workouts, fs, entity_cols)
+    fw = fct_workout(workouts, sets, entity_cols)
     sess = exercise_sessions(fs, entity_cols)
     live = workouts.where(~F.col("is_deleted"))
     rest = rest_intervals(sess, live, entity_cols)
