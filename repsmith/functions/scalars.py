@@ -84,6 +84,17 @@ def epley(weight: ColumnOrName, reps: ColumnOrName) -> Column:
             .otherwise(w * (F.lit(1.0) + r.cast("double") / F.lit(30.0))))
 
 
+def effective_load(weight_kg: ColumnOrName, semantics: ColumnOrName, bodyweight_kg: float | Column) -> Column:
+    """Load actually moved (designed, G4): external load as is; added to bodyweight ->
+    bodyweight + weight; assistance -> bodyweight - weight; no weight -> bodyweight."""
+    w, s = as_col(weight_kg).cast("double"), as_col(semantics)
+    bw = bodyweight_kg if isinstance(bodyweight_kg, Column) else F.lit(float(bodyweight_kg))
+    return (F.when(s == "added_to_bodyweight", bw + F.coalesce(w, F.lit(0.0)))
+            .when(s == "assistance_not_convertible", bw - F.coalesce(w, F.lit(0.0)))
+            .when(s == "none", bw)
+            .otherwise(w))
+
+
 def to_local(ts_utc: ColumnOrName, tz: str = DEFAULT_LOCAL_TZ) -> Column:
     """UTC instant (TIMESTAMP, or TIMESTAMP_NTZ read as UTC) -> naive local wall time (TIMESTAMP_NTZ).
 

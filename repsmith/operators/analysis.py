@@ -158,3 +158,60 @@ def effort_summary(fct_set: DataFrame, by: Sequence[str] = ("training_era",), th
         F.count(F.lit(1)).cast("long").alias("working_sets"),
         F.avg(F.when(F.col("rpe").isNotNull(), 1.0).otherwise(0.0)).alias("rpe_coverage"),
         F.avg(F.when(F.col("rpe") < threshold, 1.0).when(F.col("rpe").isNotNull(), 0.0)).alias("share_low_effort"))
+
+
+def display_limit(df: DataFrame, n: int = 20) -> DataFrame:
+    """Display limit (O2): ``n <= 0`` means all rows. Pair with ``df.count()`` for "n of m"."""
+    return df if n <= 0 else df.limit(n)
+
+
+def exists(df: DataFrame) -> bool:
+    """Existence probe (O3): reads at most one row."""
+    return not df.isEmpty()
+
+
+def muscle_bridge(templates: DataFrame) -> DataFrame:
+    """Template -> muscle bridge with weights that sum to 1 per template (G12), so a set is
+    not counted once per muscle: the primary muscle alone gets 1; with n secondaries the
+    primary gets 0.5 and each secondary 0.5 / n."""
+    sec = F.from_json(F.col("secondary_muscle_groups"), "array<string>")
+    n = F.coalesce(F.size(sec), F.lit(0))
+    n = F.when(n < 0, F.lit(0)).otherwise(n)
+    prim = templates.where(F.col("primary_muscle_group").isNotNull()).select(
+        "exercise_template_id", F.col("primary_muscle_group").alias("muscle"), F.lit("primary").alias("role"),
+        F.when(n > 0, F.lit(0.5)).otherwise(F.lit(1.0)).alias("weight"))
+    secs = templates.select("exercise_template_id", F.explode(sec).alias("muscle"), n.alias("__n")).select(
+        "exercise_template_id", "muscle", F.lit("secondary").alias("role"),
+        (F.lit(0.5) / F.col("__n")).alias("weight"))
+    return prim.unionByName(secs)
+
+
+def routine_adherence(workouts: DataFrame, workout_exercises: DataFrame, routine_exercises: DataFrame) -> DataFrame:
+    """Planned vs performed exercises per workout that follows a routine (G13): planned,
+    performed, matched (by template) counts."""
+    w = workouts.where(F.col("routine_id").isNotNull()).select("workout_id", "routine_id")
+    done = workout_exercises.select("workout_id", "exercise_template_id").distinct()
+    plan = routine_exercises.select("routine_id", "exercise_template_id").distinct()
+    planned = w.join(plan, "routine_id")
+    matched = planned.join(done, ["workout_id", "exercise_template_id"], "left_semi")
+    cnt = lambda d, name: d.groupBy("workout_id").agg(F.count(F.lit(1)).cast("long").alias(name))
+    out = w.join(cnt(planned, "planned"), "workout_id", "left") \
+        .join(cnt(done.join(w.select("workout_id"), "workout_id", "left_semi"), "performed"), "workout_id", "left") \
+        .join(cnt(matched, "matched"), "workout_id", "left")
+    for c in ("planned", "performed", "matched"):
+        out = out.withColumn(c, F.coalesce(c, F.lit(0).cast("long")))
+    return out
+
+
+def flag_periods(df: DataFrame, date_col: str, periods: DataFrame, flag: str = "is_disrupted",
+                 max_broadcast_rows: int = 10_000) -> DataFrame:
+    """Flag rows whose date falls in any listed period (G15). A semi join and an anti join
+    against the broadcast period list give every input row exactly once, so overlapping
+    periods never duplicate rows. The period list must be proven small."""
+    from repsmith.operators.joins import has_at_most
+    if not has_at_most(periods, max_broadcast_rows):
+        raise ValueError("flag_periods expects a bounded period list; use range_join for large ones")
+    p = F.broadcast(periods.select(F.col("start_date").alias("__s"), F.col("end_date").alias("__e")))
+    cond = (F.col(date_col) >= F.col("__s")) & (F.col(date_col) <= F.col("__e"))
+    return (df.join(p, cond, "left_semi").withColumn(flag, F.lit(True))
+            .unionByName(df.join(p, cond, "left_anti").withColumn(flag, F.lit(False))))

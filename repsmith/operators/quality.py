@@ -70,6 +70,29 @@ def reconcile(expected: DataFrame, actual: DataFrame, keys: Sequence[str] | str,
     return j.where(~same)
 
 
+def compare_counts(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+    """Two histograms side by side (full outer join on the bucket): key, expected_n,
+    actual_n, matches. A bucket present on one side only counts 0 on the other (R4, R5)."""
+    e = expected.select(F.col(key), F.col("n").cast("long").alias("expected_n"))
+    a = actual.select(F.col(key), F.col("n").cast("long").alias("actual_n"))
+    j = e.join(a, key, "full_outer")
+    j = j.withColumn("expected_n", F.coalesce("expected_n", F.lit(0).cast("long"))) \
+         .withColumn("actual_n", F.coalesce("actual_n", F.lit(0).cast("long")))
+    return j.withColumn("matches", F.col("expected_n") == F.col("actual_n"))
+
+
+def count_checks(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(check, expected, actual, matches) for named pairs of 1-row, 1-column frames."""
+    out = None
+    for name, (e, a) in pairs.items():
+        ee = e.select(F.col(e.columns[0]).cast("long").alias("expected"))
+        aa = a.select(F.col(a.columns[0]).cast("long").alias("actual"))
+        part = ee.crossJoin(aa).select(F.lit(name).alias("check"), "expected", "actual",
+                                       F.col("expected").eqNullSafe(F.col("actual")).alias("matches"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def unit_provenance(weights_lb: DataFrame, col: str = "weight_lb") -> DataFrame:
     """Classify each distinct weight: on a 0.25 lb step (entered in pounds), else on a
     0.5 kg step (entered in kilograms), else unexplained (R8)."""

@@ -662,3 +662,86 @@ def q_filter_values(spark, sf_dir):
 @query("table_inventory")
 def q_table_inventory(spark, sf_dir):
     return table_inventory({t: D.load(spark, sf_dir, t) for t in D.TABLES})
+
+
+# ---------------------------------------------------------------- ingest compositions
+
+def _feed_records(spark, sf_dir) -> DataFrame:
+    """The events table as a change feed of per-user entity documents, in delivery order."""
+    e = _events(spark, sf_dir)
+    iso = X.iso_utc_text(F.col("ts").cast("timestamp"))
+    upd = F.to_json(F.struct(F.lit("updated").alias("type"), F.struct(
+        F.col("user_id").alias("id"), F.col("event_type").alias("title"), iso.alias("updated_at")).alias("workout")))
+    dele = F.to_json(F.struct(F.lit("deleted").alias("type"), F.col("user_id").alias("id"), iso.alias("deleted_at")))
+    rec = F.when(F.col("event_type") == D.FEED_DELETE_TYPE, dele).otherwise(upd)
+    return e.select(rec.alias("record"), F.col("ts").alias("page"), F.col("event_id").alias("pos"))
+
+
+@query("feed_entity_refresh")
+def q_feed_entity_refresh(spark, sf_dir):
+    from repsmith.plans.ingest import entities_from_feed
+    ent = entities_from_feed(_feed_records(spark, sf_dir))
+    return ent.select("record_id", J.json_text("record", "$.title").alias("title"),
+                      J.json_text("record", "$.updated_at").alias("updated_at"))
+
+
+@query("snapshot_ingest")
+def q_snapshot_ingest(spark, sf_dir):
+    from repsmith.plans.ingest import identify, snapshot_to_land
+    e = _events(spark, sf_dir)
+    doc = F.to_json(F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("type"),
+                             J.json_text("props", "$.k").cast("long").alias("k")))
+    fetched = e.select(doc.alias("record"), F.floor(F.col("event_id") / 100).alias("page"),
+                       (F.col("event_id") - F.floor(F.col("event_id") / 100) * 100).alias("pos"))
+    stored = (identify(e.where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
+                       .select(doc.alias("record"), F.col("ts").cast("timestamp").alias("ingested_at"))))
+    out = snapshot_to_land(fetched, stored)
+    return out.select("record_id", J.json_text("record", "$.type").alias("entity_type"),
+                      J.json_text("record", "$.k").cast("long").alias("k"))
+
+
+# ---------------------------------------------------------------- reconciliation
+
+@query("reconcile_counts")
+def q_reconcile_counts(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    o, li = D.load(spark, sf_dir, "orders"), D.load(spark, sf_dir, "lineitem")
+    cnt = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
+    return Q.count_checks({
+        "workouts": (cnt(o), cnt(m["fct_workout"])),
+        "sets": (cnt(li), cnt(m["fct_set"])),
+        "working_sets": (cnt(li.where(F.col("l_returnflag") != "R")),
+                         m["fct_workout"].agg(F.sum("total_working_sets").alias("n"))),
+        "exercises": (li.agg(F.count_distinct("l_orderkey", "l_partkey").alias("n")),
+                      m["fct_workout"].agg(F.sum("total_exercises").alias("n"))),
+    })
+
+
+@query("set_type_reconcile")
+def q_set_type_reconcile(spark, sf_dir):
+    li = D.load(spark, sf_dir, "lineitem")
+    expected = li.groupBy(D.set_type_of().alias("set_type")).agg(F.count(F.lit(1)).alias("n"))
+    actual = _marts(spark, sf_dir)["fct_set"].groupBy("set_type").agg(F.count(F.lit(1)).alias("n"))
+    return Q.compare_counts(expected, actual, "set_type")
+
+
+@query("local_time_reconcile")
+def q_local_time_reconcile(spark, sf_dir):
+    from repsmith.functions.independent import local_parts_independent
+    e = _events(spark, sf_dir)
+    native = e.groupBy(X.local_hour(X.to_local("ts", D.LOCAL_TZ)).alias("local_hour")).agg(F.count(F.lit(1)).alias("n"))
+    indep = (e.select(local_parts_independent("ts", D.LOCAL_TZ).alias("p"))
+             .groupBy(F.col("p.local_hour").alias("local_hour")).agg(F.count(F.lit(1)).alias("n")))
+    return Q.compare_counts(native, indep, "local_hour")
+
+
+# ---------------------------------------------------------------- designed analyses
+
+DISRUPTED_PERIODS = [("1996-06-01", "1996-08-31"), ("1999-12-15", "2000-01-15")]
+
+
+@query("disrupted_period_flags")
+def q_disrupted_period_flags(spark, sf_dir):
+    periods = D.seed_frame(spark, DISRUPTED_PERIODS, ["start_date DATE", "end_date DATE"])
+    w = D.workouts(spark, sf_dir).select(F.col("workout_id").alias("o_orderkey"), "workout_date_local")
+    return A.flag_periods(w, "workout_date_local", periods)

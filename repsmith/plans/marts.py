@@ -172,3 +172,10 @@ def build_marts(workouts: DataFrame, sets: DataFrame, templates: DataFrame, cros
     return {"dim_exercise": dim, "fct_set": fs, "fct_workout": fw, "int_exercise_sessions": sess,
             "int_exercise_rest_intervals": rest, "fct_exercise_session": fes,
             "obt_sets": obt_sets(fs, fw, fes)}
+
+
+def dim_routine(routines: DataFrame, folders: DataFrame) -> DataFrame:
+    """Routine dimension with its folder (designed, G2): left join, a routine without a
+    folder keeps null folder attributes."""
+    f = folders.select("folder_id", F.col("title").alias("folder_title"), "folder_index")
+    return routines.select("routine_id", "title", "folder_id", "notes", "exercise_count").join(f, "folder_id", "left")

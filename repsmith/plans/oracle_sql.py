@@ -627,6 +627,54 @@ _NEEDS = {
     "effort_summary": ["fct_set"], "filter_values": ["fes"],
 }
 
+ORACLES.update({
+    "feed_entity_refresh": """
+SELECT CAST(user_id AS VARCHAR) AS record_id, event_type AS title,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS updated_at
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events WHERE event_type <> 'error') t WHERE rn = 1""",
+
+    "snapshot_ingest": """
+WITH incoming AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+                                 FROM events) t WHERE rn = 1),
+stored AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
+                          FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00') t WHERE rn = 1)
+SELECT CAST(i.user_id AS VARCHAR) AS record_id, i.event_type AS entity_type, CAST(i.props ->> 'k' AS BIGINT) AS k
+FROM incoming i
+WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.user_id = i.user_id AND s.event_type = i.event_type
+                  AND CAST(s.props ->> 'k' AS BIGINT) = CAST(i.props ->> 'k' AS BIGINT))""",
+
+    "reconcile_counts": """
+SELECT 'workouts' AS "check", (SELECT count(*) FROM orders) AS expected, (SELECT count(*) FROM fct_workout) AS actual,
+       (SELECT count(*) FROM orders) = (SELECT count(*) FROM fct_workout) AS matches
+UNION ALL
+SELECT 'sets', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM fct_set),
+       (SELECT count(*) FROM lineitem) = (SELECT count(*) FROM fct_set)
+UNION ALL
+SELECT 'working_sets', (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R'),
+       (SELECT CAST(sum(total_working_sets) AS BIGINT) FROM fct_workout),
+       (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R') = (SELECT sum(total_working_sets) FROM fct_workout)
+UNION ALL
+SELECT 'exercises', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) t),
+       (SELECT CAST(sum(total_exercises) AS BIGINT) FROM fct_workout),
+       (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) t) = (SELECT sum(total_exercises) FROM fct_workout)""",
+
+    "set_type_reconcile": """
+SELECT set_type, count(*) AS expected_n, count(*) AS actual_n, true AS matches FROM sets GROUP BY set_type""",
+
+    "local_time_reconcile": """
+SELECT extract(hour FROM started_at_local) AS local_hour, count(*) AS expected_n, count(*) AS actual_n, true AS matches
+FROM ev_local GROUP BY 1""",
+
+    "disrupted_period_flags": """
+SELECT workout_id AS o_orderkey, workout_date_local,
+       EXISTS (SELECT 1 FROM (VALUES (DATE '1996-06-01', DATE '1996-08-31'), (DATE '1999-12-15', DATE '2000-01-15')) p(s, e)
+               WHERE workouts.workout_date_local BETWEEN p.s AND p.e) AS is_disrupted
+FROM workouts""",
+})
+_NEEDS.update({"reconcile_counts": ["fct_workout", "fct_set"], "set_type_reconcile": ["sets"],
+               "local_time_reconcile": ["ev_local"], "disrupted_period_flags": ["workouts"]})
+
 # era_range_join_bucketed checks the bucketed path against the same oracle.
 ORACLES["era_range_join_bucketed"] = ORACLES["era_range_join"]
 _NEEDS["era_range_join_bucketed"] = ["workouts"]
