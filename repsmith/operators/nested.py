@@ -1,9 +1,10 @@
 """Nested-document operators.
 
-Documents stay raw JSON text until exploded: ``from_json(..., 'array<string>')``
-keeps each element verbatim (UTC offsets included), and the fields are read with
-``get_json_object`` after the explode, the same cast-on-read contract as the landing
-layer. ``explode`` (not ``explode_outer``) gives inner-unnest semantics: a null or
+Two shapes: ``explode_json_array`` keeps each element as raw JSON text (for generic,
+schema-less documents), and ``flatten_two_levels`` parses a document once against a
+declared schema whose leaves are strings, so every value keeps its exact text (UTC
+offsets included) and is cast after the explode -- one parse per record instead of one
+per field. ``explode`` (not ``explode_outer``) gives inner-unnest semantics: a null or
 empty array drops its parent row.
 """
 
@@ -28,22 +29,42 @@ def explode_json_array(df: DataFrame, doc: ColumnOrName, path: str, out: str,
     return df.select("*", gen.alias(out))
 
 
+def _name(path: str) -> str:
+    if not path.startswith("$.") or "." in path[2:] or "[" in path:
+        raise ValueError(f"only top-level member paths like '$.name' are supported here: {path}")
+    return path[2:]
+
+
+def _ddl(fields: dict[str, tuple[str, str]], child: tuple[str, str] | None = None) -> str:
+    """struct<...> DDL with every leaf read as STRING (raw text, cast after the parse)."""
+    parts = [f"`{_name(p)}`: string" for p, _ in fields.values()]
+    if child:
+        parts.append(f"`{_name(child[0])}`: array<{child[1]}>")
+    return "struct<" + ", ".join(dict.fromkeys(parts)) + ">"
+
+
 def flatten_two_levels(df: DataFrame, doc: str, parent_fields: dict[str, tuple[str, str]],
                        level1_path: str, level1_fields: dict[str, tuple[str, str]],
                        level2_path: str, level2_fields: dict[str, tuple[str, str]],
                        keep: Sequence[str] = ()) -> DataFrame:
     """Document -> level-1 elements -> level-2 elements, keeping parent keys.
 
-    ``*_fields`` map output name -> (json path inside that level, Spark type). The
-    document is parsed once per level; casts happen after both explodes.
+    ``*_fields`` map output name -> (``$.member`` inside that level, Spark type). The
+    document is parsed once with ``from_json`` against a declared schema whose leaves are
+    strings (numbers keep their exact text, nothing is inferred), both arrays are exploded
+    (inner: a null or empty array drops its parent), and leaves are cast at the end.
     """
-    l1 = explode_json_array(df.select(*keep, doc), doc, level1_path, "__l1")
-    l2 = explode_json_array(l1, "__l1", level2_path, "__l2")
+    l2 = _ddl(level2_fields)
+    l1 = _ddl(level1_fields, (level2_path, l2))
+    root = _ddl(parent_fields, (level1_path, l1))
+    parsed = df.select(*keep, F.from_json(F.col(doc), root).alias("__d"))
+    e1 = parsed.select(*keep, "__d", F.explode(F.col(f"__d.{_name(level1_path)}")).alias("__l1"))
+    e2 = e1.select(*keep, "__d", "__l1", F.explode(F.col(f"__l1.{_name(level2_path)}")).alias("__l2"))
     cols = [F.col(k) for k in keep]
-    cols += [F.get_json_object(F.col(doc), p).try_cast(t).alias(n) for n, (p, t) in parent_fields.items()]
-    cols += [F.get_json_object(F.col("__l1"), p).try_cast(t).alias(n) for n, (p, t) in level1_fields.items()]
-    cols += [F.get_json_object(F.col("__l2"), p).try_cast(t).alias(n) for n, (p, t) in level2_fields.items()]
-    return l2.select(*cols)
+    cols += [F.col(f"__d.{_name(p)}").try_cast(t).alias(n) for n, (p, t) in parent_fields.items()]
+    cols += [F.col(f"__l1.{_name(p)}").try_cast(t).alias(n) for n, (p, t) in level1_fields.items()]
+    cols += [F.col(f"__l2.{_name(p)}").try_cast(t).alias(n) for n, (p, t) in level2_fields.items()]
+    return e2.select(*cols)
 
 
 def nested_length_sum(doc: ColumnOrName, level1_path: str, level2_path: str) -> Column:

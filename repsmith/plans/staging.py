@@ -1,9 +1,11 @@
 """Staging models from landed JSON.
 
 Each staging model starts from the latest version of every record (aggregate-based
-latest-per-key, ties broken by content hash so the winner is deterministic, B6) and
-reads its fields with ``get_json_object`` + explicit casts. Workouts are parsed once;
-exercises and sets explode from the same latest frame.
+latest-per-key, ties broken by content hash so the winner is deterministic, B6).
+Workout documents are parsed once with ``from_json`` against a declared schema whose
+leaves are text (offsets and number spellings survive), exercises and sets explode from
+that one struct, and every leaf is cast explicitly. Small documents (templates,
+routines, events) read single members with ``get_json_object``.
 """
 
 from __future__ import annotations
@@ -15,7 +17,26 @@ from repsmith.functions import scalars as X
 from repsmith.functions.json import json_array_len, json_text
 from repsmith.operators.cdc import latest_by_key, soft_delete_flags
 from repsmith.operators.joins import range_join
-from repsmith.operators.nested import explode_json_array
+
+
+# Declared document schema: every leaf is read as text and cast explicitly (no inference).
+SET_FIELDS = ["index", "type", "weight_kg", "reps", "rpe", "duration_seconds", "distance_meters", "custom_metric"]
+EXERCISE_FIELDS = ["index", "title", "exercise_template_id", "superset_id", "notes"]
+WORKOUT_FIELDS = ["id", "title", "description", "routine_id", "start_time", "end_time", "created_at", "updated_at"]
+WORKOUT_SCHEMA = (
+    "struct<" + ", ".join(f"`{f}`: string" for f in WORKOUT_FIELDS)
+    + ", `exercises`: array<struct<" + ", ".join(f"`{f}`: string" for f in EXERCISE_FIELDS)
+    + ", `sets`: array<struct<" + ", ".join(f"`{f}`: string" for f in SET_FIELDS) + ">>>>>")
+
+
+def _len(arr) -> "F.Column":
+    """Array length with null for a missing / non-array member (json_array_length semantics)."""
+    return F.when(arr.isNull(), F.lit(None).cast("long")).otherwise(F.size(arr).cast("long"))
+
+
+def parsed_workouts(bronze_workouts: DataFrame) -> DataFrame:
+    """Latest version of each workout, parsed once: (ingested_at, d) with ``d`` the document struct."""
+    return latest(bronze_workouts).select("ingested_at", F.from_json("record", WORKOUT_SCHEMA).alias("d"))
 
 
 def latest(bronze: DataFrame) -> DataFrame:
@@ -31,19 +52,16 @@ def _ts(doc: str, path: str):
 def stg_workouts(bronze_workouts: DataFrame, bronze_events: DataFrame, eras: DataFrame,
                  tz: str = X.DEFAULT_LOCAL_TZ) -> DataFrame:
     """One row per workout (P1), soft-delete flag from the latest change event."""
-    w = latest(bronze_workouts)
+    w = parsed_workouts(bronze_workouts)
+    start, end = X.utc_instant(F.col("d.start_time")), X.utc_instant(F.col("d.end_time"))
     r = w.select(
-        json_text("record", "$.id").alias("workout_id"),
-        json_text("record", "$.title").alias("title"),
-        json_text("record", "$.description").alias("description"),
-        json_text("record", "$.routine_id").alias("routine_id"),
-        _ts("record", "$.start_time").alias("started_at_utc"),
-        _ts("record", "$.end_time").alias("ended_at_utc"),
-        X.to_local(_ts("record", "$.start_time"), tz).alias("started_at_local"),
-        X.to_local(_ts("record", "$.end_time"), tz).alias("ended_at_local"),
-        _ts("record", "$.created_at").alias("created_at"),
-        _ts("record", "$.updated_at").alias("updated_at"),
-        json_array_len("record", "$.exercises").alias("exercise_count"),
+        F.col("d.id").alias("workout_id"), F.col("d.title").alias("title"),
+        F.col("d.description").alias("description"), F.col("d.routine_id").alias("routine_id"),
+        start.alias("started_at_utc"), end.alias("ended_at_utc"),
+        X.to_local(start, tz).alias("started_at_local"), X.to_local(end, tz).alias("ended_at_local"),
+        X.utc_instant(F.col("d.created_at")).alias("created_at"),
+        X.utc_instant(F.col("d.updated_at")).alias("updated_at"),
+        _len(F.col("d.exercises")).alias("exercise_count"),
         "ingested_at")
     loc = F.col("started_at_local")
     d = r.select("*",
@@ -69,8 +87,8 @@ def stg_workouts(bronze_workouts: DataFrame, bronze_events: DataFrame, eras: Dat
 
 
 def _exercises(bronze_workouts: DataFrame) -> DataFrame:
-    w = latest(bronze_workouts).select(json_text("record", "$.id").alias("workout_id"), "record")
-    return explode_json_array(w, "record", "$.exercises", "exercise").drop("record")
+    w = parsed_workouts(bronze_workouts)
+    return w.select(F.col("d.id").alias("workout_id"), F.explode("d.exercises").alias("e"))
 
 
 def stg_workout_exercises(bronze_workouts: DataFrame) -> DataFrame:
@@ -78,39 +96,37 @@ def stg_workout_exercises(bronze_workouts: DataFrame) -> DataFrame:
     e = _exercises(bronze_workouts)
     return e.select(
         "workout_id",
-        X.lenient_int(json_text("exercise", "$.index")).alias("exercise_index"),
-        json_text("exercise", "$.title").alias("exercise_title"),
-        json_text("exercise", "$.exercise_template_id").alias("exercise_template_id"),
-        X.lenient_int(json_text("exercise", "$.superset_id")).alias("superset_id"),
-        json_text("exercise", "$.superset_id").isNotNull().alias("is_superset"),
-        X.nullif_blank(json_text("exercise", "$.notes")).alias("notes"),
-        json_array_len("exercise", "$.sets").alias("set_count"))
+        X.lenient_int(F.col("e.index")).alias("exercise_index"),
+        F.col("e.title").alias("exercise_title"),
+        F.col("e.exercise_template_id").alias("exercise_template_id"),
+        X.lenient_int(F.col("e.superset_id")).alias("superset_id"),
+        F.col("e.superset_id").isNotNull().alias("is_superset"),
+        X.nullif_blank(F.col("e.notes")).alias("notes"),
+        _len(F.col("e.sets")).alias("set_count"))
 
 
 def stg_workout_sets(bronze_workouts: DataFrame) -> DataFrame:
     """One row per logged set."""
-    e = _exercises(bronze_workouts).select(
-        "workout_id",
-        X.lenient_int(json_text("exercise", "$.index")).alias("exercise_index"),
-        json_text("exercise", "$.title").alias("exercise_title"),
-        json_text("exercise", "$.exercise_template_id").alias("exercise_template_id"),
-        "exercise")
-    s = explode_json_array(e, "exercise", "$.sets", "st").drop("exercise")
-    st = json_text("st", "$.type")
-    kg = X.lenient_double(json_text("st", "$.weight_kg"))
+    s = _exercises(bronze_workouts).select("workout_id", "e", F.explode("e.sets").alias("st"))
+    st = F.col("st.type")
+    kg = X.lenient_double(F.col("st.weight_kg"))
+    ex_index = X.lenient_int(F.col("e.index"))
     return s.select(
-        "workout_id", "exercise_index", "exercise_title", "exercise_template_id",
-        X.lenient_int(json_text("st", "$.index")).alias("set_index"),
-        X.positional_key("workout_id", "exercise_index", json_text("st", "$.index")).alias("set_key"),
+        "workout_id",
+        ex_index.alias("exercise_index"),
+        F.col("e.title").alias("exercise_title"),
+        F.col("e.exercise_template_id").alias("exercise_template_id"),
+        X.lenient_int(F.col("st.index")).alias("set_index"),
+        X.positional_key("workout_id", ex_index, F.col("st.index")).alias("set_key"),
         st.alias("set_type"),
         *[v.alias(k) for k, v in X.set_flags(st).items()],
         X.weight_lb(kg).alias("weight_lb"),
         X.weight_kg_canonical(kg).alias("weight_kg"),
-        X.lenient_int(json_text("st", "$.reps")).alias("reps"),
-        X.lenient_double(json_text("st", "$.rpe")).alias("rpe"),
-        X.lenient_int(json_text("st", "$.duration_seconds")).alias("duration_seconds"),
-        X.lenient_double(json_text("st", "$.distance_meters")).alias("distance_meters"),
-        json_text("st", "$.custom_metric").alias("custom_metric"))
+        X.lenient_int(F.col("st.reps")).alias("reps"),
+        X.lenient_double(F.col("st.rpe")).alias("rpe"),
+        X.lenient_int(F.col("st.duration_seconds")).alias("duration_seconds"),
+        X.lenient_double(F.col("st.distance_meters")).alias("distance_meters"),
+        F.col("st.custom_metric").alias("custom_metric"))
 
 
 def stg_exercise_templates(bronze_templates: DataFrame) -> DataFrame:
