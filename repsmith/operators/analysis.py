@@ -27,32 +27,49 @@ def equals_or_all(col: str, value: str | None) -> Column:
     return F.lit(True) if value in (None, "All") else (F.col(col) == F.lit(value))
 
 
+def quantiles(col: str, qs, approx_accuracy: int | None = None) -> Column:
+    """Exact (``percentile``: linear interpolation, equal to SQL ``quantile_cont``) or, with
+    ``approx_accuracy``, a bounded-memory sketch (``percentile_approx``).
+
+    The exact form keeps every distinct value of a group in the final aggregation buffer,
+    so a group holding a third of all rows lands in one task; at that scale pass an
+    accuracy (e.g. 10_000 -> rank error <= n / 10_000)."""
+    if approx_accuracy:
+        return F.percentile_approx(F.col(col), qs, approx_accuracy).cast(
+            "double" if not isinstance(qs, (list, tuple)) else "array<double>")
+    if isinstance(qs, (list, tuple)):
+        return F.percentile(F.col(col), F.array(*[F.lit(float(q)) for q in qs]))
+    return F.percentile(F.col(col), F.lit(float(qs)))
+
+
 def recovery_curve(sessions: DataFrame, days: str = "days_since_last_exposure",
-                   perf: str = "relative_performance", cap: int = 7) -> DataFrame:
+                   perf: str = "relative_performance", cap: int = 7,
+                   approx_accuracy: int | None = None) -> DataFrame:
     """Relative performance by rest-day bucket (0..6, 7+): n, mean, median."""
     d = sessions.where(F.col(perf).isNotNull())
     return d.groupBy(rest_bucket(days, cap).alias("rest_bucket")).agg(
         F.count(F.lit(1)).cast("long").alias("n"),
         F.avg(perf).alias("mean_relative_performance"),
-        F.percentile(F.col(perf), F.lit(0.5)).alias("median_relative_performance"))
+        quantiles(perf, 0.5, approx_accuracy).alias("median_relative_performance"))
 
 
 def ols_trend(df: DataFrame, group: ColumnOrName, x: str, y: str, min_rows: int = 3) -> DataFrame:
     """Least-squares trend of ``y`` on ``x`` per group; fitted only when more than
     ``min_rows`` rows exist in total (D2). Rows with a null x or y are skipped."""
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    total = d.agg(F.count(F.lit(1)).alias("__total"))
+    total = d.agg(F.count(F.lit(1)).alias("__total")).scalar()
     fits = d.groupBy(as_col(group).alias("trend_group")).agg(
         F.regr_slope(F.col(y), F.col(x)).alias("slope"),
         F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
         F.regr_r2(F.col(y), F.col(x)).alias("r2"),
         F.regr_count(F.col(y), F.col(x)).cast("long").alias("n"))
-    return fits.crossJoin(F.broadcast(total)).where(F.col("__total") > min_rows).drop("__total")
+    return fits.where(total > min_rows)
 
 
-def box_stats(df: DataFrame, group: Sequence[ColumnOrName], value: str) -> DataFrame:
-    """Quartiles (exact, linear interpolation), whiskers and count per group (D3)."""
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+def box_stats(df: DataFrame, group: Sequence[ColumnOrName], value: str,
+              approx_accuracy: int | None = None) -> DataFrame:
+    """Quartiles (exact, linear interpolation; or sketched), whiskers and count per group (D3)."""
+    q = quantiles(value, [0.25, 0.5, 0.75], approx_accuracy)
     return (df.where(F.col(value).isNotNull()).groupBy(*group)
             .agg(q.alias("__q"), F.min(value).alias("min_value"), F.max(value).alias("max_value"),
                  F.count(F.lit(1)).cast("long").alias("n"))

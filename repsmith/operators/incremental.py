@@ -38,12 +38,12 @@ def delta_since(source: DataFrame, target: DataFrame, ts: str, target_ts: str |
                 default: str = "1970-01-01 00:00:00") -> DataFrame:
     """Rows of ``source`` with ``ts >= coalesce(max(target_ts), default)`` (inclusive).
 
-    The boundary is a one-row aggregate broadcast into a nested-loop semi join (a scalar
-    subquery), so nothing is collected to the driver.
+    The boundary is a scalar subquery (one aggregate, evaluated once and inlined into the
+    filter), so nothing is collected to the driver and no join is planned.
     """
     mark = target.agg(F.coalesce(F.max(F.col(target_ts or ts).cast("timestamp")),
                                  F.lit(default).cast("timestamp")).alias("__mark"))
-    return source.join(F.broadcast(mark), F.col(ts).cast("timestamp") >= F.col("__mark"), "left_semi")
+    return source.where(F.col(ts).cast("timestamp") >= mark.scalar())
 
 
 def bucket_of(keys: Sequence[ColumnOrName], n_buckets: int) -> Column:

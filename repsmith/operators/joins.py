@@ -43,15 +43,14 @@ def range_join(left: DataFrame, ranges: DataFrame, value: ColumnOrName, start: s
     if has_at_most(ranges, max_broadcast_rows):
         r = F.broadcast(ranges)
         return left.join(r, (v >= r[start]) & (v <= r[end]), how)
-    span = left.agg(F.min(v).cast("date").alias("__lo"), F.max(v).cast("date").alias("__hi"))
+    lo = left.agg(F.min(v).cast("date")).scalar()        # scalar subqueries: the data's span
+    hi = left.agg(F.max(v).cast("date")).scalar()
     unit = {"month": "MM", "year": "year"}[bucket]
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    r = (ranges.crossJoin(F.broadcast(span))
-         .where((F.col(end) >= F.col("__lo")) & (F.col(start) <= F.col("__hi")))
+    r = (ranges.where((F.col(end) >= lo) & (F.col(start) <= hi))
          .withColumn("__b", F.explode(F.sequence(
-             F.trunc(F.greatest(F.col(start).cast("date"), F.col("__lo")), unit),
-             F.trunc(F.least(F.col(end).cast("date"), F.col("__hi")), unit), step)))
-         .drop("__lo", "__hi"))
+             F.trunc(F.greatest(F.col(start).cast("date"), lo), unit),
+             F.trunc(F.least(F.col(end).cast("date"), hi), unit), step))))
     l = left.withColumn("__b", F.trunc(v.cast("date"), unit))
     out = l.join(r, (l["__b"] == r["__b"]) & (v >= r[start]) & (v <= r[end]), how)
     return out.drop("__b")

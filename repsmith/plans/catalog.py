@@ -189,7 +189,8 @@ def q_nested_count_parity(spark, sf_dir):
     docs = _workout_documents(spark, sf_dir)
     raw = docs.agg(F.sum(nested.nested_length_sum("record", "$.exercises", "$.sets")).cast("long").alias("raw_sets"))
     flat = _flatten_documents(docs).agg(F.count(F.lit(1)).cast("long").alias("flat_sets"))
-    return raw.crossJoin(flat).withColumn("counts_match", F.col("raw_sets") == F.col("flat_sets"))
+    return raw.select("raw_sets", flat.scalar().alias("flat_sets")) \
+        .withColumn("counts_match", F.col("raw_sets") == F.col("flat_sets"))
 
 
 @query("paged_flatten")
@@ -197,8 +198,8 @@ def q_paged_flatten(spark, sf_dir):
     o = D.load(spark, sf_dir, "orders").withColumn("page", F.floor(F.col("o_orderkey") / PAGE_SIZE).cast("long"))
     pages = nested.nest_children(o, ["page"], ["o_orderkey", "o_totalprice"], "orders_raw", max_children=PAGE_SIZE)
     n_pages = o.agg(F.count_distinct("page").cast("long").alias("page_count"))
-    bodies = pages.crossJoin(F.broadcast(n_pages)).select(F.to_json(F.struct(
-        "page", "page_count", F.col("orders_raw").alias("orders"))).alias("body"))
+    bodies = pages.select(F.to_json(F.struct(
+        "page", n_pages.scalar().alias("page_count"), F.col("orders_raw").alias("orders"))).alias("body"))
     recs = nested.pages_to_records(bodies, "orders")
     return recs.select("page", "page_count",
                        J.json_text("record", "$.o_orderkey").cast("long").alias("workout_id"),
@@ -489,7 +490,8 @@ def q_check_rollup_parity(spark, sf_dir):
     expected = m["fct_workout"].where(F.col("total_sets") > 0)
     diff = Q.reconcile(expected, actual, "workout_id", ["total_sets", "total_working_sets"])
     n = expected.agg(F.count(F.lit(1)).cast("long").alias("workouts_compared"))
-    return n.crossJoin(diff.agg(F.count(F.lit(1)).cast("long").alias("workouts_mismatched")))
+    return n.select("workouts_compared",
+                    diff.agg(F.count(F.lit(1)).cast("long")).scalar().alias("workouts_mismatched"))
 
 
 @query("check_sanity_guards")

@@ -51,9 +51,13 @@ def apply_batch(batch: DataFrame, target: KeyedTable,
     target.replace_keys(to_rows(updated), changed)
 
 
-def start(spark: SparkSession, events_path: str, checkpoint: str, target: KeyedTable,
+def start(spark: SparkSession, events_path: str, checkpoint: str | None, target: KeyedTable,
           to_rows: Callable[[DataFrame], DataFrame], available_now: bool = True) -> StreamingQuery:
-    """Run the feed: file source over the landed events, ``foreachBatch`` apply."""
+    """Run the feed: file source over the landed events, ``foreachBatch`` apply. The stream
+    checkpoint defaults to ``<spark.checkpoint.dir>/changefeed`` (a shared folder)."""
+    if checkpoint is None:
+        from repsmith.session import checkpoint_dir
+        checkpoint = f"{checkpoint_dir(spark).rstrip('/')}/changefeed"
     stream = (spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 1000)
               .option("recursiveFileLookup", True).json(events_path))
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)

@@ -90,3 +90,23 @@ def test_independent_local_time_agrees(spark):
     b = df.select(local_parts_independent("ts", "America/New_York").alias("p")).select(
         F.col("p.local_hour").alias("h"), F.col("p.local_date").alias("d"))
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.sql("SELECT id % 3 AS g, CAST(id AS DOUBLE) AS v FROM range(30000)")
+    ex = {r.g: r.median for r in A.box_stats(df, [F.col("g")], "v").collect()}
+    ap = {r.g: r.median for r in A.box_stats(df, [F.col("g")], "v", approx_accuracy=10000).collect()}
+    assert all(abs(ex[g] - ap[g]) <= 30000 / 10000 * 3 for g in ex)
+
+
+def test_stream_dedupe_within_watermark(spark, scratch):
+    from repsmith.streaming.changefeed import dedupe_stream
+    rows = [("a", "h1", "2024-01-01 00:00:00"), ("a", "h1", "2024-01-01 00:10:00"), ("a", "h2", "2024-01-01 00:20:00")]
+    spark.createDataFrame(rows, "k string, _record_hash string, t string") \
+        .selectExpr("k", "_record_hash", "CAST(t AS TIMESTAMP) AS ts").write.parquet(f"{scratch}/in")
+    s = spark.readStream.schema("k string, _record_hash string, ts timestamp").parquet(f"{scratch}/in")
+    q = (dedupe_stream(s, "k", "ts").writeStream.format("memory").queryName("dedupe_t7")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r._record_hash for r in spark.sql("SELECT * FROM dedupe_t7").collect())
+    assert got == ["h1", "h2"]
