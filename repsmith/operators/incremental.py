@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
@@ -64,6 +65,13 @@ class KeyedTable:
     def _raw(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
+    def exists(self) -> bool:
+        try:
+            self.spark.read.parquet(self.path).schema
+            return True
+        except AnalysisException:
+            return False
+
     def read(self) -> DataFrame:
         return self._raw().where(~F.col(MARKER)).drop(MARKER, BUCKET)
 
@@ -73,7 +81,11 @@ class KeyedTable:
            .write.mode("overwrite").partitionBy(BUCKET).parquet(self.path))
 
     def replace_keys(self, delta: DataFrame, changed_keys: DataFrame | None = None) -> None:
-        """Delete+insert by key: ``changed_keys`` (plus the delta's own keys) leave, ``delta`` enters."""
+        """Delete+insert by key: ``changed_keys`` (plus the delta's own keys) leave, ``delta`` enters.
+        The first increment into a table that does not exist yet creates it."""
+        if not self.exists():
+            self.overwrite(delta)
+            return
         ck = delta.select(*self.keys)
         if changed_keys is not None:
             ck = ck.unionByName(changed_keys.select(*self.keys))

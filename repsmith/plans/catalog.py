@@ -747,3 +747,13 @@ def q_disrupted_period_flags(spark, sf_dir):
     periods = D.seed_frame(spark, DISRUPTED_PERIODS, ["start_date DATE", "end_date DATE"])
     w = D.workouts(spark, sf_dir).select(F.col("workout_id").alias("o_orderkey"), "workout_date_local")
     return A.flag_periods(w, "workout_date_local", periods)
+
+
+# ---------------------------------------------------------------- streaming
+
+@query("stream_latest_state")
+def q_stream_latest_state(spark, sf_dir):
+    """The events table drained through a stateful streaming aggregation into a keyed table."""
+    from repsmith.streaming.state import latest_state_table
+    return latest_state_table(spark, sf_dir, "events", "user_id", ["ts", "event_id"], ["event_type", "value"]) \
+        .select("user_id", "event_id", "ts", "event_type", "value")

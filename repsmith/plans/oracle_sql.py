@@ -675,6 +675,8 @@ FROM workouts""",
 _NEEDS.update({"reconcile_counts": ["fct_workout", "fct_set"], "set_type_reconcile": ["sets"],
                "local_time_reconcile": ["ev_local"], "disrupted_period_flags": ["workouts"]})
 
+ORACLES["stream_latest_state"] = ORACLES["latest_by_key"]
+
 # era_range_join_bucketed checks the bucketed path against the same oracle.
 ORACLES["era_range_join_bucketed"] = ORACLES["era_range_join"]
 _NEEDS["era_range_join_bucketed"] = ["workouts"]
