@@ -110,3 +110,14 @@ def test_stream_dedupe_within_watermark(spark, scratch):
     q.awaitTermination()
     got = sorted(r._record_hash for r in spark.sql("SELECT * FROM dedupe_t7").collect())
     assert got == ["h1", "h2"]
+
+
+def test_versioned_tables_read_newest(spark, scratch):
+    from repsmith.sources.tables import read_table, register_views, write_table
+    base = f"{scratch}/t"
+    write_table(spark.range(3), base)
+    write_table(spark.range(5), base)
+    assert read_table(spark, base).count() == 5
+    assert read_table(spark, base, "id >= 3").count() == 2
+    register_views({"t_view": read_table(spark, base)})
+    assert spark.sql("SELECT count(*) FROM t_view").first()[0] == 5
