@@ -55,6 +55,23 @@ def gap_since_previous(df: DataFrame, keys: Sequence[str], date_col: str, id_col
     return joined.withColumn(out, gap.cast("long")).drop("__first_id", "__prev")
 
 
+def previous_day_table(df: DataFrame, keys: Sequence[str], date_col: str, id_col: str) -> DataFrame:
+    """Per (key, day): the smallest id that day and the previous day with rows -- everything
+    ``gap_since_previous`` needs, in a table bounded by the calendar."""
+    days = df.groupBy(*keys, date_col).agg(F.min(id_col).alias("__first_id"))
+    return days.withColumn("__prev", F.lag(date_col).over(Window.partitionBy(*keys).orderBy(date_col)))
+
+
+def attach_gap(df: DataFrame, day_table: DataFrame, keys: Sequence[str], date_col: str, id_col: str,
+               out: str) -> DataFrame:
+    """Apply a :func:`previous_day_table` to rows that carry (keys, date, id) -- the rows need
+    not be the ones the table was built from (e.g. sessions get their workout's gap)."""
+    joined = _join_back(df, day_table, [*keys, date_col])
+    gap = F.when(F.col(id_col) == F.col("__first_id"),
+                 F.datediff(F.col(date_col), F.col("__prev"))).otherwise(F.lit(0))
+    return joined.withColumn(out, gap.cast("long")).drop("__first_id", "__prev")
+
+
 def gap_since_previous_direct(df: DataFrame, keys: Sequence[str], date_col: str, id_col: str, out: str) -> DataFrame:
     """Plain ``lag`` form of :func:`gap_since_previous` (reference for tests)."""
     w = Window.partitionBy(*keys).orderBy(date_col, id_col)

@@ -416,7 +416,7 @@ def q_incremental_key_replace(spark, sf_dir):
                .select(F.col("o_orderkey").alias("workout_id")))
     changed = s.where(F.col("l_shipdate") >= cut).select("workout_id").unionByName(deleted)
     delta = s.join(changed, "workout_id", "left_semi").join(deleted, "workout_id", "left_anti")
-    out = key_replace(v1, delta, "workout_id", changed)
+    out = D.with_set_key(key_replace(v1, delta, "workout_id", changed))
     return out.select("workout_id", "set_key", "set_index", "reps", "weight_lb", "set_type")
 
 
@@ -427,7 +427,7 @@ def q_delta_keys_semi(spark, sf_dir):
     target = (st["sets"].join(w.select("workout_id", "updated_at"), "workout_id")
               .where(F.col("updated_at") < F.lit(TARGET_BEFORE).cast("timestamp")))
     changed = delta_since(w, target, "updated_at")
-    out = st["sets"].join(changed.select("workout_id", "updated_at"), "workout_id", "inner")
+    out = D.with_set_key(st["sets"].join(changed.select("workout_id", "updated_at"), "workout_id", "inner"))
     return out.select("workout_id", "set_key", ntz("updated_at").alias("updated_at"))
 
 

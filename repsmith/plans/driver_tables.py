@@ -5,7 +5,8 @@ The recipe (documented in FIXTURES.md) reads the star schema as a training log:
 * ``orders``  -> workouts: ``o_orderkey`` is the workout, ``o_custkey`` the athlete,
   ``o_orderdate`` the UTC start instant (TIMESTAMP_NTZ read as UTC).
 * ``lineitem`` -> sets: one set per line; ``l_partkey`` is the exercise (template and
-  exercise index), ``l_linenumber`` the set index, ``l_quantity`` the reps,
+  exercise index), ``l_linenumber`` the set index (``set_key`` is derived from the three
+  parts where it is used, see :func:`with_set_key`), ``l_quantity`` the reps,
   ``l_extendedprice`` the load as typed in pounds (stored, like the source app does,
   as ``lb / 2.20462`` kg with float noise), the return flag / line status the set type.
 * ``part`` -> exercise templates; parts with ``p_size <= 45`` have a crosswalk entry
@@ -43,8 +44,17 @@ MAPPED_MAX_SIZE = 45
 FEED_DELETE_TYPE = "error"
 
 
+_LOADED: dict[tuple[int, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One DataFrame per (session, driver table): the driver tables are read-only, so the
+    file listing and footer read happen once per session instead of once per reference."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def era_seed(spark: SparkSession) -> DataFrame:
@@ -119,7 +129,6 @@ def sets(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFr
         F.col("l_partkey").alias("exercise_index"),
         F.col("l_partkey").alias("exercise_template_id"),
         F.col("l_linenumber").alias("set_index"),
-        X.positional_key("l_orderkey", "l_partkey", "l_linenumber").alias("set_key"),
         st.alias("set_type"),
         *[v.alias(k) for k, v in flags.items()],
         X.weight_lb(raw_kg).alias("weight_lb"),
@@ -133,6 +142,11 @@ def sets(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFr
     )
 
 
+def with_set_key(sets_df: DataFrame) -> DataFrame:
+    """``workout-exercise-set`` positional key from the integer parts."""
+    return sets_df.withColumn("set_key", X.positional_key("workout_id", "exercise_index", "set_index"))
+
+
 def exercise_type_of(p_type: str = "p_type"):
     t = F.col(p_type)
     expr = None

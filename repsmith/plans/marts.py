@@ -22,11 +22,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repsmith.functions.scalars import has_estimated_load, supports_load_metrics
+from repsmith.functions.scalars import has_estimated_load, positional_key, supports_load_metrics
 from repsmith.operators.joins import zero_filled
 from repsmith.operators.rollups import exercise_session_rollup, workout_rollup
-from repsmith.operators.windows import (day_level_features, gap_since_previous, pr_flag, relative_performance,
-                                       trailing_range_max)
+from repsmith.operators.windows import (attach_gap, day_level_features, gap_since_previous, pr_flag,
+                                       previous_day_table, relative_performance, trailing_range_max)
 
 FCT_SET_COLUMNS = [
     "set_key", "workout_id", "workout_date_local", "workout_hour_local", "training_era",
@@ -55,12 +55,15 @@ def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: S
         "workout_id", *entity_cols, "workout_date_local", "workout_hour_local", "training_era", "updated_at")
     d = dim.select("exercise_template_id", "canonical_exercise", "movement_pattern",
                    "supports_load_metrics", "has_estimated_load")
-    s = sets.select("workout_id", "set_key", "exercise_index", "set_index", "exercise_template_id", "set_type",
-                    "is_working_set", "is_warmup", "is_to_failure", "is_dropset", "weight_lb", "weight_kg",
-                    "reps", "rpe", "duration_seconds", "distance_meters")
+    s = sets.select("workout_id", *(["set_key"] if "set_key" in sets.columns else []), "exercise_index",
+                    "set_index", "exercise_template_id", "set_type", "is_working_set", "is_warmup",
+                    "is_to_failure", "is_dropset", "weight_lb", "weight_kg", "reps", "rpe", "duration_seconds",
+                    "distance_meters")
     # fact-to-fact: shuffle both on workout_id and build the hash table from the
     # unique-key workout side; never broadcast either (both grow with the data).
     out = s.join(w.hint("shuffle_hash"), "workout_id", "inner").join(d, "exercise_template_id", "left")
+    if "set_key" not in out.columns:   # built from its integer parts after the joins
+        out = out.withColumn("set_key", positional_key("workout_id", "exercise_index", "set_index"))
     return out.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:])
 
 
@@ -98,11 +101,20 @@ def workout_gaps(live_workouts: DataFrame, entity_cols: Sequence[str] = ()) -> D
     return wg.select("workout_id", "days_since_last_workout")
 
 
+def with_workout_gap(df: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """Attach days since the previous live workout (W3) to rows carrying (entity, workout_id,
+    workout_date_local): they join the per-day table of live workouts on their date, so the
+    workout-level gaps are never joined back to every workout first."""
+    days = previous_day_table(live_workouts.select("workout_id", *entity_cols, "workout_date_local"),
+                              list(entity_cols), "workout_date_local", "workout_id")
+    return attach_gap(df, days, list(entity_cols), "workout_date_local", "workout_id", "days_since_last_workout")
+
+
 def rest_intervals(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
     """Days since the last exposure to the same exercise (W2) and since the last workout."""
     s = gap_since_previous(sessions, [*entity_cols, "canonical_exercise"], "workout_date_local",
                            "workout_id", "days_since_last_exposure")
-    return s.join(workout_gaps(live_workouts, entity_cols), "workout_id", "left")
+    return with_workout_gap(s, live_workouts, entity_cols)
 
 
 def session_features(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = (),
@@ -120,7 +132,7 @@ def session_features(sessions: DataFrame, live_workouts: DataFrame, entity_cols:
     else:
         r = day_level_features(sessions, keys, "workout_date_local", "workout_id", "days_since_last_exposure",
                                vals, lo=lo, hi=hi)
-    return r.join(workout_gaps(live_workouts, entity_cols), "workout_id", "left")
+    return with_workout_gap(r, live_workouts, entity_cols)
 
 
 def fct_exercise_session(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = (),
