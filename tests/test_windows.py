@@ -54,3 +54,13 @@ def test_relative_performance_and_pr(spark):
     assert [r.r for r in got] == [2.0, None, None, 0.8, None]
     assert [r.p for r in got] == [True, True, True, False, True]
     assert [r.q for r in got] == [True, True, False, False, True]
+
+
+def test_sketched_trailing_median_close_to_exact(spark):
+    df = spark.sql("""SELECT CAST(id AS STRING) AS workout_id, CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'x' END AS ex,
+                      date_add(DATE'2024-01-01', CAST(id % 300 AS INT)) AS d, CAST((id * 7919) % 1000 AS DOUBLE) AS v
+                      FROM range(12000)""")
+    ex = W.trailing_range_percentile(df, ["ex"], "d", "v", "e")
+    ap = W.trailing_range_quantile_sketch(ex, ["ex"], "d", "v", "a")
+    r = ap.selectExpr("max(abs(e - a)) AS err", "count(e) AS ne", "count(a) AS na").first()
+    assert r.ne == r.na and r.err <= 50.0      # values span 0..1000; KLL rank error ~1.65%
