@@ -51,8 +51,20 @@ def bucket_of(keys: Sequence[ColumnOrName], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[as_col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
+def buckets_for(table_bytes: int, target_bucket_bytes: int = 1 << 30, minimum: int = 16) -> int:
+    """Bucket count so one bucket holds about ``target_bucket_bytes`` (an increment rewrites
+    whole buckets, so this bounds the write amplification): 100 TB at 1 GiB -> 102,400
+    buckets. Rounded up to a power of two so the count can later be doubled by splitting."""
+    n = max(minimum, -(-table_bytes // target_bucket_bytes))
+    return 1 << (n - 1).bit_length()
+
+
 class KeyedTable:
-    """A Parquet table replaced by key, one hash bucket at a time."""
+    """A Parquet table replaced by key, one hash bucket at a time.
+
+    Size ``n_buckets`` with :func:`buckets_for` from the expected table size: an increment
+    rewrites every bucket one of its changed keys hashes to, so the cost of an increment is
+    (touched buckets) x (bucket size)."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] | str, n_buckets: int = 64):
         self.spark, self.path = spark, path
