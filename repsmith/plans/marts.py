@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repsmith.functions.scalars import has_estimated_load, positional_key, supports_load_metrics
-from repsmith.operators.joins import zero_filled
+from repsmith.operators.joins import has_at_most, zero_filled
 from repsmith.operators.rollups import exercise_session_rollup, workout_rollup
 from repsmith.operators.windows import (attach_gap, day_level_features, gap_since_previous, pr_flag,
                                        previous_day_table, relative_performance, trailing_range_max)
@@ -49,8 +49,13 @@ def dim_exercise(templates: DataFrame, crosswalk: DataFrame) -> DataFrame:
             .withColumn("has_estimated_load", has_estimated_load("exercise_type")))
 
 
-def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
-    """Atomic set fact (P8): sets inner-join live workouts (J4, F2), left-join the dimension."""
+def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: Sequence[str] = (),
+            broadcast_dim: bool = False) -> DataFrame:
+    """Atomic set fact (P8): sets inner-join live workouts (J4, F2), left-join the dimension.
+
+    ``broadcast_dim`` is set by the caller only when the dimension's source is proven small
+    (see :func:`build_marts`); then the fact is not shuffled by exercise at all. Otherwise
+    the join shuffles, and AQE splits a hot exercise."""
     w = workouts.where(~F.col("is_deleted")).select(
         "workout_id", *entity_cols, "workout_date_local", "workout_hour_local", "training_era", "updated_at")
     d = dim.select("exercise_template_id", "canonical_exercise", "movement_pattern",
@@ -61,7 +66,8 @@ def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: S
                     "distance_meters")
     # fact-to-fact: shuffle both on workout_id and build the hash table from the
     # unique-key workout side; never broadcast either (both grow with the data).
-    out = s.join(w.hint("shuffle_hash"), "workout_id", "inner").join(d, "exercise_template_id", "left")
+    out = s.join(w.hint("shuffle_hash"), "workout_id", "inner") \
+        .join(F.broadcast(d) if broadcast_dim else d, "exercise_template_id", "left")
     if "set_key" not in out.columns:   # built from its integer parts after the joins
         out = out.withColumn("set_key", positional_key("workout_id", "exercise_index", "set_index"))
     return out.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:])
@@ -171,11 +177,19 @@ def obt_sets(fct_set_df: DataFrame, fct_workout_df: DataFrame, fct_session: Data
     return j.join(es, cond, "left").drop("__es_wid", "__es_can")
 
 
+DIM_BROADCAST_MAX_ROWS = 2_000_000
+
+
 def build_marts(workouts: DataFrame, sets: DataFrame, templates: DataFrame, crosswalk: DataFrame,
                 entity_cols: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """All marts, lazily, in dependency order."""
+    """All marts, lazily, in dependency order.
+
+    The exercise dimension is an inner join of templates and crosswalk, so it has at most
+    as many rows as the templates table; a bounded count on that scan (reads at most
+    ``DIM_BROADCAST_MAX_ROWS + 1`` rows) decides whether the dimension is broadcast."""
     dim = dim_exercise(templates, crosswalk)
-    fs = fct_set(sets, workouts, dim, entity_cols)
+    fs = fct_set(sets, workouts, dim, entity_cols,
+                 broadcast_dim=has_at_most(templates.select("exercise_template_id"), DIM_BROADCAST_MAX_ROWS))
     fw = fct_workout(workouts, sets, entity_cols)
     sess = exercise_sessions(fs, entity_cols)
     live = workouts.where(~F.col("is_deleted"))
