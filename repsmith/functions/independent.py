@@ -1,15 +1,17 @@
-"""An independent second implementation of local time, for reconciliation only.
+"""Independent second implementations, for reconciliation only.
 
-The native path is ``scalars.to_local`` (a Catalyst expression). This one converts with
-pandas + the IANA database through ``zoneinfo`` inside an Arrow-batched pandas UDF, so a
-wrong zone rule or session setting in one path shows up as a difference. It is the one
-Python function in the package and never sits on a production path.
+The native paths are Catalyst expressions (``scalars.to_local``, ``scalars.weight_lb``).
+These recompute the same values with pandas / NumPy inside Arrow-batched pandas UDFs
+(local time through the IANA database via ``zoneinfo``), so a wrong zone rule, session
+setting or rounding rule in one path shows up as a difference. They never sit on a
+production path.
 """
 
 from __future__ import annotations
 
 from zoneinfo import ZoneInfo
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,3 +33,10 @@ def local_parts_udf(tz: str):
 def local_parts_independent(ts_utc: ColumnOrName, tz: str) -> Column:
     """struct(local_date, local_hour) of a UTC instant (TIMESTAMP_NTZ read as UTC)."""
     return local_parts_udf(tz)(as_col(ts_utc).cast("timestamp_ntz"))
+
+
+@F.pandas_udf("double")
+def weight_lb_independent(kg: pd.Series) -> pd.Series:
+    """``round(kg * 2.20462, 2)`` half away from zero, computed by NumPy."""
+    x = kg.to_numpy(dtype="float64", na_value=np.nan) * 2.20462
+    return pd.Series(np.sign(x) * np.floor(np.abs(x) * 100.0 + 0.5) / 100.0)

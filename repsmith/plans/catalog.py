@@ -757,3 +757,17 @@ def q_stream_latest_state(spark, sf_dir):
     from repsmith.streaming.state import latest_state_table
     return latest_state_table(spark, sf_dir, "events", "user_id", ["ts", "event_id"], ["event_type", "value"]) \
         .select("user_id", "event_id", "ts", "event_type", "value")
+
+
+@query("weight_reconcile")
+def q_weight_reconcile(spark, sf_dir):
+    """Distinct converted weights from the fact vs an independent NumPy recomputation
+    from the raw prices; a full outer join shows values present on one side only."""
+    from repsmith.functions.independent import weight_lb_independent
+    native = _marts(spark, sf_dir)["fct_set"].select("weight_lb").distinct().withColumn("in_native", F.lit(True))
+    indep = (D.load(spark, sf_dir, "lineitem")
+             .select(weight_lb_independent(F.col("l_extendedprice") / F.lit(X.LB_PER_KG)).alias("weight_lb"))
+             .distinct().withColumn("in_independent", F.lit(True)))
+    j = native.join(indep, "weight_lb", "full_outer")
+    return j.select("weight_lb", F.coalesce("in_native", F.lit(False)).alias("in_native"),
+                    F.coalesce("in_independent", F.lit(False)).alias("in_independent"))

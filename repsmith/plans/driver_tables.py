@@ -44,14 +44,14 @@ MAPPED_MAX_SIZE = 45
 FEED_DELETE_TYPE = "error"
 
 
-_LOADED: dict[tuple[int, str], DataFrame] = {}
+_LOADED: dict[tuple[int, str, str], DataFrame] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One DataFrame per (session, driver table): the driver tables are read-only, so the
     file listing and footer read happen once per session instead of once per reference."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     if key not in _LOADED:
         _LOADED[key] = spark.read.parquet(path)
     return _LOADED[key]

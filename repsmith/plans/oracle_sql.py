@@ -676,6 +676,9 @@ _NEEDS.update({"reconcile_counts": ["fct_workout", "fct_set"], "set_type_reconci
                "local_time_reconcile": ["ev_local"], "disrupted_period_flags": ["workouts"]})
 
 ORACLES["stream_latest_state"] = ORACLES["latest_by_key"]
+ORACLES["weight_reconcile"] = """
+SELECT DISTINCT round(l_extendedprice / 2.20462 * 2.20462, 2) AS weight_lb, true AS in_native, true AS in_independent
+FROM lineitem"""
 
 # era_range_join_bucketed checks the bucketed path against the same oracle.
 ORACLES["era_range_join_bucketed"] = ORACLES["era_range_join"]
