@@ -25,6 +25,25 @@ BASE_CONF: dict[str, str] = {
 }
 
 
+def sized_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run, from the input size.
+
+    Initial shuffle partitions so each holds about ``target_partition_bytes`` (AQE then
+    coalesces small ones and splits skewed ones at runtime), scan splits of
+    ``max_partition_bytes``, and skew thresholds relative to the partition size. For
+    100 TB at 256 MB this is ~400k initial partitions (AQE coalesces them)."""
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "repsmith", extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the package's settings.
