@@ -125,21 +125,55 @@ def high_water_mark(feed: DataFrame, ts: ColumnOrName, group_cols: Sequence[Colu
             .drop("__hw"))
 
 
+def snapshot_scd2_direct(snapshots: DataFrame, key: str, valid_from: str, value_cols: Sequence[str],
+                         tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Per-key window form of :func:`snapshot_scd2` (reference for tests)."""
+    order = [F.col(valid_from)] + [F.col(t) for t in tiebreak]
+    w = Window.partitionBy(key).orderBy(*order)
+    h = F.md5(F.to_json(F.struct(*[F.col(c) for c in value_cols])))
+    changed = (snapshots.withColumn("__h", h)
+               .withColumn("__prev", F.lag("__h").over(w))
+               .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))))
+    return (changed.withColumn("valid_to", F.lead(valid_from).over(w))
+            .withColumn("is_current", F.col("valid_to").isNull())
+            .drop("__h", "__prev"))
+
+
 def snapshot_scd2(snapshots: DataFrame, key: str, valid_from: str, value_cols: Sequence[str],
-                  tiebreak: Sequence[str] = ()) -> DataFrame:
+                  tiebreak: Sequence[str] = (), bucket: str = "day") -> DataFrame:
     """History of a current-state source (SCD type 2) from a series of snapshots.
 
     Consecutive snapshots with unchanged content collapse into one version;
     ``valid_to`` is the next version's ``valid_from`` (null for the current one).
-    Windows are per key, so each key's history is sorted once in one task.
+
+    Two-level, so a key with a huge history is never sorted in one task: the row windows
+    are partitioned by (key, time bucket), and the state carried across bucket boundaries
+    (the previous bucket's last content, the next bucket's first change) comes from
+    per-(key, bucket) summary tables windowed per key, which are bounded by the number
+    of buckets, not rows.
     """
     order = [F.col(valid_from)] + [F.col(t) for t in tiebreak]
-    w = Window.partitionBy(key).orderBy(*order)
+    b = F.date_trunc(bucket, F.col(valid_from).cast("timestamp"))
     h = F.md5(F.to_json(F.struct(*[F.col(c) for c in value_cols])))
-    changed = (snapshots.withColumn("__h", h)
-               .withColumn("__prev", F.lag("__h").over(w))
-               .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))))
-    w2 = Window.partitionBy(key).orderBy(*order)
-    return (changed.withColumn("valid_to", F.lead(valid_from).over(w2))
+    df = snapshots.withColumn("__b", b).withColumn("__h", h)
+    w_in = Window.partitionBy(key, "__b").orderBy(*order)
+    df = df.withColumn("__prev_in", F.lag("__h").over(w_in))
+    # last content of each (key, bucket); the previous non-empty bucket's last content per key
+    last = df.groupBy(key, "__b").agg(F.max(F.struct(*order, F.col("__h").alias("h"))).alias("__last"))
+    last = last.select(key, "__b", F.lag(F.col("__last.h")).over(Window.partitionBy(key).orderBy("__b"))
+                       .alias("__prev_bucket_h"))
+    df = df.join(last, [key, "__b"], "left")
+    prev = F.when(F.row_number().over(w_in) == 1, F.col("__prev_bucket_h")).otherwise(F.col("__prev_in"))
+    changed = (df.withColumn("__prev", prev)
+               .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h")))
+               .drop("__prev_in", "__prev_bucket_h", "__prev"))
+    # valid_to: next change in the bucket, else the first change of the next bucket with one
+    changed = changed.withColumn("__next_in", F.lead(valid_from).over(w_in))
+    first = changed.groupBy(key, "__b").agg(F.min(F.struct(*order)).alias("__first"))
+    first = first.select(key, "__b", F.lead(F.col(f"__first.{valid_from}")).over(
+        Window.partitionBy(key).orderBy("__b")).alias("__next_bucket"))
+    out = changed.join(first, [key, "__b"], "left")
+    valid_to = F.coalesce(F.col("__next_in"), F.col("__next_bucket"))
+    return (out.withColumn("valid_to", valid_to)
             .withColumn("is_current", F.col("valid_to").isNull())
-            .drop("__h", "__prev"))
+            .drop("__b", "__h", "__next_in", "__next_bucket"))

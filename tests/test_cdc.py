@@ -49,3 +49,15 @@ def test_snapshot_scd2_collapses_unchanged(spark):
     h = cdc.snapshot_scd2(spark.createDataFrame(rows, "k string, t int, v string"), "k", "t", ["v"])
     got = sorted((r.t, r.valid_to, r.v, r.is_current) for r in h.collect())
     assert got == [(1, 3, "x", False), (3, 4, "y", False), (4, None, "x", True)]
+
+
+def test_scd2_two_level_equals_direct(spark):
+    import random
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["hot", "hot", "a", "b"]), base + dt.timedelta(hours=rnd.randint(0, 24 * 20), minutes=i % 60),
+             i, rnd.choice(["x", "y"])) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, id long, v string")
+    a = cdc.snapshot_scd2(df, "k", "t", ["v"], tiebreak=["id"]).select("k", "id", "valid_to", "is_current")
+    b = cdc.snapshot_scd2_direct(df, "k", "t", ["v"], tiebreak=["id"]).select("k", "id", "valid_to", "is_current")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
