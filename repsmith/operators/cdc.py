@@ -28,12 +28,6 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _names(cols: Sequence[ColumnOrName] | ColumnOrName) -> list[ColumnOrName]:
-    if isinstance(cols, (str, Column)):
-        return [cols]
-    return list(cols)
-
-
 def latest_by_key(df: DataFrame, keys: Sequence[str] | str, order_by: Sequence[ColumnOrName],
                   keep_null_keys: bool = False) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` tuple (newest first).

@@ -511,15 +511,15 @@ def q_value_histogram(spark, sf_dir):
     fs = _marts(spark, sf_dir)["fct_set"]
     e = _event_local(spark, sf_dir)
     w = D.workouts(spark, sf_dir)
-    h1 = Q_hist(fs, "set_type", "set_type")
-    h2 = Q_hist(e, X.local_hour("started_at_local").cast("string"), "local_hour")
-    h3 = Q_hist(w, F.col("day_of_week"), "workout_day_of_week")
+    h1 = _hist(fs, "set_type", "set_type")
+    h2 = _hist(e, X.local_hour("started_at_local").cast("string"), "local_hour")
+    h3 = _hist(w, F.col("day_of_week"), "workout_day_of_week")
     return h1.unionByName(h2).unionByName(h3)
 
 
-def Q_hist(df, value, name) -> DataFrame:
+def _hist(df, value, name) -> DataFrame:
     from repsmith.operators.rollups import histogram
-    return histogram(df, value if not isinstance(value, str) else F.col(value)).select(
+    return histogram(df, value).select(
         F.lit(name).alias("histogram"), F.col("bucket").cast("string").alias("bucket"), "n")
 
 
