@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repsmith.functions._util import as_col, ColumnOrName
 
@@ -35,7 +36,7 @@ def local_parts_independent(ts_utc: ColumnOrName, tz: str) -> Column:
     return local_parts_udf(tz)(as_col(ts_utc).cast("timestamp_ntz"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())   # a type object: importing needs no active session
 def weight_lb_independent(kg: pd.Series) -> pd.Series:
     """``round(kg * 2.20462, 2)`` half away from zero, computed by NumPy."""
     x = kg.to_numpy(dtype="float64", na_value=np.nan) * 2.20462

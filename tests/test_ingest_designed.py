@@ -121,3 +121,25 @@ def test_versioned_tables_read_newest(spark, scratch):
     assert read_table(spark, base, "id >= 3").count() == 2
     register_views({"t_view": read_table(spark, base)})
     assert spark.sql("SELECT count(*) FROM t_view").first()[0] == 5
+
+
+def test_seed_csv_export_and_run_summary(spark, scratch):
+    import os
+    seed = f"{scratch}/seed.csv"
+    with open(seed, "w") as fh:
+        fh.write("era,start_date,end_date,description\nearly,2024-01-01,2024-04-30,first\nlate,2024-05-01,9999-12-31,x\n")
+    eras = L.read_seed(spark, seed, "era string, start_date date, end_date date, description string")
+    assert [str(r.start_date) for r in eras.orderBy("era").collect()] == ["2024-01-01", "2024-05-01"]
+    L.export_csv(eras, f"{scratch}/out")
+    back = spark.read.option("header", True).csv(f"{scratch}/out")
+    assert back.count() == 2 and back.columns == ["era", "start_date", "end_date", "description"]
+    recs = spark.createDataFrame([('{"id": "a"}',), ('{"id": "b"}',)], "record string")
+    L.land(recs, scratch, "routines", "r1")
+    L.land(recs.limit(1), scratch, "routines", "r2")
+    summary = {(r.dataset, r.run_id): r.n_records
+               for r in L.run_summary({"routines": L.read_landed(spark, scratch, "routines")}).collect()}
+    assert summary == {("routines", "r1"): 2, ("routines", "r2"): 1}
+    src = spark.createDataFrame([(3,)], "n long")
+    chk = I.backfill_check(recs, src).first()
+    assert (chk.landed, chk.source_count, chk.counts_match) == (2, 3, False)
+    assert L.read_landed(spark, scratch, "never_landed").count() == 0
