@@ -17,10 +17,12 @@ def count_if_true(flag: ColumnOrName) -> Column:
 
 
 def workout_rollup(sets: DataFrame, key: str = "workout_id", exercise_col: str = "exercise_index",
-                   working_flag: str = "is_working_set") -> DataFrame:
-    """Per workout: distinct exercises, sets, working sets (A4)."""
+                   working_flag: str = "is_working_set", approx_distinct: bool = False) -> DataFrame:
+    """Per workout: distinct exercises, sets, working sets (A4). ``approx_distinct`` uses a
+    HyperLogLog++ count (A2 variant) instead of the exact distinct count."""
+    distinct = (F.approx_count_distinct(exercise_col) if approx_distinct else F.count_distinct(exercise_col))
     return sets.groupBy(key).agg(
-        F.count_distinct(exercise_col).cast("long").alias("total_exercises"),
+        distinct.cast("long").alias("total_exercises"),
         F.count(F.lit(1)).cast("long").alias("total_sets"),
         count_if_true(working_flag).alias("total_working_sets"))
 
