@@ -11,6 +11,10 @@ joined back:
   ``ORDER BY day, id``.
 * trailing range max over ``[day - lo, day - hi]`` with ``hi >= 1``: the frame never
   includes the current day, so the max of per-day maxima equals the row-level answer.
+* trailing quantile: per-day mergeable KLL sketches merged over the day frame
+  (approximate); the exact form stays a row-level window and is documented as such.
+
+The ``*_direct`` functions are the plain row-level windows, kept as test references.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
 
+
 def day_number(d: ColumnOrName) -> Column:
     """Days since 1970-01-01 (for ``rangeBetween`` on dates)."""
     return F.unix_date(as_col(d).cast("date"))
@@ -46,13 +51,7 @@ def gap_since_previous(df: DataFrame, keys: Sequence[str], date_col: str, id_col
     global sequence; the day table is then bounded by the number of calendar days).
     """
     keys = list(keys)
-    days = df.groupBy(*keys, date_col).agg(F.min(id_col).alias("__first_id"))
-    w = Window.partitionBy(*keys).orderBy(date_col)
-    days = days.withColumn("__prev", F.lag(date_col).over(w))
-    joined = _join_back(df, days, [*keys, date_col])
-    gap = F.when(F.col(id_col) == F.col("__first_id"),
-                 F.datediff(F.col(date_col), F.col("__prev"))).otherwise(F.lit(0))
-    return joined.withColumn(out, gap.cast("long")).drop("__first_id", "__prev")
+    return attach_gap(df, previous_day_table(df, keys, date_col, id_col), keys, date_col, id_col, out)
 
 
 def previous_day_table(df: DataFrame, keys: Sequence[str], date_col: str, id_col: str) -> DataFrame:
