@@ -19,13 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repsmith.functions.scalars import has_estimated_load, positional_key, supports_load_metrics
 from repsmith.operators.joins import has_at_most, zero_filled
 from repsmith.operators.rollups import exercise_session_rollup, workout_rollup
-from repsmith.operators.windows import (attach_gap, day_level_features, gap_since_previous, pr_flag,
+from repsmith.operators.windows import (attach_gap, day_level_features, day_number, gap_since_previous, pr_flag,
                                        previous_day_table, relative_performance, trailing_range_max)
 
 FCT_SET_COLUMNS = [
@@ -205,3 +205,48 @@ def dim_routine(routines: DataFrame, folders: DataFrame) -> DataFrame:
     folder keeps null folder attributes."""
     f = folders.select("folder_id", F.col("title").alias("folder_title"), "folder_index")
     return routines.select("routine_id", "title", "folder_id", "notes", "exercise_count").join(f, "folder_id", "left")
+
+
+def affected_exercises(fct_set_before: DataFrame, fct_set_after: DataFrame, changed_workouts: DataFrame,
+                       live_before: DataFrame, live_after: DataFrame) -> DataFrame:
+    """Canonical exercises whose session facts an increment can change.
+
+    * exercises the changed workouts contained before or contain after the change -- their
+      later sessions move too (gap since last exposure, 90-day baseline), so the recompute
+      unit is the exercise, not the workout;
+    * exercises of every workout on a changed workout's date or on the next date with a
+      live workout (before and after) -- the gap since the last *workout* is global, so
+      those workouts' gaps can change although their exercises did not.
+
+    The date lookups run on per-date tables, bounded by the calendar.
+    """
+    ids = changed_workouts.select("workout_id").distinct()
+    dated = lambda live: live.select("workout_id", "workout_date_local")
+    changed_dates = (dated(live_before).unionByName(dated(live_after))
+                     .join(ids, "workout_id", "left_semi").select("workout_date_local").distinct())
+
+    def next_dates(live: DataFrame) -> DataFrame:
+        # the first live date strictly after each changed date: one range window over the
+        # union of live days and changed dates (both bounded by the calendar)
+        days = live.select("workout_date_local").distinct().withColumn("__live", F.lit(True))
+        both = days.unionByName(changed_dates.withColumn("__live", F.lit(False)))
+        w = Window.orderBy(day_number("workout_date_local")).rangeBetween(1, Window.unboundedFollowing)
+        nxt = both.withColumn("__next", F.min(F.when(F.col("__live"), F.col("workout_date_local"))).over(w))
+        return nxt.where(~F.col("__live") & F.col("__next").isNotNull()).select(
+            F.col("__next").alias("workout_date_local"))
+
+    dates = changed_dates.unionByName(next_dates(live_before)).unionByName(next_dates(live_after)).distinct()
+    on_dates = lambda fs: fs.join(dates, "workout_date_local", "left_semi").select("canonical_exercise")
+    of_changed = lambda fs: fs.join(ids, "workout_id", "left_semi").select("canonical_exercise")
+    return (of_changed(fct_set_before).unionByName(of_changed(fct_set_after))
+            .unionByName(on_dates(fct_set_before)).unionByName(on_dates(fct_set_after))
+            .where(F.col("canonical_exercise").isNotNull()).distinct())
+
+
+def exercise_session_refresh(fct_set_df: DataFrame, live_workouts: DataFrame, exercises: DataFrame,
+                             entity_cols: Sequence[str] = ()) -> DataFrame:
+    """The session fact recomputed for the given exercises only, over all their history. The
+    per-exercise windows need nothing from other exercises, and the workout gap reads all
+    live workouts, so the rows equal those of a full rebuild for these exercises."""
+    fs = fct_set_df.join(exercises.select("canonical_exercise"), "canonical_exercise", "left_semi")
+    return fct_exercise_session(exercise_sessions(fs, entity_cols), live_workouts, entity_cols)

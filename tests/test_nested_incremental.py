@@ -57,3 +57,28 @@ def test_keyed_table_replace_equals_rebuild(spark, scratch):
     assert got == expect
     t.replace_keys(delta, changed)  # replay: idempotent
     assert sorted(tuple(r) for r in t.read().collect()) == expect
+
+
+def test_exercise_level_refresh_equals_full_rebuild(spark, scratch):
+    from repsmith.plans import driver_tables as D
+    from repsmith.plans import marts as M
+    sf = "/root/testdata/sf0.001"
+    st = D.staging(spark, sf)
+    live = st["workouts"]
+    dim = M.dim_exercise(st["templates"], st["crosswalk"])
+    before_sets = st["sets"]
+    # the increment: one workout loses its warm-ups and another is deleted entirely
+    w_edit, w_del = [r.workout_id for r in before_sets.select("workout_id").distinct().orderBy("workout_id").limit(2).collect()]
+    after_sets = before_sets.where(~((F.col("workout_id") == w_edit) & F.col("is_warmup")) & (F.col("workout_id") != w_del))
+    after_live = live.withColumn("is_deleted", F.col("workout_id") == w_del)
+    fs_before, fs_after = M.fct_set(before_sets, live, dim), M.fct_set(after_sets, after_live, dim)
+    live_after = after_live.where(~F.col("is_deleted"))
+    target = KeyedTable(spark, f"{scratch}/fes", "canonical_exercise", n_buckets=8)
+    target.overwrite(M.fct_exercise_session(M.exercise_sessions(fs_before), live.where(~F.col("is_deleted"))))
+    changed = spark.createDataFrame([(w_edit,), (w_del,)], "workout_id long")
+    ex = M.affected_exercises(fs_before, fs_after, changed, live.where(~F.col("is_deleted")), live_after)
+    target.replace_keys(M.exercise_session_refresh(fs_after, live_after, ex), ex)
+    full = M.fct_exercise_session(M.exercise_sessions(fs_after), live_after)
+    got = sorted(map(tuple, target.read().select(*full.columns).collect()), key=str)
+    want = sorted(map(tuple, full.collect()), key=str)
+    assert got == want
