@@ -151,16 +151,16 @@ def snapshot_scd2(snapshots: DataFrame, key: str, valid_from: str, value_cols: S
     h = F.md5(F.to_json(F.struct(*[F.col(c) for c in value_cols])))
     df = snapshots.withColumn("__b", b).withColumn("__h", h)
     w_in = Window.partitionBy(key, "__b").orderBy(*order)
-    df = df.withColumn("__prev_in", F.lag("__h").over(w_in))
+    df = df.withColumn("__prev_in", F.lag("__h").over(w_in)).withColumn("__rn", F.row_number().over(w_in))
     # last content of each (key, bucket); the previous non-empty bucket's last content per key
     last = df.groupBy(key, "__b").agg(F.max(F.struct(*order, F.col("__h").alias("h"))).alias("__last"))
     last = last.select(key, "__b", F.lag(F.col("__last.h")).over(Window.partitionBy(key).orderBy("__b"))
                        .alias("__prev_bucket_h"))
     df = df.join(last, [key, "__b"], "left")
-    prev = F.when(F.row_number().over(w_in) == 1, F.col("__prev_bucket_h")).otherwise(F.col("__prev_in"))
+    prev = F.when(F.col("__rn") == 1, F.col("__prev_bucket_h")).otherwise(F.col("__prev_in"))
     changed = (df.withColumn("__prev", prev)
                .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h")))
-               .drop("__prev_in", "__prev_bucket_h", "__prev"))
+               .drop("__prev_in", "__prev_bucket_h", "__prev", "__rn"))
     # valid_to: next change in the bucket, else the first change of the next bucket with one
     changed = changed.withColumn("__next_in", F.lead(valid_from).over(w_in))
     first = changed.groupBy(key, "__b").agg(F.min(F.struct(*order)).alias("__first"))
