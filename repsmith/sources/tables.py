@@ -9,10 +9,10 @@ leaves the previous version in place (never a static overwrite of the input bein
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 
@@ -38,15 +38,16 @@ def write_table(df: DataFrame, base_path: str, partition_by: list[str] | None =
 
 def read_table(spark: SparkSession, base_path: str, where: Column | str | None = None) -> DataFrame:
     """Newest committed version of a table written by :func:`write_table`, optionally
-    filtered (S11; the predicate reaches the Parquet scan). Versions are found from the
-    file listing Spark already does for any read (uncommitted output lives in hidden
-    temporary folders and is not listed)."""
+    filtered (S11; the predicate reaches the Parquet scan). The versions are the ``v=``
+    partition directories: ``max(v)`` is one aggregate over partition values (no data
+    columns are read, and only that scalar reaches the driver); uncommitted output lives in
+    hidden temporary folders and is not listed."""
     try:
-        files = spark.read.parquet(base_path).inputFiles()
+        versions = spark.read.parquet(base_path)
     except AnalysisException:
         raise FileNotFoundError(base_path)
-    versions = sorted({m.group(1) for f in files if (m := re.search(r"/(v=[^/]+)/", f))})
-    if not versions:
+    latest = versions.agg(F.max(F.col("v").cast("string")).alias("v")).first()["v"]
+    if latest is None:
         raise FileNotFoundError(f"no committed version under {base_path}")
-    df = spark.read.parquet(f"{base_path.rstrip('/')}/{versions[-1]}")
+    df = spark.read.parquet(f"{base_path.rstrip('/')}/v={latest}")
     return df if where is None else df.where(where)
