@@ -83,15 +83,18 @@ def nest_children(children: DataFrame, parent_keys: Sequence[str], child_cols: S
     The child count per parent comes from a (map-side combined) count; parents with
     more than ``max_children`` children get ``ceil(n / max_children)`` salt buckets
     chosen by a hash of the child row, so a hot parent becomes several bounded groups
-    instead of one unbounded ``collect_list`` in one task. Output: parent keys,
-    ``__chunk``, ``array_name``.
+    instead of one unbounded ``collect_list`` in one task. The rows are then redistributed on
+    (parent, chunk), so a hot parent's chunks are collected by different tasks (and the count
+    join, no longer feeding the aggregation's partitioning directly, is left to AQE's skew
+    splitting). Output: parent keys, ``__chunk``, ``array_name``.
     """
     pk = list(parent_keys)
     counts = children.groupBy(*pk).agg(F.count(F.lit(1)).alias("__n"))
     salted = (children.join(counts, pk)
               .withColumn("__buckets", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(float(max_children)))).cast("long"))
               .withColumn("__chunk", F.pmod(F.xxhash64(*[F.col(c) for c in child_cols]), F.col("__buckets"))))
-    return (salted.groupBy(*pk, "__chunk")
+    return (salted.repartition(*[F.col(c) for c in pk], F.col("__chunk"))
+            .groupBy(*pk, "__chunk")
             .agg(F.collect_list(F.struct(*[F.col(c) for c in child_cols])).alias(array_name)))
 
 
