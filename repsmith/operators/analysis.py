@@ -89,8 +89,9 @@ def pooled_groups(sessions: DataFrame, fine: str, coarse: str, min_n: int = 10,
                   metric: str = "relative_performance", by: Sequence[str] = ()) -> DataFrame:
     """Minimum-sample gate (G8): a fine group with fewer than ``min_n`` sessions is pooled
     into its coarse group. Every result carries its n."""
+    from repsmith.operators.joins import join_null_safe
     counts = sessions.groupBy(*by, fine).agg(F.count(F.lit(1)).alias("__n_fine"))
-    tagged = sessions.join(counts, [*by, fine], "left")
+    tagged = join_null_safe(sessions, counts, [*by, fine], "left")     # a null era is a group too
     use_fine = F.col("__n_fine") >= min_n
     tagged = (tagged.withColumn("analysis_group", F.when(use_fine, F.col(fine)).otherwise(F.col(coarse)))
               .withColumn("group_level", F.when(use_fine, F.lit(fine)).otherwise(F.lit(coarse))))

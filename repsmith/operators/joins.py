@@ -64,6 +64,22 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Co
     return fact.join(d, on, how)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` where a null key matches a null key (``IS NOT DISTINCT FROM``),
+    as group keys behave. The key columns appear once (coalesced for outer joins)."""
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = e if cond is None else cond & e
+    j = left.join(r, cond, how)
+    if how in ("full", "full_outer", "outer", "fullouter", "right", "right_outer", "rightouter"):
+        for k in keys:
+            j = j.withColumn(k, F.coalesce(F.col(k), F.col(f"__r_{k}")))
+    return j.drop(*[f"__r_{k}" for k in keys])
+
+
 def null_safe_key(c: ColumnOrName, fill: str = "") -> Column:
     """``coalesce(k, '')`` join key so null keys pair with null keys (still a hash-join key)."""
     return F.coalesce(as_col(c).cast("string"), F.lit(fill))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
 from repsmith.functions.scalars import LB_PER_KG, near_step
+from repsmith.operators.joins import join_null_safe
 
 
 def check_unique(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
@@ -62,7 +63,7 @@ def reconcile(expected: DataFrame, actual: DataFrame, keys: Sequence[str] | str,
     keys = [keys] if isinstance(keys, str) else list(keys)
     e = expected.select(*keys, *[F.col(v).alias(f"expected_{v}") for v in values])
     a = actual.select(*keys, *[F.col(v).alias(f"actual_{v}") for v in values])
-    j = e.join(a, keys, "full_outer")
+    j = join_null_safe(e, a, keys, "full_outer")
     same = None
     for v in values:
         s = F.col(f"expected_{v}").eqNullSafe(F.col(f"actual_{v}"))
@@ -75,7 +76,7 @@ def compare_counts(expected: DataFrame, actual: DataFrame, key: str) -> DataFram
     actual_n, matches. A bucket present on one side only counts 0 on the other (R4, R5)."""
     e = expected.select(F.col(key), F.col("n").cast("long").alias("expected_n"))
     a = actual.select(F.col(key), F.col("n").cast("long").alias("actual_n"))
-    j = e.join(a, key, "full_outer")
+    j = join_null_safe(e, a, [key], "full_outer")
     j = j.withColumn("expected_n", F.coalesce("expected_n", F.lit(0).cast("long"))) \
          .withColumn("actual_n", F.coalesce("actual_n", F.lit(0).cast("long")))
     return j.withColumn("matches", F.col("expected_n") == F.col("actual_n"))

@@ -768,6 +768,7 @@ def q_weight_reconcile(spark, sf_dir):
     indep = (D.load(spark, sf_dir, "lineitem")
              .select(weight_lb_independent(F.col("l_extendedprice") / F.lit(X.LB_PER_KG)).alias("weight_lb"))
              .distinct().withColumn("in_independent", F.lit(True)))
-    j = native.join(indep, "weight_lb", "full_outer")
+    from repsmith.operators.joins import join_null_safe
+    j = join_null_safe(native, indep, ["weight_lb"], "full_outer")
     return j.select("weight_lb", F.coalesce("in_native", F.lit(False)).alias("in_native"),
                     F.coalesce("in_independent", F.lit(False)).alias("in_independent"))

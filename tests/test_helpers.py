@@ -37,3 +37,15 @@ def test_display_limit_exists_distinct_argmax(spark):
     best = rollups.argmax_row(df, [F.col("n"), F.col("s")]).collect()
     assert [tuple(r) for r in best] == [(3, "c")]
     assert rollups.argmax_row(df.where("n > 10"), [F.col("n")]).count() == 0
+
+
+def test_null_keys_form_groups_in_joins(spark):
+    from repsmith.operators import quality as Q
+    s = spark.createDataFrame([(None, "e1", 1.0)] * 12 + [("a", "e1", 2.0)], "era string, ex string, v double")
+    p = A.pooled_groups(s, "ex", "ex", min_n=10, metric="v", by=["era"])
+    got = {(r.era, r.group_level): r.n_sessions for r in p.collect()}
+    assert got[(None, "ex")] == 12                       # null era counted as its own group
+    e = spark.createDataFrame([(None, 1), ("x", 2)], "k string, n long")
+    a = spark.createDataFrame([(None, 1), ("x", 3)], "k string, n long")
+    assert [tuple(r) for r in Q.reconcile(e, a, "k", ["n"]).collect()] == [("x", 2, 3)]
+    assert sorted((tuple(r) for r in Q.compare_counts(e, a, "k").collect()), key=str) == sorted([(None, 1, 1, True), ("x", 2, 3, False)], key=str)
