@@ -3,9 +3,8 @@
 Suffixes are kept only at minimisers: of every WINDOW consecutive GRAM-word hashes the
 smallest one's position. Two texts that share LEAST words select the same position within
 the first WINDOW words of the passage, and from there share at least RIGHT words. The
-suffixes are range-partitioned and sorted by (hash of their first RIGHT words, hash of the
-next RIGHT words, doc_id, position), so equal starts are neighbours and, among them, longer
-agreements are; the order splits a hot passage over many partitions. Each suffix is paired
+suffixes are range-partitioned and sorted by (hash of their first RIGHT words, doc_id,
+position), so equal starts are neighbours; the order splits a hot passage over many partitions. Each suffix is paired
 with its predecessor and with the first suffix of its run, the pairs are merged by diagonal,
 and each is extended left and right on the words themselves. Spans of LEAST words or more
 are reported for the later (doc_id, position) of the two.
@@ -32,14 +31,14 @@ RIGHT = LEAST - WINDOW + 1
 #: Words beyond the outermost common suffixes that a match can still reach.
 MARGIN_LEFT, MARGIN_RIGHT = WINDOW + GRAM, 2 * RIGHT + WINDOW + GRAM
 
-SUFFIX = "b0 long, b1 long, doc_id long, pos long"
+SUFFIX = "b0 long, doc_id long, pos long"
 PAIR = "kind int, part int, b0 long, doc_id long, pos long, other long, other_pos long"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes at minimisers with RIGHT words after them; one that repeats a recent start (a
     periodic run) is left out, its run stays covered by the first."""
-    schema = pa.schema([(c, pa.int64()) for c in ("b0", "b1", "doc_id", "pos")])
+    schema = pa.schema([(c, pa.int64()) for c in ("b0", "doc_id", "pos")])
     for batch in batches:
         for lo, _, data, offsets in slices(batch, "text"):
             words = Words(data, offsets, SPACES)
@@ -55,16 +54,14 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 picks.append(some + views[some].argmin(axis=1))
             p = np.unique(np.concatenate(picks)) if picks else np.zeros(0, np.int64)
             p = p[p + RIGHT <= end[row[p]]]
-            run = Prefix(mix(words.hash))
-            b0 = run(p, p + RIGHT)
-            b1 = run(p + RIGHT, np.minimum(p + 2 * RIGHT, end[row[p]]))
+            b0 = Prefix(mix(words.hash))(p, p + RIGHT)
             fresh = np.ones(len(p), dtype=bool)
             for back in range(1, WINDOW + 1):
                 if len(p) > back:
                     fresh[back:] &= ~((b0[back:] == b0[:-back]) & (row[p[back:]] == row[p[:-back]]) & (p[back:] - p[:-back] < RIGHT))
-            p, b0, b1 = p[fresh], b0[fresh], b1[fresh]
+            p, b0 = p[fresh], b0[fresh]
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[lo + row[p]]
-            yield pa.RecordBatch.from_arrays([pa.array(b0.view(np.int64)), pa.array(b1.view(np.int64)), pa.array(ids, pa.int64()), pa.array(p - words.bounds[row[p]], pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(b0.view(np.int64)), pa.array(ids, pa.int64()), pa.array(p - words.bounds[row[p]], pa.int64())], schema=schema)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,13 +131,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Spans that repeat earlier text: doc_id, text_hash, start_word, n_words, source_id, source_start.
 
     Words are separated by ASCII white space and compared with A-Z in lower case. "Earlier"
-    is the smaller (doc_id, position), also inside one document; several spans may overlap.
+    is the smaller (doc_id, position), also inside one document; several spans may overlap, and
+    each comes with the earliest source found for it.
     Rows without doc_id or text take no part. Rows that repeat a doc_id count as one document
     (equal rows are not compared with each other); ``text_hash`` (xxhash64) tells differing
     texts of one id apart. Fewer than LEAST words or an empty table give no span."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
     suffixes = docs.mapInArrow(_suffixes, SUFFIX)
-    ordered = suffixes.repartitionByRange(*["b0", "b1", "doc_id", "pos"]).sortWithinPartitions("b0", "b1", "doc_id", "pos")
+    ordered = suffixes.repartitionByRange("b0", "doc_id", "pos").sortWithinPartitions("b0", "doc_id", "pos")
     near = persisted(ordered.mapInArrow(_neighbours, PAIR), "neighbours")
 
     # Two rows for each partition: the run that a partition starts with may have begun before it.
@@ -164,8 +162,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     cut = persisted(texts.mapInArrow(_segments, "doc_id long, first long, until long, text_hash long, words binary"), "segments")
     other = cut.select(F.col("doc_id").alias("other"), F.col("first").alias("other_first"), F.col("until").alias("other_until"), F.col("words").alias("other_words"))
     both = merged.join(other, ["other", "other_first", "other_until"]).join(cut, ["doc_id", "first", "until"])
-    return both.select("doc_id", "text_hash", "other", "first", "other_first", "words", "other_words").mapInArrow(
-        _extend, "doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long").distinct()
+    spans = both.select("doc_id", "text_hash", "other", "first", "other_first", "words", "other_words").mapInArrow(
+        _extend, "doc_id long, text_hash long, start_word long, n_words long, source_id long, source_start long")
+    source = F.min(F.struct("source_id", "source_start")).alias("s")
+    return spans.groupBy("doc_id", "text_hash", "start_word", "n_words").agg(source).select("doc_id", "text_hash", "start_word", "n_words", "s.source_id", "s.source_start")
 
 
 def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

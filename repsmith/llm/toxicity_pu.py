@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from repsmith.llm._common import persisted
 from repsmith.llm._text import NON_WORD, Words, slices
 
-MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 8000, 20_000
-LEAST_DOCS, LEAST_LIFT = 4, 3.0
+MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 6000, 20_000, 20_000
+#: A feature must be in so many positives, and in this share of them, and so much more frequent there.
+LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 4, 0.004, 4.0
 PREFIXES = (4, 5, 6, 8)
-EPOCHS, BATCH, RATE, DECAY, SEED = 30, 256, 0.05, 1e-4, 13
+STEPS, RATE, DECAY = 400, 0.05, 1e-4
 
 
 def held_out(id_col: str) -> Column:
@@ -64,42 +65,32 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and bias by mini-batch descent on the corrected risk (logistic loss, Adam steps).
+    """Weights and bias by descent on the corrected risk (logistic loss, Adam steps over the whole
+    sample: in small batches the noise of the bracket alone would keep turning the step around).
     Each example is an array of feature numbers."""
-    rng = np.random.default_rng(SEED)
-    w, state = np.zeros(features + 1), [np.zeros(features + 1), np.zeros(features + 1)]
-    w[-1] = np.log(prior / (1 - prior))
-    rounds = max(1, len(unlabelled) // BATCH)
-    step = 0
 
-    def flat(rows: list[np.ndarray], pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        own = [rows[i] for i in pick]
-        at = np.repeat(np.arange(len(own)), [len(x) for x in own])
-        index = np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int64)
-        z = np.bincount(at, weights=w[index], minlength=len(own)) + w[-1]
-        return at, index, _sigmoid(z)
+    def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(rows)), [len(x) for x in rows]), np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+
+    def scores(at: np.ndarray, index: np.ndarray, n: int) -> np.ndarray:
+        return _sigmoid(np.bincount(at, weights=w[index], minlength=n) + w[-1])
 
     def gradient(at: np.ndarray, index: np.ndarray, slope: np.ndarray) -> np.ndarray:
         g = np.bincount(index, weights=slope[at], minlength=features + 1) / len(slope)
         g[-1] += slope.mean()
         return g
 
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(unlabelled))
-        for r in range(rounds):
-            p_at, p_index, p = flat(positive, rng.integers(0, len(positive), BATCH))
-            u_at, u_index, u = flat(unlabelled, order[r * BATCH:(r + 1) * BATCH])
-            negative = -np.log(1 - u + 1e-12).mean() + prior * np.log(1 - p + 1e-12).mean()
-            correction = gradient(u_at, u_index, u) - prior * gradient(p_at, p_index, p)
-            if negative >= 0:
-                g = prior * gradient(p_at, p_index, p - 1) + correction
-            else:
-                g = -correction
-            g[:-1] += DECAY * w[:-1]
-            step += 1
-            state[0] = 0.9 * state[0] + 0.1 * g
-            state[1] = 0.999 * state[1] + 0.001 * g * g
-            w -= RATE * (state[0] / (1 - 0.9 ** step)) / (np.sqrt(state[1] / (1 - 0.999 ** step)) + 1e-8)
+    w, mean, square = (np.zeros(features + 1) for _ in range(3))
+    w[-1] = np.log(prior / (1 - prior))
+    p_rows, u_rows = flat(positive), flat(unlabelled)
+    for step in range(1, STEPS + 1):
+        p, u = scores(*p_rows, len(positive)), scores(*u_rows, len(unlabelled))
+        negative = -np.log(1 - u + 1e-12).mean() + prior * np.log(1 - p + 1e-12).mean()
+        correction = gradient(*u_rows, u) - prior * gradient(*p_rows, p)
+        g = prior * gradient(*p_rows, p - 1) + correction if negative >= 0 else -correction
+        g[:-1] += DECAY * w[:-1]
+        mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
+        w -= RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
     return w[:-1], float(w[-1])
 
 
@@ -122,13 +113,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic = labels.where((F.col("toxic") == 1) & share(MAX_POSITIVE, positives, 1)).select("doc_id")
     sample = docs.join(toxic, "doc_id").select(F.lit(True).alias("positive"), "text").unionByName(
         docs.where(share(MAX_UNLABELLED, total, 2)).select(F.lit(False).alias("positive"), "text"))
+    sample = sample.dropDuplicates()  # copies of one text are one example
     sample = persisted(sample.repartition(F.xxhash64("text")).mapInArrow(_sampled_features, "positive boolean, features array<long>").withColumn("id", F.monotonically_increasing_id()), "sample")
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     if not sizes.get(True) or not sizes.get(False):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
     in_positive, in_unlabelled = (F.sum(F.when(F.col("positive") == x, 1).otherwise(0)) for x in (True, False))
     chosen = (sample.select("positive", F.explode("features").alias("feature")).groupBy("feature").agg(in_positive.alias("p"), in_unlabelled.alias("u"))
-              .where((F.col("p") >= LEAST_DOCS) & (F.col("p") / sizes[True] >= LEAST_LIFT * (F.col("u") + 1) / (sizes[False] + 1)))
+              .where((F.col("p") >= max(LEAST_DOCS, LEAST_SHARE * sizes[True])) & (F.col("p") / sizes[True] >= LEAST_LIFT * (F.col("u") + 1) / (sizes[False] + 1)))
               .orderBy(F.desc("p"), "feature").limit(MAX_FEATURES))
     hashes = np.sort(np.array([r["feature"] for r in chosen.select("feature").collect()], np.int64).view(np.uint64))
     model = Model(hashes, np.zeros(len(hashes)), 0.0)
