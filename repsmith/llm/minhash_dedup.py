@@ -5,8 +5,9 @@ in the buckets of ``BANDS`` bands of ``ROWS`` minima. In each bucket every membe
 compared with three leaders (linear, also for a hot bucket); confirmed links are
 contracted by alternating large-star and small-star. What the leaders left apart is then
 settled: members outside the bucket's largest component are compared with all members of
-other components, by signature, in blocks of at most ``BLOCK`` x ``BLOCK``, and only pairs
-that pass reach the confirmation. Two members of one component need no test, so no link
+other components by signature, in blocks of about ``BLOCK`` x ``BLOCK``. A block returns a
+spanning forest of its similar pairs, which gives families; within a family, each node present
+once, the same comparison ends with the confirmation and returns only links. Two members of one component need no test, so no link
 between components is lost and a large group of near copies never becomes all its pairs.
 
 A link is confirmed on the full sets: 100 * intersection >= 85 * union. The banding
@@ -17,7 +18,7 @@ signature check (four standard deviations) with about 3e-5.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,46 +97,85 @@ def _estimate(share: np.ndarray) -> np.ndarray:
     return (share - 1 / 256) / (1 - 1 / 256)
 
 
+def _linkable(x: np.ndarray, y: np.ndarray) -> bool:
+    """100 * intersection >= PERCENT * union, for sorted distinct values."""
+    if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            keep = [_linkable(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column("set_a"), batch.column("set_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, i, j): compares a cell's queries with its members of other roots."""
+def _blocks(compare: Callable[[pa.Table], list[tuple[int, int]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Applies ``compare`` to each (key, i, j) of rows sorted so; returns its pairs (a, b)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        rows = rows.combine_chunks()
-        query = rows.column("query").to_numpy(zero_copy_only=False).astype(bool)
-        node, root = rows.column("node").to_numpy(), rows.column("root").to_numpy()
-        sig = _matrix(rows.column("sig").combine_chunks())
-        node_m, root_m, sig_m = node[~query], root[~query], sig[~query]
-        for at in np.flatnonzero(query):
-            other = np.flatnonzero(root_m != root[at])
-            near = other[_estimate((sig_m[other] == sig[at]).mean(axis=1)) >= SIGNATURE_LEAST] if len(other) else other
-            if len(near):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node_m[near], node[at])), pa.array(np.maximum(node_m[near], node[at]))], schema=schema)
-
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        cell = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
-        cuts = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
-        for lo, hi in zip([0, *cuts[:-1]], cuts):
-            yield from compare(held.slice(lo, hi - lo))
-        held = held.slice(cuts[-1]) if len(cuts) else held
-    if held is not None:
-        yield from compare(held)
+    def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = compare(rows.combine_chunks())
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            cell = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
+            cuts = np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *cuts[:-1]], cuts):
+                yield from out(held.slice(lo, hi - lo))
+            held = held.slice(cuts[-1]) if len(cuts) else held
+        if held is not None:
+            yield from out(held)
+    return run
+
+
+def _similar_members(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(row of a query, rows of the block's members with another root and a similar signature, most similar first)."""
+    query = rows.column("query").to_numpy().astype(bool)
+    root, sig = rows.column("root").to_numpy(), _matrix(rows.column("sig").combine_chunks())
+    members = np.flatnonzero(~query)
+    root_m, sig_m = root[members], sig[members]
+    for at in np.flatnonzero(query):
+        other = np.flatnonzero(root_m != root[at])
+        like = _estimate((sig_m[other] == sig[at]).mean(axis=1)) if len(other) else np.zeros(0)
+        order = np.argsort(-like, kind="stable")
+        yield at, members[other[order[like[order] >= SIGNATURE_LEAST]]]
+
+
+def _families(rows: pa.Table) -> list[tuple[int, int]]:
+    """A spanning forest of the block's similar pairs: fewer edges than rows."""
+    node = rows.column("node").to_numpy()
+    _, label = np.unique(node, return_inverse=True)
+    names = np.unique(node)
+    family = np.arange(len(names))
+    for at, near in _similar_members(rows):
+        joined = family[np.append(label[near], label[at])]
+        least = joined.min()
+        if (joined != least).any():
+            family[np.isin(family, joined)] = least
+    return [(int(names[f]), int(n)) for n, f in zip(names, family) if names[f] != n]
+
+
+def _linked(rows: pa.Table) -> list[tuple[int, int]]:
+    """Per query one confirmed link to each other root that has one in the block."""
+    node, root, sets = rows.column("node").to_pylist(), rows.column("root").to_pylist(), [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("shingles").combine_chunks()]
+    found = []
+    for at, near in _similar_members(rows):
+        done = set()
+        for m in near:
+            if root[m] not in done and _linkable(sets[at], sets[m]):
+                done.add(root[m])
+                found.append((node[at], node[m]))
+    return found
 
 
 def star_components(edges: DataFrame) -> DataFrame:
@@ -189,35 +229,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         fits = f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)"
         return p.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b", "sig_a", "sig_b").mapInArrow(_similar, "a long, b long")
 
-    def confirmed(p: DataFrame, name: str) -> DataFrame:
-        """The pairs that hold on the full sets; sets are rebuilt from the text of one document per node."""
-        wanted = p.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep", "digest"), "node")
-        wanted = persisted(wanted, "wanted")
-        texts = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.rep)).select("node", "digest", "text")
-        sets = persisted(texts.mapInArrow(_sets, "node long, shingles binary"), "sets")
-        side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-        return persisted(p.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long"), name)
-
-    links = confirmed(persisted(signed(pairs), "similar"), "links")
-    roots = persisted(star_components(links), "roots")
-
-    rooted = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
-    main = (sizes.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.sum("k").alias("m"), F.max("k").alias("most"))
-            .where("roots > 1")
-            .select("key", "main", F.ceil(F.col("m") / BLOCK).alias("cells_m"), F.ceil((F.col("m") - F.col("most")) / BLOCK).alias("cells_q")))
-    open_ = persisted(rooted.join(main, "key"), "open")
-    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    own = lambda n: F.pmod(F.xxhash64("node"), n)
-    queries = open_.where("root <> main").select("key", "node", "root", own(F.col("cells_q")).alias("i"), spread(F.col("cells_m")).alias("j"), F.lit(True).alias("query"))
-    others = open_.select("key", "node", "root", spread(F.col("cells_q")).alias("i"), own(F.col("cells_m")).alias("j"), F.lit(False).alias("query"))
-    cells = queries.unionByName(others).join(nodes.select("node", "sig"), "node")
-    late = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_cells, "a long, b long").distinct()
-    more = confirmed(persisted(signed(late), "late"), "more")
-    if more.isEmpty():
-        final = roots
-    else:
-        final = persisted(star_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "final")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(node, shingles), rebuilt from the text of one document per node; the sort-merge join holds at any size."""
+        wanted = persisted(wanted.join(nodes.select("node", "rep", "digest"), "node"), "wanted")
+        texts = docs.join(wanted.hint("merge"), docs.doc_id.eqNullSafe(wanted.rep)).select("node", "digest", "text")
+        return persisted(texts.mapInArrow(_sets, "node long, shingles binary"), "sets")
+
+    similar = persisted(signed(pairs), "similar")
+    sets = sets_of(similar.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+    links = similar.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long")
+    roots = persisted(star_components(persisted(links, "links")), "roots")
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        """(key, node, root) laid out for ``_blocks``: per key with more than one root, the rows outside
+        the largest root as queries against all rows, in blocks of about BLOCK x BLOCK."""
+        sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
+        main = (sizes.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.sum("k").alias("m"), F.max("k").alias("most"))
+                .where("roots > 1")
+                .select("key", "main", F.ceil(F.col("m") / BLOCK).alias("cells_m"), F.ceil((F.col("m") - F.col("most")) / BLOCK).alias("cells_q")))
+        open_ = persisted(rows.join(main, "key"), "open")
+        spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+        own = lambda n: F.pmod(F.xxhash64("node"), n)
+        queries = open_.where("root <> main").select("key", "node", "root", own(F.col("cells_q")).alias("i"), spread(F.col("cells_m")).alias("j"), F.lit(True).alias("query"))
+        others = open_.select("key", "node", "root", spread(F.col("cells_q")).alias("i"), own(F.col("cells_m")).alias("j"), F.lit(False).alias("query"))
+        return queries.unionByName(others).join(nodes.select("node", "sig"), "node")
+
+    def compared(cells: DataFrame, compare: Callable[[pa.Table], list[tuple[int, int]]], name: str) -> DataFrame:
+        return persisted(cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_blocks(compare), "a long, b long").distinct(), name)
+
+    rooted = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    families = persisted(star_components(compared(blocks(rooted), _families, "similar")), "families")
+    # A family's members are compared once, not once per bucket, and on their sets.
+    family = families.select("node", F.col("root").alias("key")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = compared(blocks(family).join(sets_of(families.select("node")), "node"), _linked, "links")
+    final = persisted(star_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
 
     classes = nodes.select("node", "digest", "rep").join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
