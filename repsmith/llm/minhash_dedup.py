@@ -279,6 +279,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     verdict = near_duplicates(docs, id_col, text_col)
     gone = persisted(verdict.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "gone")
     key = [F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_hash")]
-    stay = docs.join(gone, key[0].eqNullSafe(gone["_id"]) & (key[1] == gone["_hash"]), "left_anti")
+    stay = docs.join(gone.hint("merge"), key[0].eqNullSafe(gone["_id"]) & (key[1] == gone["_hash"]), "left_anti")
     repeated = docs.select(*key).groupBy("_id", "_hash").count().where("count > 1")
     return stay if repeated.isEmpty() else stay.dropDuplicates([id_col, text_col])

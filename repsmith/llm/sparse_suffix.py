@@ -158,7 +158,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                        .select("doc_id", "other", "first", "until", (F.col("first") - F.col("shift")).alias("other_first"), (F.col("until") - F.col("shift")).alias("other_until")), "matches")
 
     wanted = merged.select("doc_id", "first", "until").unionByName(merged.select(F.col("other").alias("doc_id"), F.col("other_first").alias("first"), F.col("other_until").alias("until"))).distinct()
-    texts = docs.join(wanted, "doc_id").withColumn("text_hash", F.xxhash64("text"))
+    texts = docs.join(wanted.hint("merge"), "doc_id")  # one plan at every size.withColumn("text_hash", F.xxhash64("text"))
     cut = persisted(texts.mapInArrow(_segments, "doc_id long, first long, until long, text_hash long, words binary"), "segments")
     other = cut.select(F.col("doc_id").alias("other"), F.col("first").alias("other_first"), F.col("until").alias("other_until"), F.col("words").alias("other_words"))
     both = merged.join(other, ["other", "other_first", "other_until"]).join(cut, ["doc_id", "first", "until"])
@@ -198,7 +198,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.toDF(*names)
     of = dict(zip(docs.columns, names))
     text = F.col(of[text_col]).cast("string")
-    found = plain.join(cuts, (F.col(of[id_col]).cast("long") == F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
+    found = plain.join(cuts.hint("merge"), (F.col(of[id_col]).cast("long") == F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
     rest = [n for n in names if n != of[text_col]]
     schema = ", ".join([*[f"{n} {plain.schema[n].dataType.simpleString()}" for n in rest], "_text string"])
     out = found.select(*rest, text.alias("_text"), "_spans").mapInArrow(_cut_text, schema)
