@@ -153,6 +153,14 @@ TABLE: tuple[tuple[tuple[str, int, int, int], ...], ...] = (
     (("f", 8, 0, 0), ("h", 4, 4, 1), ("a", 28, 14, 1), ("a", 40, 10, 1), ("a", 6, 6, 0), ("a", 5, 5, 0), ("a", 50, 0, 1), ("f", 3, 0, 0)),
     (("b", 150, 0, 1), ("b", 70, 3, 1), ("b", 9, 0, 1), ("b", 85, 0, 1), ("b", 5, 0, 0)),
     (("b", 2, 0, 0), ("b", 3, 0, 0), ("b", 4, 2, 0), ("b", 21, 0, 1), ("b", 35, 0, 1), ("b", 2, 1, 0), ("b", 4, 0, 0)),
+    (("a", 30, 0, 1), ("a", 3, 0, 1)),
+    (("h", 5, 0, 1), ("a", 2, 0, 1), ("a", 40, 0, 1), ("a", 1, 0, 1), ("a", 8, 0, 1), ("a", 2, 0, 1), ("a", 1, 0, 1), ("a", 5, 0, 1)),
+    (("f", 3, 3, 0), ("h", 6, 0, 1), ("a", 2, 0, 1), ("a", 12, 0, 1), ("a", 50, 0, 1), ("a", 2, 0, 1), ("a", 20, 0, 1), ("a", 6, 0, 1)),
+    (("f", 5, 5, 0), ("a", 1, 0, 1), ("a", 9, 0, 1), ("a", 76, 0, 1), ("a", 1, 0, 1), ("a", 33, 0, 1), ("a", 4, 0, 1), ("f", 7, 0, 0)),
+    (("h", 1, 0, 1), ("a", 1, 0, 1), ("a", 1, 0, 1), ("a", 2, 1, 1), ("a", 10, 0, 1), ("a", 3, 0, 1), ("f", 2, 2, 0)),
+    (("b", 60, 0, 1), ("b", 40, 0, 1)),
+    (("b", 3, 3, 0), ("b", 40, 8, 1), ("b", 55, 12, 1), ("b", 30, 5, 1), ("b", 4, 4, 0), ("b", 12, 9, 0)),
+    (("b", 1, 0, 0), ("b", 2, 0, 0), ("b", 28, 0, 1), ("b", 95, 0, 1), ("b", 26, 2, 1)),
     (("f", 100, 0, 0), ("f", 6, 0, 0), ("h", 14, 0, 1), ("a", 300, 6, 1), ("h", 3, 0, 1), ("a", 90, 0, 1), ("f", 80, 0, 0), ("f", 45, 2, 0)),
 )
 
@@ -170,7 +178,7 @@ def training_table() -> tuple[np.ndarray, np.ndarray]:
 Tree = tuple  # (feature, threshold, left, right), or (probability,)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 7, least: int = 1) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 7, least: int = 2) -> Tree:
     """A binary tree by the largest fall of the Gini impurity; ties go to the first feature and lowest threshold."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0):

@@ -158,7 +158,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                        .select("doc_id", "other", "first", "until", (F.col("first") - F.col("shift")).alias("other_first"), (F.col("until") - F.col("shift")).alias("other_until")), "matches")
 
     wanted = merged.select("doc_id", "first", "until").unionByName(merged.select(F.col("other").alias("doc_id"), F.col("other_first").alias("first"), F.col("other_until").alias("until"))).distinct()
-    texts = docs.join(wanted.hint("merge"), "doc_id")  # one plan at every size.withColumn("text_hash", F.xxhash64("text"))
+    # The sort-merge join holds at any size.
+    texts = docs.join(wanted.hint("merge"), "doc_id").withColumn("text_hash", F.xxhash64("text"))
     cut = persisted(texts.mapInArrow(_segments, "doc_id long, first long, until long, text_hash long, words binary"), "segments")
     other = cut.select(F.col("doc_id").alias("other"), F.col("first").alias("other_first"), F.col("until").alias("other_until"), F.col("words").alias("other_words"))
     both = merged.join(other, ["other", "other_first", "other_until"]).join(cut, ["doc_id", "first", "until"])
