@@ -46,11 +46,13 @@ def round_half_away(c: ColumnOrName, digits: int) -> Column:
     """``round(x, d)`` as a binary-double operation: sign(x) * floor(|x| * 10^d + 0.5) / 10^d.
 
     Spark's own ``round`` rounds the exact decimal expansion HALF_UP, which differs
-    on values such as 1.005 (stored as 1.00499999...). Null stays null.
+    on values such as 1.005 (stored as 1.00499999...). Null stays null. From 2**53 on, the
+    scaled value has no fraction left and x is returned as it is.
     """
     x = as_col(c).cast("double")
     scale = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    rounded = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.abs(x) * F.lit(scale) >= F.lit(float(1 << 53)), x).otherwise(rounded)
 
 
 def weight_lb(kg: ColumnOrName) -> Column:

@@ -221,15 +221,14 @@ def routine_adherence(workouts: DataFrame, workout_exercises: DataFrame, routine
     return out
 
 
-def flag_periods(df: DataFrame, date_col: str, periods: DataFrame, flag: str = "is_disrupted",
-                 max_broadcast_rows: int = 10_000) -> DataFrame:
-    """Flag rows whose date falls in any listed period (G15). A semi join and an anti join
-    against the broadcast period list give every input row exactly once, so overlapping
-    periods never duplicate rows. The period list must be proven small."""
-    from repsmith.operators.joins import has_at_most
-    if not has_at_most(periods, max_broadcast_rows):
-        raise ValueError("flag_periods expects a bounded period list; use range_join for large ones")
-    p = F.broadcast(periods.select(F.col("start_date").alias("__s"), F.col("end_date").alias("__e")))
-    cond = (F.col(date_col) >= F.col("__s")) & (F.col(date_col) <= F.col("__e"))
-    return (df.join(p, cond, "left_semi").withColumn(flag, F.lit(True))
-            .unionByName(df.join(p, cond, "left_anti").withColumn(flag, F.lit(False))))
+def flag_periods(df: DataFrame, date_col: str, periods: DataFrame, flag: str = "is_disrupted") -> DataFrame:
+    """Flag rows whose date falls in any listed period (G15), for any number of periods.
+
+    The periods become the distinct days they cover within the data's span (bounded by the
+    calendar), which join on equality, so overlapping periods never duplicate rows."""
+    day = F.col(date_col).cast("date")
+    lo, hi = df.agg(F.min(day)).scalar(), df.agg(F.max(day)).scalar()
+    start, end = F.col("start_date").cast("date"), F.col("end_date").cast("date")
+    days = (periods.where((end >= lo) & (start <= hi) & (start <= end))
+            .select(F.explode(F.sequence(F.greatest(start, lo), F.least(end, hi))).alias("__day")).distinct())
+    return df.join(days, day == F.col("__day"), "left").withColumn(flag, F.col("__day").isNotNull()).drop("__day")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repsmith.operators.joins import join_null_safe
 from repsmith.functions._util import as_col, ColumnOrName
 from repsmith.functions.scalars import bump_millisecond, iso_utc_text
 
@@ -156,7 +157,7 @@ def snapshot_scd2(snapshots: DataFrame, key: str, valid_from: str, value_cols: S
     last = df.groupBy(key, "__b").agg(F.max(F.struct(*order, F.col("__h").alias("h"))).alias("__last"))
     last = last.select(key, "__b", F.lag(F.col("__last.h")).over(Window.partitionBy(key).orderBy("__b"))
                        .alias("__prev_bucket_h"))
-    df = df.join(last, [key, "__b"], "left")
+    df = join_null_safe(df, last, [key, "__b"], "left")
     prev = F.when(F.col("__rn") == 1, F.col("__prev_bucket_h")).otherwise(F.col("__prev_in"))
     changed = (df.withColumn("__prev", prev)
                .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h")))
@@ -166,7 +167,7 @@ def snapshot_scd2(snapshots: DataFrame, key: str, valid_from: str, value_cols: S
     first = changed.groupBy(key, "__b").agg(F.min(F.struct(*order)).alias("__first"))
     first = first.select(key, "__b", F.lead(F.col(f"__first.{valid_from}")).over(
         Window.partitionBy(key).orderBy("__b")).alias("__next_bucket"))
-    out = changed.join(first, [key, "__b"], "left")
+    out = join_null_safe(changed, first, [key, "__b"], "left")
     valid_to = F.coalesce(F.col("__next_in"), F.col("__next_bucket"))
     return (out.withColumn("valid_to", valid_to)
             .withColumn("is_current", F.col("valid_to").isNull())

@@ -88,8 +88,12 @@ class KeyedTable:
         return self._raw().where(~F.col(MARKER)).drop(MARKER, BUCKET)
 
     def overwrite(self, df: DataFrame) -> None:
-        """Full rebuild (first load or full refresh)."""
-        (df.withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
+        """Full rebuild (first load or full refresh). One marker row carries the schema, so an
+        empty table can be read."""
+        rows = df.withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
+        marker = self.spark.range(1).select(*[(F.lit(True) if f.name == MARKER else F.lit(0 if f.name == BUCKET else None)).cast(f.dataType).alias(f.name)
+                                              for f in rows.schema.fields])
+        (rows.unionByName(marker)
            .write.mode("overwrite").partitionBy(BUCKET).parquet(self.path))
 
     def replace_keys(self, delta: DataFrame, changed_keys: DataFrame | None = None) -> None:

@@ -1,8 +1,7 @@
 """Join operators.
 
-Broadcast is used only behind a proven bound: ``broadcast_if_bounded`` reads at most
-``max_rows + 1`` rows of the candidate side (a ``limit`` count, so the check itself
-is cheap and cannot blow up). Anything larger is left to Spark: the static
+Broadcast is used only behind a proven bound: ``broadcast_if_bounded`` counts the candidate
+side (one number per task). Anything larger is left to Spark: the static
 ``autoBroadcastJoinThreshold`` estimate and AQE's runtime switch, which measure real
 sizes, and AQE skew-join splitting for hot keys on the shuffle path.
 """
@@ -20,8 +19,8 @@ DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (a distributed count)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -37,8 +36,11 @@ def range_join(left: DataFrame, ranges: DataFrame, value: ColumnOrName, start: s
     ``left``. Many ranges -> each range is exploded into the ``bucket`` periods it covers
     (clamped to the span of ``left``'s values, so open-ended sentinel ends stay cheap),
     equi-joined on the period, then filtered by the exact bounds. Overlapping ranges
-    duplicate rows, as the SQL join would.
+    duplicate rows, as the SQL join would. ``how`` is inner, left, left_semi or left_anti:
+    unmatched ranges are not asked for here, and exploded ranges could not give them.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti"):
+        raise ValueError(f"range_join does not support how={how!r}")
     v = as_col(value)
     if has_at_most(ranges, max_broadcast_rows):
         r = F.broadcast(ranges)

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repsmith.functions.versions import own_time
 from repsmith.functions.json import content_hash, json_text, record_id
 from repsmith.functions.scalars import bump_millisecond, iso_utc_text
 from repsmith.operators.cdc import changed_only, dedupe_last_wins, latest_by_key
@@ -30,8 +31,13 @@ def snapshot_to_land(records: DataFrame, stored_bronze: DataFrame | None,
     r = dedupe_last_wins(identify(records), "record_id", [F.col(c) for c in seq])
     if stored_bronze is None:
         return r
-    return changed_only(r, stored_bronze.select("record_id", "record_hash", "ingested_at"),
-                        stored_order=[F.col("ingested_at"), F.col("record_hash")])
+    return changed_only(r, _versions(stored_bronze), stored_order=[F.col(c) for c in ("ingested_at", "own_time", "record_hash")])
+
+
+def _versions(stored_bronze: DataFrame) -> DataFrame:
+    """Stored versions without their documents, with what orders them (no own time where only ids are stored)."""
+    own = own_time() if "record" in stored_bronze.columns else F.lit(None).cast("timestamp")
+    return stored_bronze.select("record_id", "record_hash", "ingested_at", own.alias("own_time"))
 
 
 def backfill_check(records: DataFrame, source_count: DataFrame) -> DataFrame:
@@ -44,10 +50,11 @@ def backfill_check(records: DataFrame, source_count: DataFrame) -> DataFrame:
 
 def entities_from_feed(feed_records: DataFrame, seq: Sequence[str] = ("page", "pos")) -> DataFrame:
     """Feed -> entity refresh (C7): ``updated`` events wrap the full entity; unwrap it,
-    dedupe (last event per entity wins), and return entity records ready to land."""
+    dedupe (the latest ``updated_at`` per entity wins, then ``seq``), and return entity
+    records ready to land."""
     upd = feed_records.where(json_text("record", "$.type") == F.lit("updated")).select(
         F.get_json_object("record", "$.workout").alias("record"), *seq)
-    return dedupe_last_wins(identify(upd), "record_id", [F.col(c) for c in seq])
+    return dedupe_last_wins(identify(upd), "record_id", [own_time(), *[F.col(c) for c in seq]])
 
 
 def feed_high_water(feed_records: DataFrame, default: str = "1970-01-01 00:00:00") -> DataFrame:
@@ -66,6 +73,6 @@ def upsert_state(state: DataFrame, updates: DataFrame, key: str = "dataset") ->
 def missing_from_snapshot(stored_bronze: DataFrame, snapshot_ids: DataFrame, id_col: str = "record_id") -> DataFrame:
     """Scheduled full reconcile (G16, B18): stored live ids absent from a full source
     snapshot -- deletes the change feed missed."""
-    latest = latest_by_key(stored_bronze.select("record_id", "ingested_at", "record_hash"), "record_id",
-                           [F.col("ingested_at"), F.col("record_hash")])
+    latest = latest_by_key(_versions(stored_bronze), "record_id",
+                           [F.col(c) for c in ("ingested_at", "own_time", "record_hash")]).select("record_id", "ingested_at", "record_hash")
     return latest.join(snapshot_ids.select(F.col(id_col).alias("record_id")), "record_id", "left_anti")

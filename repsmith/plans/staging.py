@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from repsmith.functions import scalars as X
 from repsmith.functions.json import json_array_len, json_text
 from repsmith.operators.cdc import latest_by_key, soft_delete_flags
+from repsmith.functions.versions import version_order
 from repsmith.operators.joins import range_join
 
 
@@ -40,9 +41,9 @@ def parsed_workouts(bronze_workouts: DataFrame) -> DataFrame:
 
 
 def latest(bronze: DataFrame) -> DataFrame:
-    """Latest landed version per record id."""
+    """Latest landed version per record id (C5), by landing time, own time, hash."""
     return latest_by_key(bronze.select("record_id", "ingested_at", "record_hash", "record"),
-                         "record_id", [F.col("ingested_at"), F.col("record_hash")])
+                         "record_id", version_order())
 
 
 def _ts(doc: str, path: str):
@@ -78,7 +79,7 @@ def stg_workouts(bronze_workouts: DataFrame, bronze_events: DataFrame, eras: Dat
     flagged = soft_delete_flags(
         d, ev.select("record_id", "ingested_at", "record_hash", "record"), "workout_id", "record_id",
         json_text("record", "$.type") == F.lit("deleted"),
-        [F.col("ingested_at"), F.col("record_hash")], _ts("record", "$.deleted_at"))
+        version_order(), _ts("record", "$.deleted_at"))
     return flagged.select(
         "workout_id", "title", "description", "routine_id", "started_at_utc", "ended_at_utc",
         "started_at_local", "ended_at_local", "workout_date_local", "workout_hour_local", "part_of_day",

@@ -66,10 +66,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in conf.items():
         if not k.startswith(("spark.driver", "spark.ui", "spark.master")):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a reused session
-                pass
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)  # a static setting that differs raises
     return spark
 
 

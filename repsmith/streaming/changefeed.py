@@ -9,6 +9,10 @@ micro-batch is applied with ``foreachBatch``:
 3. the set fact is replaced by key (delete+insert) for every workout the batch touched,
    including deleted ones and ones edited down to zero sets (B3, B4).
 
+A table beside the target keeps the last event applied per workout, deletions included, and a
+batch's event is applied only where it is newer, so the result does not depend on how the
+files fall into batches (T2-T5).
+
 Replaying a batch replaces the same keys with the same rows, so the sink is idempotent
 (exactly-once in effect, T6). The target is a :class:`~repsmith.operators.incremental.KeyedTable`.
 """
@@ -22,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from repsmith.functions.json import json_text
+from repsmith.functions.versions import own_time
 from repsmith.operators.cdc import latest_by_key
 from repsmith.operators.incremental import KeyedTable
+from repsmith.session import checkpoint_dir
 from repsmith.sources.landing import ENVELOPE
 
 
@@ -34,8 +40,7 @@ def latest_events(batch: DataFrame) -> DataFrame:
         F.col("_record_id").alias("workout_id"),
         F.col("_ingested_at").cast("timestamp").alias("ingested_at"),
         json_text("record", "$.type").alias("event_type"),
-        F.coalesce(json_text("record", "$.workout.updated_at"), json_text("record", "$.deleted_at"))
-        .cast("timestamp").alias("event_time"),
+        own_time().alias("event_time"),
         F.col("_record_hash").alias("record_hash"),
         F.get_json_object("record", "$.workout").alias("workout"))
     return latest_by_key(ev, "workout_id", [F.col("ingested_at"), F.col("event_time"), F.col("record_hash")])
@@ -44,11 +49,20 @@ def latest_events(batch: DataFrame) -> DataFrame:
 def apply_batch(batch: DataFrame, target: KeyedTable,
                 to_rows: Callable[[DataFrame], DataFrame]) -> None:
     """Delete+insert the batch's workouts into ``target``. ``to_rows`` maps a frame of
-    (workout_id, workout JSON) to target rows (e.g. the set flattening)."""
+    (workout_id, workout JSON) to target rows (e.g. the set flattening). The state of last
+    events is written after the target: a replay in between applies the same events again."""
+    state = KeyedTable(target.spark, target.path.rstrip("/") + "__last_events", "workout_id", target.n_buckets)
     last = latest_events(batch)
+    if state.exists():
+        order = lambda: F.struct("ingested_at", "event_time", "record_hash")
+        known = state.read().select("workout_id", order().alias("__applied"))
+        last = last.join(known, "workout_id", "left").where(F.col("__applied").isNull() | (order() > F.col("__applied"))).drop("__applied")
+    checkpoint_dir(target.spark)
+    last = last.checkpoint(eager=True)
     changed = last.select("workout_id")
     updated = last.where(F.col("event_type") != F.lit("deleted")).select("workout_id", "workout")
     target.replace_keys(to_rows(updated), changed)
+    state.replace_keys(last.drop("workout"))
 
 
 def start(spark: SparkSession, events_path: str, checkpoint: str | None, target: KeyedTable,
