@@ -253,3 +253,15 @@ def test_registered_queries_return_every_row(spark, table):
     n = spark.read.parquet(f"{sf}/{table}.parquet").count()
     for name in names:
         assert QUERIES[name](spark, sf).count() == n, name
+
+
+@pytest.mark.parametrize("name", ["op1_arc_to_warc", "op5_line_frequency", "op7_minhash_stars"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    from repsmith.llm.queries import ORACLE_SQL, QUERIES
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf}/{table}.parquet')")
+    cur = con.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in cur.description]
+    assert sorted(map(str, cur.fetchall())) == sorted(str(tuple(r)) for r in QUERIES[name](spark, sf).select(*columns).collect())
