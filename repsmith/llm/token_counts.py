@@ -39,19 +39,21 @@ class Trie:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        self.longest: dict[str, int] = {}  # by a piece's last character
+        for piece in scores:
+            self.longest[piece[-1]] = max(len(piece), self.longest.get(piece[-1], 0))
         self.unknown = min(scores.values(), default=0.0) - BYTE_PENALTY
         self.root: tuple[float, int, dict] = (0.0, 0, {})
 
     def insert(self, token: str) -> int:
         """The number of tokens of ``token``; nodes already there are reused."""
-        path, scores = [self.root], self.scores
+        path, scores, longest = [self.root], self.scores, self.longest
         for i, char in enumerate(token, 1):
             children = path[-1][2]
             node = children.get(char)
             if node is None:
                 best = None
-                for size in range(1, min(i, self.longest) + 1):
+                for size in range(1, min(i, longest.get(char, 0)) + 1):
                     score = scores.get(token[i - size:i])
                     if score is not None:
                         before = path[i - size]
@@ -75,6 +77,7 @@ def _counter(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         if path not in _models:
             _models[path] = (unigram_scores(path), {})
         scores, known = _models[path]
+        trie = Trie(scores)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 some = batch.slice(at, 200)
@@ -85,7 +88,7 @@ def _counter(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                     kept = {w: known[w] for w in words if w in known}
                     known.clear()
                     known.update(kept)
-                trie = Trie(scores)
+                trie.root[2].clear()  # its nodes are bounded by 200 texts
                 for word in words.difference(known):
                     known[word] = trie.insert(MARK + word.decode())
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(map(len, split), pa.int64()), pa.array(map(len, raw), pa.int64()),
