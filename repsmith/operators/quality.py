@@ -71,12 +71,13 @@ def reconcile(expected: DataFrame, actual: DataFrame, keys: Sequence[str] | str,
     return j.where(~same)
 
 
-def compare_counts(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+def compare_counts(expected: DataFrame, actual: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Two histograms side by side (full outer join on the bucket): key, expected_n,
     actual_n, matches. A bucket present on one side only counts 0 on the other (R4, R5)."""
-    e = expected.select(F.col(key), F.col("n").cast("long").alias("expected_n"))
-    a = actual.select(F.col(key), F.col("n").cast("long").alias("actual_n"))
-    j = join_null_safe(e, a, [key], "full_outer")
+    keys = [key] if isinstance(key, str) else list(key)
+    e = expected.select(*keys, F.col("n").cast("long").alias("expected_n"))
+    a = actual.select(*keys, F.col("n").cast("long").alias("actual_n"))
+    j = join_null_safe(e, a, keys, "full_outer")
     j = j.withColumn("expected_n", F.coalesce("expected_n", F.lit(0).cast("long"))) \
          .withColumn("actual_n", F.coalesce("actual_n", F.lit(0).cast("long")))
     return j.withColumn("matches", F.col("expected_n") == F.col("actual_n"))

@@ -140,11 +140,14 @@ def q_json_field_extract(spark, sf_dir):
         J.json_text("envelope", "$.workout.title").alias("workout_title"))
 
 
-@query("content_hash", rows_only=True)
+@query("content_hash")
 def q_content_hash(spark, sf_dir):
+    """Equality classes of the content hash: per event the smallest event with the same content."""
     e = _events(spark, sf_dir)
     doc = F.to_json(F.struct("event_type", "value", "props", "user_id"))
-    return e.select("event_id", J.content_hash(doc).alias("record_hash"))
+    hashed = e.select("event_id", J.content_hash(doc).alias("record_hash"))
+    first = hashed.groupBy("record_hash").agg(F.min("event_id").alias("same_content_as"))
+    return hashed.join(first, "record_hash").select("event_id", "same_content_as")
 
 
 # ---------------------------------------------------------------- nested
@@ -405,6 +408,31 @@ def q_trailing_median(spark, sf_dir):
     return t.select("workout_id", "canonical_exercise", r6("trailing_90d_median_e1rm_lb").alias("trailing_90d_median_e1rm_lb"))
 
 
+# Marts of many athletes: gaps, baselines and PRs per athlete.
+
+ATHLETE = ("athlete_id",)
+
+
+@query("exercise_session_fact_by_athlete")
+def q_exercise_session_fact_by_athlete(spark, sf_dir):
+    return D.marts(spark, sf_dir, ATHLETE)["fct_exercise_session"]
+
+
+@query("obt_wide_by_athlete")
+def q_obt_wide_by_athlete(spark, sf_dir):
+    return D.marts(spark, sf_dir, ATHLETE)["obt_sets"]
+
+
+@query("trailing_median_by_athlete")
+def q_trailing_median_by_athlete(spark, sf_dir):
+    from repsmith.operators.windows import trailing_range_percentile
+    s = D.marts(spark, sf_dir, ATHLETE)["int_exercise_sessions"]
+    t = trailing_range_percentile(s, ["athlete_id", "canonical_exercise"], "workout_date_local", "working_e1rm_lb",
+                                  "trailing_90d_median_e1rm_lb")
+    return t.select("workout_id", "athlete_id", "canonical_exercise",
+                    r6("trailing_90d_median_e1rm_lb").alias("trailing_90d_median_e1rm_lb"))
+
+
 # ---------------------------------------------------------------- incremental
 
 @query("incremental_key_replace")
@@ -539,13 +567,14 @@ def q_reconcile_diff(spark, sf_dir):
 
 @query("newest_record_listing")
 def q_newest_record_listing(spark, sf_dir):
-    """Newest workout end to end (R9/O5): arg-max by start, then its set listing."""
+    """Newest workout end to end (R9/O5): arg-max by start instant, its hour and exercise count, its set listing."""
     from repsmith.operators.rollups import argmax_row
     m = _marts(spark, sf_dir)
-    newest = argmax_row(m["fct_workout"].select("workout_id", "workout_date_local", "title"),
-                        [F.col("workout_date_local"), F.col("workout_id")])
-    return (m["fct_set"].join(newest.select("workout_id", "title"), "workout_id")
-            .select("workout_id", "title", "exercise_index", "set_index", "set_type", "weight_lb", "reps"))
+    live = D.workouts(spark, sf_dir).where(~F.col("is_deleted")).select("workout_id", "started_at_utc")
+    newest = argmax_row(live, [F.col("started_at_utc"), F.col("workout_id")]).select("workout_id")
+    w = m["fct_workout"].join(newest, "workout_id").select("workout_id", "title", "hour_local", "total_exercises")
+    return (m["fct_set"].join(w, "workout_id")
+            .select("workout_id", "title", "hour_local", "total_exercises", "exercise_index", "set_index", "set_type", "weight_lb", "reps"))
 
 
 # ---------------------------------------------------------------- analyses (D*, G*)
@@ -584,6 +613,21 @@ def q_time_of_day_by_weekday(spark, sf_dir):
     return b.select("day_of_week_number", "local_hour", "n", r6("median").alias("median"))
 
 
+@query("relative_performance_by_hour")
+def q_relative_performance_by_hour(spark, sf_dir):
+    """D3 on the session fact, with the era as control."""
+    b = A.box_stats(_rel(spark, sf_dir), [F.col("training_era"), F.col("workout_hour_local")], "relative_performance")
+    return b.select("training_era", "workout_hour_local", "n", r6("q1").alias("q1"), r6("median").alias("median"), r6("q3").alias("q3"))
+
+
+@query("relative_performance_by_weekday_hour")
+def q_relative_performance_by_weekday_hour(spark, sf_dir):
+    """The same within each weekday."""
+    s = _rel(spark, sf_dir).withColumn("day_of_week_number", X.iso_day_of_week("workout_date_local"))
+    b = A.box_stats(s, [F.col("day_of_week_number"), F.col("workout_hour_local")], "relative_performance")
+    return b.select("day_of_week_number", "workout_hour_local", "n", r6("median").alias("median"))
+
+
 @query("recent_prs")
 def q_recent_prs(spark, sf_dir):
     return A.recent_prs(_rel(spark, sf_dir))
@@ -731,10 +775,11 @@ def q_set_type_reconcile(spark, sf_dir):
 def q_local_time_reconcile(spark, sf_dir):
     from repsmith.functions.independent import local_parts_independent
     e = _events(spark, sf_dir)
-    native = e.groupBy(X.local_hour(X.to_local("ts", D.LOCAL_TZ)).alias("local_hour")).agg(F.count(F.lit(1)).alias("n"))
+    local = X.to_local("ts", D.LOCAL_TZ)
+    native = e.groupBy(F.to_date(local).alias("local_date"), X.local_hour(local).alias("local_hour")).agg(F.count(F.lit(1)).alias("n"))
     indep = (e.select(local_parts_independent("ts", D.LOCAL_TZ).alias("p"))
-             .groupBy(F.col("p.local_hour").alias("local_hour")).agg(F.count(F.lit(1)).alias("n")))
-    return Q.compare_counts(native, indep, "local_hour")
+             .groupBy(F.col("p.local_date").alias("local_date"), F.col("p.local_hour").alias("local_hour")).agg(F.count(F.lit(1)).alias("n")))
+    return Q.compare_counts(native, indep, ["local_date", "local_hour"])
 
 
 # ---------------------------------------------------------------- designed analyses

@@ -188,15 +188,15 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "templates": templates(spark, sf_dir), "crosswalk": crosswalk(spark, sf_dir)}
 
 
-_MARTS: dict[tuple[int, str, str], dict[str, DataFrame]] = {}
+_MARTS: dict[tuple, dict[str, DataFrame]] = {}
 
 
-def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The marts over the driver tables, built (lazily) once per session and directory; the
-    frames are immutable plans, so every query can derive from the same ones."""
+def marts(spark: SparkSession, sf_dir: str, entity_cols: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The marts over the driver tables, built (lazily) once per session, directory and entity
+    columns; the frames are immutable plans, so every query can derive from the same ones."""
     from repsmith.plans.marts import build_marts
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), entity_cols)
     if key not in _MARTS:
         s = staging(spark, sf_dir)
-        _MARTS[key] = build_marts(s["workouts"], s["sets"], s["templates"], s["crosswalk"])
+        _MARTS[key] = build_marts(s["workouts"], s["sets"], s["templates"], s["crosswalk"], entity_cols)
     return _MARTS[key]

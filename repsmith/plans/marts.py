@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repsmith.functions.scalars import has_estimated_load, positional_key, supports_load_metrics
-from repsmith.operators.joins import has_at_most, zero_filled
+from repsmith.operators.joins import zero_filled
 from repsmith.operators.rollups import exercise_session_rollup, workout_rollup
 from repsmith.operators.windows import (attach_gap, day_level_features, day_number, gap_since_previous, pr_flag,
                                        previous_day_table, relative_performance, trailing_range_max)
@@ -49,13 +49,12 @@ def dim_exercise(templates: DataFrame, crosswalk: DataFrame) -> DataFrame:
             .withColumn("has_estimated_load", has_estimated_load("exercise_type")))
 
 
-def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: Sequence[str] = (),
-            broadcast_dim: bool = False) -> DataFrame:
+def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
     """Atomic set fact (P8): sets inner-join live workouts (J4, F2), left-join the dimension.
 
-    ``broadcast_dim`` is set by the caller only when the dimension's source is proven small
-    (see :func:`build_marts`); then the fact is not shuffled by exercise at all. Otherwise
-    the join shuffles, and AQE splits a hot exercise."""
+    Neither join is hinted: both sides grow with the data, so Spark picks by measured size.
+    The dimension's stages end before the fact is shuffled by exercise, so AQE can still turn
+    that join into a broadcast; else it sorts and merges (both spill) and splits a hot exercise."""
     w = workouts.where(~F.col("is_deleted")).select(
         "workout_id", *entity_cols, "workout_date_local", "workout_hour_local", "training_era", "updated_at")
     d = dim.select("exercise_template_id", "canonical_exercise", "movement_pattern",
@@ -64,10 +63,7 @@ def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: S
                     "set_index", "exercise_template_id", "set_type", "is_working_set", "is_warmup",
                     "is_to_failure", "is_dropset", "weight_lb", "weight_kg", "reps", "rpe", "duration_seconds",
                     "distance_meters")
-    # fact-to-fact: shuffle both on workout_id and build the hash table from the
-    # unique-key workout side; never broadcast either (both grow with the data).
-    out = s.join(w.hint("shuffle_hash"), "workout_id", "inner") \
-        .join(F.broadcast(d) if broadcast_dim else d, "exercise_template_id", "left")
+    out = s.join(w, "workout_id", "inner").join(d, "exercise_template_id", "left")
     if "set_key" not in out.columns:   # built from its integer parts after the joins
         out = out.withColumn("set_key", positional_key("workout_id", "exercise_index", "set_index"))
     return out.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:])
@@ -159,7 +155,8 @@ def fct_exercise_session(sessions: DataFrame, live_workouts: DataFrame, entity_c
         "has_intensity_technique", "supports_load_metrics", "has_estimated_load")
 
 
-def obt_sets(fct_set_df: DataFrame, fct_workout_df: DataFrame, fct_session: DataFrame) -> DataFrame:
+def obt_sets(fct_set_df: DataFrame, fct_workout_df: DataFrame, fct_session: DataFrame,
+             entity_cols: Sequence[str] = ()) -> DataFrame:
     """One big table at set grain (P11). Columns that do not bind in the SQL original
     (B1) are sourced from the real workout columns under the same output names."""
     w = fct_workout_df.select("workout_id", "part_of_day", "day_of_week", "day_of_week_number", "is_weekend",
@@ -170,26 +167,19 @@ def obt_sets(fct_set_df: DataFrame, fct_workout_df: DataFrame, fct_session: Data
                             F.col("canonical_exercise").alias("__es_can"),
                             "working_e1rm_lb", "trailing_90d_max_e1rm_lb", "relative_performance", "is_pr",
                             "days_since_last_exposure", "days_since_last_workout")
-    s = fct_set_df.select(*FCT_SET_COLUMNS[:-1])
+    s = fct_set_df.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:-1])
     j = s.join(w, "workout_id", "left")
     cond = (j["workout_id"] == es["__es_wid"]) & \
         (F.coalesce(j["canonical_exercise"], F.lit("")) == F.coalesce(es["__es_can"], F.lit("")))
     return j.join(es, cond, "left").drop("__es_wid", "__es_can")
 
 
-DIM_BROADCAST_MAX_ROWS = 2_000_000
-
-
 def build_marts(workouts: DataFrame, sets: DataFrame, templates: DataFrame, crosswalk: DataFrame,
                 entity_cols: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """All marts, lazily, in dependency order.
-
-    The exercise dimension is an inner join of templates and crosswalk, so it has at most
-    as many rows as the templates table; a bounded count on that scan (reads at most
-    ``DIM_BROADCAST_MAX_ROWS + 1`` rows) decides whether the dimension is broadcast."""
+    """All marts, lazily, in dependency order. With ``entity_cols`` (e.g. ``["athlete_id"]``)
+    gaps, baselines and PRs are per entity, and every fact carries the columns."""
     dim = dim_exercise(templates, crosswalk)
-    fs = fct_set(sets, workouts, dim, entity_cols,
-                 broadcast_dim=has_at_most(templates.select("exercise_template_id"), DIM_BROADCAST_MAX_ROWS))
+    fs = fct_set(sets, workouts, dim, entity_cols)
     fw = fct_workout(workouts, sets, entity_cols)
     sess = exercise_sessions(fs, entity_cols)
     live = workouts.where(~F.col("is_deleted"))
@@ -197,7 +187,7 @@ def build_marts(workouts: DataFrame, sets: DataFrame, templates: DataFrame, cros
     fes = fct_exercise_session(sess, live, entity_cols)
     return {"dim_exercise": dim, "fct_set": fs, "fct_workout": fw, "int_exercise_sessions": sess,
             "int_exercise_rest_intervals": rest, "fct_exercise_session": fes,
-            "obt_sets": obt_sets(fs, fw, fes)}
+            "obt_sets": obt_sets(fs, fw, fes, entity_cols)}
 
 
 def dim_routine(routines: DataFrame, folders: DataFrame) -> DataFrame:

@@ -155,6 +155,31 @@ CTE: dict[str, tuple[list[str], str]] = {
           max(working_e1rm_kg) OVER (PARTITION BY canonical_exercise ORDER BY workout_date_local
               RANGE BETWEEN INTERVAL '90' DAY PRECEDING AND INTERVAL '1' DAY PRECEDING) AS trailing_90d_max_e1rm_kg
         FROM rest) t)"""),
+    "fes_athlete": (["sessions", "workouts"], """sessions_athlete AS (
+  SELECT s.*, w.athlete_id FROM sessions s JOIN workouts w ON s.workout_id = w.workout_id),
+workout_gaps_athlete AS (
+  SELECT workout_id, date_diff('day', lag(workout_date_local) OVER (PARTITION BY athlete_id
+                               ORDER BY workout_date_local, workout_id), workout_date_local) AS days_since_last_workout
+  FROM workouts),
+baseline_athlete AS (
+  SELECT s.*, g.days_since_last_workout,
+         date_diff('day', lag(s.workout_date_local) OVER (PARTITION BY s.athlete_id, s.canonical_exercise
+                   ORDER BY s.workout_date_local, s.workout_id), s.workout_date_local) AS days_since_last_exposure,
+         (SELECT max(p.working_e1rm_lb) FROM sessions_athlete p
+          WHERE p.athlete_id = s.athlete_id AND p.canonical_exercise = s.canonical_exercise
+            AND p.workout_date_local BETWEEN s.workout_date_local - 90 AND s.workout_date_local - 1) AS trailing_90d_max_e1rm_lb,
+         (SELECT max(p.working_e1rm_kg) FROM sessions_athlete p
+          WHERE p.athlete_id = s.athlete_id AND p.canonical_exercise = s.canonical_exercise
+            AND p.workout_date_local BETWEEN s.workout_date_local - 90 AND s.workout_date_local - 1) AS trailing_90d_max_e1rm_kg
+  FROM sessions_athlete s JOIN workout_gaps_athlete g ON s.workout_id = g.workout_id),
+fes_athlete AS (
+  SELECT workout_id, athlete_id, workout_date_local, workout_hour_local, training_era, canonical_exercise, movement_pattern,
+         working_e1rm_lb, working_e1rm_kg, trailing_90d_max_e1rm_lb, trailing_90d_max_e1rm_kg,
+         CASE WHEN trailing_90d_max_e1rm_lb > 0 THEN working_e1rm_lb / trailing_90d_max_e1rm_lb END AS relative_performance,
+         trailing_90d_max_e1rm_lb IS NULL OR coalesce(working_e1rm_lb > trailing_90d_max_e1rm_lb, false) AS is_pr,
+         weight_lb, weight_kg, reps, days_since_last_exposure, days_since_last_workout,
+         has_intensity_technique, supports_load_metrics, has_estimated_load
+  FROM baseline_athlete)"""),
     "ev_local": ([], f"""ev_local AS (
   SELECT *, {LOCAL.format(c='ts')} AS started_at_local FROM events)"""),
 }
@@ -480,10 +505,9 @@ FULL OUTER JOIN (SELECT workout_id, count(*) AS n_sets FROM fct_set WHERE canoni
 WHERE e.n_sets IS DISTINCT FROM a.n_sets""",
 
     "newest_record_listing": """
-SELECT s.workout_id, w.title, s.exercise_index, s.set_index, s.set_type, s.weight_lb, s.reps
-FROM fct_set s
-JOIN (SELECT workout_id, title FROM fct_workout ORDER BY workout_date_local DESC, workout_id DESC LIMIT 1) w
-  ON s.workout_id = w.workout_id""",
+SELECT s.workout_id, w.title, w.hour_local, w.total_exercises, s.exercise_index, s.set_index, s.set_type, s.weight_lb, s.reps
+FROM fct_set s JOIN fct_workout w ON s.workout_id = w.workout_id
+WHERE s.workout_id = (SELECT workout_id FROM workouts ORDER BY started_at_utc DESC, workout_id DESC LIMIT 1)""",
 
     "recovery_curve_buckets": f"""
 SELECT CASE WHEN days_since_last_exposure >= 7 THEN '7+' ELSE CAST(days_since_last_exposure AS VARCHAR) END AS rest_bucket,
@@ -663,8 +687,9 @@ SELECT 'exercises', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey
 SELECT set_type, count(*) AS expected_n, count(*) AS actual_n, true AS matches FROM sets GROUP BY set_type""",
 
     "local_time_reconcile": """
-SELECT extract(hour FROM started_at_local) AS local_hour, count(*) AS expected_n, count(*) AS actual_n, true AS matches
-FROM ev_local GROUP BY 1""",
+SELECT CAST(started_at_local AS DATE) AS local_date, extract(hour FROM started_at_local) AS local_hour,
+       count(*) AS expected_n, count(*) AS actual_n, true AS matches
+FROM ev_local GROUP BY 1, 2""",
 
     "disrupted_period_flags": """
 SELECT workout_id AS o_orderkey, workout_date_local,
@@ -680,6 +705,46 @@ ORACLES["weight_reconcile"] = """
 SELECT DISTINCT round(l_extendedprice / 2.20462 * 2.20462, 2) AS weight_lb, true AS in_native, true AS in_independent
 FROM lineitem"""
 
+ORACLES.update({
+    "content_hash": """
+SELECT event_id, min(event_id) OVER (PARTITION BY event_type, value, props, user_id) AS same_content_as FROM events""",
+
+    "exercise_session_fact_by_athlete": "SELECT * FROM fes_athlete",
+
+    "obt_wide_by_athlete": f"""
+SELECT {', '.join('s.' + c.strip() for c in FCT_SET_COLS.split(','))}, a.athlete_id,
+       w.part_of_day, w.day_of_week, w.day_of_week_number, w.is_weekend,
+       w.session_duration AS workout_duration_min, w.total_exercises AS actual_exercise_count,
+       w.title AS workout_title, w.routine_id,
+       es.working_e1rm_lb, es.trailing_90d_max_e1rm_lb, es.relative_performance, es.is_pr,
+       es.days_since_last_exposure, es.days_since_last_workout
+FROM fct_set s
+JOIN workouts a ON s.workout_id = a.workout_id
+LEFT JOIN fct_workout w ON s.workout_id = w.workout_id
+LEFT JOIN fes_athlete es ON s.workout_id = es.workout_id
+  AND coalesce(s.canonical_exercise, '') = coalesce(es.canonical_exercise, '')""",
+
+    "trailing_median_by_athlete": f"""
+SELECT workout_id, athlete_id, canonical_exercise, {rnd('m', 6)} AS trailing_90d_median_e1rm_lb
+FROM (SELECT workout_id, athlete_id, canonical_exercise,
+        quantile_cont(working_e1rm_lb, 0.5) OVER (PARTITION BY athlete_id, canonical_exercise ORDER BY workout_date_local
+            RANGE BETWEEN INTERVAL '90' DAY PRECEDING AND INTERVAL '1' DAY PRECEDING) AS m
+      FROM sessions_athlete) t""",
+
+    "relative_performance_by_hour": f"""
+SELECT training_era, workout_hour_local, count(*) AS n, {rnd('quantile_cont(relative_performance, 0.25)', 6)} AS q1,
+       {rnd('quantile_cont(relative_performance, 0.5)', 6)} AS median, {rnd('quantile_cont(relative_performance, 0.75)', 6)} AS q3
+FROM fes WHERE relative_performance IS NOT NULL GROUP BY 1, 2""",
+
+    "relative_performance_by_weekday_hour": f"""
+SELECT extract(isodow FROM workout_date_local) AS day_of_week_number, workout_hour_local, count(*) AS n,
+       {rnd('quantile_cont(relative_performance, 0.5)', 6)} AS median
+FROM fes WHERE relative_performance IS NOT NULL GROUP BY 1, 2""",
+})
+_NEEDS.update({"exercise_session_fact_by_athlete": ["fes_athlete"], "obt_wide_by_athlete": ["fct_set", "fct_workout", "fes_athlete"],
+               "trailing_median_by_athlete": ["fes_athlete"], "relative_performance_by_hour": ["fes"],
+               "relative_performance_by_weekday_hour": ["fes"], "newest_record_listing": ["fct_set", "fct_workout", "workouts"]})
+
 # era_range_join_bucketed checks the bucketed path against the same oracle.
 ORACLES["era_range_join_bucketed"] = ORACLES["era_range_join"]
 _NEEDS["era_range_join_bucketed"] = ["workouts"]
