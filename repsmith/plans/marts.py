@@ -52,9 +52,9 @@ def dim_exercise(templates: DataFrame, crosswalk: DataFrame) -> DataFrame:
 def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
     """Atomic set fact (P8): sets inner-join live workouts (J4, F2), left-join the dimension.
 
-    Neither join is hinted: both sides grow with the data, so Spark picks by measured size.
-    The dimension's stages end before the fact is shuffled by exercise, so AQE can still turn
-    that join into a broadcast; else it sorts and merges (both spill) and splits a hot exercise."""
+    Sets and workouts both grow with the data: they sort and merge, which spills, at any size.
+    The dimension's join has no hint: its stages end before the fact is shuffled by exercise, so
+    AQE can make it a broadcast by measured size; else it too merges and splits a hot exercise."""
     w = workouts.where(~F.col("is_deleted")).select(
         "workout_id", *entity_cols, "workout_date_local", "workout_hour_local", "training_era", "updated_at")
     d = dim.select("exercise_template_id", "canonical_exercise", "movement_pattern",
@@ -63,7 +63,7 @@ def fct_set(sets: DataFrame, workouts: DataFrame, dim: DataFrame, entity_cols: S
                     "set_index", "exercise_template_id", "set_type", "is_working_set", "is_warmup",
                     "is_to_failure", "is_dropset", "weight_lb", "weight_kg", "reps", "rpe", "duration_seconds",
                     "distance_meters")
-    out = s.join(w, "workout_id", "inner").join(d, "exercise_template_id", "left")
+    out = s.join(w.hint("merge"), "workout_id", "inner").join(d, "exercise_template_id", "left")
     if "set_key" not in out.columns:   # built from its integer parts after the joins
         out = out.withColumn("set_key", positional_key("workout_id", "exercise_index", "set_index"))
     return out.select(*FCT_SET_COLUMNS[:2], *entity_cols, *FCT_SET_COLUMNS[2:])
