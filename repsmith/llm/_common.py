@@ -25,6 +25,26 @@ def persisted(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the map that ``marked`` broadcasts: 8 MB, whatever the input's size.
+MAP_BITS = 1 << 26
+
+
+def marked(df: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: list[Column], name: str = "_maybe") -> DataFrame:
+    """Add the boolean ``name``: false only where ``key`` is surely not among the keys of ``wanted``.
+
+    One bit of a fixed map per key hash (nulls are keys too), so wide rows that a join would drop
+    need not be shuffled for it. What is marked true still has to be joined: with many more keys
+    than bits nearly every row is, and the join works as without the map. Keys are dealt to the
+    pieces of the map before they are aggregated, so nothing but 8 bytes a key is shuffled."""
+    bit = lambda k: F.pmod(F.xxhash64(*k), F.lit(MAP_BITS)) + 1
+    bits = wanted.select(bit(wanted_key).alias("_b")).distinct().select(F.bitmap_bucket_number("_b").alias("_piece"), F.bitmap_bit_position("_b").alias("_at"))
+    pieces = bits.repartition("_piece").groupBy("_piece").agg(F.bitmap_construct_agg("_at").alias("_map"))
+    at = F.bitmap_bit_position("_own")
+    byte = F.conv(F.hex(F.substring("_map", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = df.withColumn("_own", bit(key)).join(F.broadcast(pieces), F.bitmap_bucket_number("_own") == F.col("_piece"), "left")
+    return found.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_own", "_piece", "_map")
+
+
 def group_rank(df: DataFrame, group: list[str], order: list[str], salt: list[Column], rank: str) -> DataFrame:
     """Add ``rank``: a gapless number from 0 within each ``group``, exact for hot groups.
 

@@ -25,12 +25,13 @@ _powers: dict[int, np.ndarray] = {}
 def _lower(separators: bytes) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
+    table[0] = 255  # NUL is a character like others; no UTF-8 text has a byte 255
     table[list(separators)] = 0
     return table
 
 
 #: Byte tables: separators to 0, A-Z to lower case.
-SPACES = _lower(bytes([0, 9, 10, 11, 12, 13, 32])[1:])
+SPACES = _lower(bytes([9, 10, 11, 12, 13, 32]))
 NON_WORD = _lower(bytes(b for b in range(128) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)))
 
 

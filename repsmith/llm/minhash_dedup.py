@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repsmith.llm._common import persisted
+from repsmith.llm._common import marked, persisted
 from repsmith.llm._text import SPACES, Words, shingle_sets, slices
 
 SHINGLE, BANDS, ROWS, PERCENT, BLOCK = 5, 25, 5, 85, 1024
@@ -230,9 +230,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return p.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b", "sig_a", "sig_b").mapInArrow(_similar, "a long, b long")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        """(node, shingles), rebuilt from the text of one document per node; the sort-merge join holds at any size."""
+        """(node, shingles), rebuilt from the text of one document per node; only texts that a fixed map
+        of the wanted ids lets through are shuffled, and the sort-merge join holds at any size."""
         wanted = persisted(wanted.join(nodes.select("node", "rep", "digest"), "node"), "wanted")
-        texts = docs.join(wanted.hint("merge"), docs.doc_id.eqNullSafe(wanted.rep)).select("node", "digest", "text")
+        likely = marked(docs, [F.col("doc_id")], wanted, [F.col("rep")]).where("_maybe")
+        texts = likely.join(wanted.hint("merge"), likely.doc_id.eqNullSafe(wanted.rep)).select("node", "digest", "text")
         return persisted(texts.mapInArrow(_sets, "node long, shingles binary"), "sets")
 
     similar = persisted(signed(pairs), "similar")
@@ -279,6 +281,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     verdict = near_duplicates(docs, id_col, text_col)
     gone = persisted(verdict.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "gone")
     key = [F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_hash")]
-    stay = docs.join(gone.hint("merge"), key[0].eqNullSafe(gone["_id"]) & (key[1] == gone["_hash"]), "left_anti")
+    # Most rows surely stay and are not shuffled.
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    of = dict(zip(docs.columns, names))
+    mine = [F.col(of[id_col]).cast("long"), F.xxhash64(F.col(of[text_col]).cast("string"))]
+    sorted_out = marked(docs.toDF(*names), mine, gone, [F.col("_id"), F.col("_hash")])
+    asked = sorted_out.where("_maybe").join(gone.hint("merge"), mine[0].eqNullSafe(gone["_id"]) & (mine[1] == gone["_hash"]), "left_anti")
+    stay = sorted_out.where("not _maybe").unionByName(asked).select(*names).toDF(*docs.columns)
     repeated = docs.select(*key).groupBy("_id", "_hash").count().where("count > 1")
     return stay if repeated.isEmpty() else stay.dropDuplicates([id_col, text_col])

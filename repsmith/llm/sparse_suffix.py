@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repsmith.llm._common import persisted
+from repsmith.llm._common import marked, persisted
 from repsmith.llm._text import SPACES, Prefix, Words, mix, sequences, slices
 
 LEAST, GRAM, WINDOW = 50, 4, 16
@@ -158,8 +158,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                        .select("doc_id", "other", "first", "until", (F.col("first") - F.col("shift")).alias("other_first"), (F.col("until") - F.col("shift")).alias("other_until")), "matches")
 
     wanted = merged.select("doc_id", "first", "until").unionByName(merged.select(F.col("other").alias("doc_id"), F.col("other_first").alias("first"), F.col("other_until").alias("until"))).distinct()
-    # The sort-merge join holds at any size.
-    texts = docs.join(wanted.hint("merge"), "doc_id").withColumn("text_hash", F.xxhash64("text"))
+    # Only texts that a fixed map of the wanted ids lets through are shuffled; the sort-merge join holds at any size.
+    likely = marked(docs, [F.col("doc_id")], wanted, [F.col("doc_id")]).where("_maybe").drop("_maybe")
+    texts = likely.join(wanted.hint("merge"), "doc_id").withColumn("text_hash", F.xxhash64("text"))
     cut = persisted(texts.mapInArrow(_segments, "doc_id long, first long, until long, text_hash long, words binary"), "segments")
     other = cut.select(F.col("doc_id").alias("other"), F.col("first").alias("other_first"), F.col("until").alias("other_until"), F.col("words").alias("other_words"))
     both = merged.join(other, ["other", "other_first", "other_until"]).join(cut, ["doc_id", "first", "until"])
@@ -199,8 +200,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.toDF(*names)
     of = dict(zip(docs.columns, names))
     text = F.col(of[text_col]).cast("string")
-    found = plain.join(cuts.hint("merge"), (F.col(of[id_col]).cast("long") == F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
+    # Rows without a cut pass by: only those that may have one are shuffled.
+    key = [F.col(of[id_col]).cast("long"), F.xxhash64(text)]
+    sorted_out = marked(plain, key, cuts, [F.col("_id"), F.col("_hash")])
+    found = sorted_out.where("_maybe").join(cuts.hint("merge"), (key[0] == F.col("_id")) & (key[1] == F.col("_hash")), "left")
     rest = [n for n in names if n != of[text_col]]
     schema = ", ".join([*[f"{n} {plain.schema[n].dataType.simpleString()}" for n in rest], "_text string"])
-    out = found.select(*rest, text.alias("_text"), "_spans").mapInArrow(_cut_text, schema)
+    cut = found.select(*rest, text.alias("_text"), "_spans").mapInArrow(_cut_text, schema)
+    out = sorted_out.where("not _maybe").select(*rest, text.alias("_text")).unionByName(cut)
     return out.select(*[F.col("_text" if c == text_col else of[c]).alias(c) for c in docs.columns])
