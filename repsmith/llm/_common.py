@@ -38,11 +38,11 @@ def marked(df: DataFrame, key: list[Column], wanted: DataFrame, wanted_key: list
     pieces of the map before they are aggregated, so nothing but 8 bytes a key is shuffled."""
     bit = lambda k: F.pmod(F.xxhash64(*k), F.lit(MAP_BITS)) + 1
     bits = wanted.select(bit(wanted_key).alias("_b")).distinct().select(F.bitmap_bucket_number("_b").alias("_piece"), F.bitmap_bit_position("_b").alias("_at"))
-    pieces = bits.repartition("_piece").groupBy("_piece").agg(F.bitmap_construct_agg("_at").alias("_map"))
+    pieces = bits.repartition("_piece").groupBy("_piece").agg(F.bitmap_construct_agg("_at").alias("_bitmap"))
     at = F.bitmap_bit_position("_own")
-    byte = F.conv(F.hex(F.substring("_map", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     found = df.withColumn("_own", bit(key)).join(F.broadcast(pieces), F.bitmap_bucket_number("_own") == F.col("_piece"), "left")
-    return found.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_own", "_piece", "_map")
+    return found.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_own", "_piece", "_bitmap")
 
 
 def group_rank(df: DataFrame, group: list[str], order: list[str], salt: list[Column], rank: str) -> DataFrame:

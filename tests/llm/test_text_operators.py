@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from repsmith.llm import decontaminate, html_blocks, line_frequency, minhash_dedup, sparse_suffix, token_counts, toxicity_pu
+from repsmith.llm._common import marked
 from repsmith.llm.queries import tokenizer
 
 DOCS = "doc_id long, text string, node string, _id string, score string"
@@ -78,6 +79,23 @@ def test_near_duplicates_null_ids_and_empty(spark):
     assert minhash_dedup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_nul_is_a_word_character(spark):
+    rows = [(1, "a\x00b c d e f g"), (2, "a b c d e f g"), (3, "a\x00b c d e f g")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(docs_of(spark, rows)).collect()}
+    assert got == {1: (2, 1), 2: (3, 2), 3: (2, 1)}
+
+
+def test_marked_misses_no_wanted_key(spark):
+    rows = spark.range(0, 20000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("_map"))
+    wanted = rows.where("k is null or k % 7 = 0").select(F.col("k").alias("w"))
+    got = marked(rows, [F.col("k")], wanted.unionByName(wanted), [F.col("w")])
+    assert got.columns == ["k", "_map", "_maybe"]
+    found = {r.k: r._maybe for r in got.collect()}
+    assert len(found) == 20000 and all(found[k] for k in found if k is None or k % 7 == 0)
+    assert sum(found.values()) < 2858 + 50
+    assert not any(r._maybe for r in marked(rows, [F.col("k")], wanted.limit(0), [F.col("w")]).collect())
+
+
 def test_star_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (50, 60), (60, 50)]
     got = {r.node: r.root for r in minhash_dedup.star_components(spark.createDataFrame(edges, "a long, b long")).collect()}
