@@ -20,6 +20,7 @@ from repsmith.operators import analysis as A
 from repsmith.operators import cdc, nested, quality as Q
 from repsmith.operators.incremental import delta_since, key_replace
 from repsmith.operators.joins import range_join
+from repsmith.plans import document_queries
 from repsmith.plans import driver_tables as D
 from repsmith.plans.marts import build_marts
 from repsmith.sources.inventory import table_inventory
@@ -817,3 +818,6 @@ def q_weight_reconcile(spark, sf_dir):
     j = join_null_safe(native, indep, ["weight_lb"], "full_outer")
     return j.select("weight_lb", F.coalesce("in_native", F.lit(False)).alias("in_native"),
                     F.coalesce("in_independent", F.lit(False)).alias("in_independent"))
+
+
+QUERIES.update(document_queries.QUERIES)

@@ -9,6 +9,8 @@ Fixed values repeat those of :mod:`repsmith.plans.driver_tables` and
 
 from __future__ import annotations
 
+from repsmith.plans import document_queries
+
 
 def rnd(expr: str, d: int) -> str:
     """Half-away-from-zero rounding on the double, identical to ``scalars.round_half_away``."""
@@ -750,6 +752,10 @@ ORACLES["era_range_join_bucketed"] = ORACLES["era_range_join"]
 _NEEDS["era_range_join_bucketed"] = ["workouts"]
 
 
+ORACLES.update(document_queries.ORACLES)
+_NEEDS.update(document_queries.NEEDS)
+
+
 def _merge_with(ctes: list[str], body: str) -> str:
     body = body.strip()
     if not ctes:
