@@ -19,7 +19,9 @@ from repsmith.operators import analysis as A
 from repsmith.plans import driver_tables as D
 from repsmith.plans import ingest, marts, staging
 from repsmith.sources import landing, tables
+from repsmith.operators.incremental import KeyedTable
 from repsmith.session import checkpoint_dir
+from repsmith.streaming import changefeed
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -69,7 +71,7 @@ def workout_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(i).alias("index"), F.lit(kind).alias("type"), kg.alias("weight_kg"), reps.alias("reps"), rpe.alias("rpe"))
 
     def exercise(i: int, superset: Column, notes: Column, sets: Column) -> Column:
-        return F.struct(F.lit(i).alias("index"), F.col("event_type").alias("title"), F.concat(F.lit("t"), (n % 7).cast("string")).alias("exercise_template_id"),
+        return F.struct(F.lit(i).alias("index"), F.col("event_type").alias("title"), (n % 250).cast("string").alias("exercise_template_id"),
                         superset.alias("superset_id"), notes.alias("notes"), sets.alias("sets"))
 
     first = F.array(one_set(0, "warmup", F.col("value"), (n % 31) / F.lit(2.0), F.lit(None).cast("double")),
@@ -150,7 +152,7 @@ def q_stg_workouts(spark, sf_dir):
 
 @query("stg_workout_exercises", f"""
 WITH {_VERSIONS}
-SELECT CAST(user_id AS VARCHAR) AS workout_id, CAST(i AS INTEGER) AS exercise_index, event_type AS exercise_title, 't' || CAST(event_id % 7 AS VARCHAR) AS exercise_template_id,
+SELECT CAST(user_id AS VARCHAR) AS workout_id, CAST(i AS INTEGER) AS exercise_index, event_type AS exercise_title, CAST(event_id % 250 AS VARCHAR) AS exercise_template_id,
        CASE WHEN i = 1 THEN CAST(event_id % 3 AS INTEGER) END AS superset_id, i = 1 AS is_superset, CASE WHEN i = 1 THEN 'n' || CAST(event_id AS VARCHAR) END AS notes,
        CAST(CASE WHEN i = 0 THEN 2 ELSE event_id % 2 END AS BIGINT) AS set_count
 FROM latest, (VALUES (0), (1)) t(i)""")
@@ -167,7 +169,7 @@ s AS (SELECT CAST(user_id AS VARCHAR) AS workout_id, CASE WHEN s = 2 THEN 1 ELSE
         CASE s WHEN 0 THEN 'warmup' WHEN 1 THEN 'normal' ELSE 'failure' END AS set_type, {_KG} AS kg,
         CASE s WHEN 0 THEN floor((event_id % 31) / 2.0 + 0.5) WHEN 1 THEN event_id % 13 ELSE 5 END AS reps, CASE s WHEN 1 THEN 8.5 WHEN 2 THEN 10.0 END AS rpe
       FROM latest, (VALUES (0), (1), (2)) t(s) WHERE s < 2 OR event_id % 2 = 1)
-SELECT workout_id, CAST(e AS INTEGER) AS exercise_index, event_type AS exercise_title, 't' || CAST(event_id % 7 AS VARCHAR) AS exercise_template_id, CAST(i AS INTEGER) AS set_index,
+SELECT workout_id, CAST(e AS INTEGER) AS exercise_index, event_type AS exercise_title, CAST(event_id % 250 AS VARCHAR) AS exercise_template_id, CAST(i AS INTEGER) AS set_index,
        workout_id || '-' || CAST(e AS VARCHAR) || '-' || CAST(i AS VARCHAR) AS set_key, set_type, set_type <> 'warmup' AS is_working_set, set_type = 'warmup' AS is_warmup,
        set_type = 'failure' AS is_to_failure, set_type = 'dropset' AS is_dropset, floor(CAST(kg AS DOUBLE) * 2.20462 * 100.0 + 0.5) / 100.0 AS weight_lb,
        floor(CAST(kg AS DOUBLE) * 1000.0 + 0.5) / 1000.0 AS weight_kg, CAST(reps AS INTEGER) AS reps, CAST(rpe AS DOUBLE) AS rpe
@@ -320,3 +322,65 @@ def q_state_upsert(spark, sf_dir):
 @query("backfill_check", "SELECT count(*) AS landed, count(*) AS source_count, true AS counts_match FROM events")
 def q_backfill_check(spark, sf_dir):
     return ingest.backfill_check(_landed(spark, sf_dir), D.load(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("n")))
+
+
+# ---------------------------------------------------------------- deletions in the fact (F2), the feed as a stream
+
+@query("fct_set_live_documents", f"""
+SELECT s.set_key, s.workout_id, w.workout_date_local, w.training_era, s.exercise_template_id, s.set_type, s.weight_lb, s.reps,
+       p.p_brand || ' ' || p.p_type AS canonical_exercise, p.p_type AS movement_pattern,
+       p.p_type IN ('ECONOMY', 'LARGE', 'MEDIUM') AS supports_load_metrics, p.p_type = 'MEDIUM' AS has_estimated_load
+FROM ({ORACLES['stg_workout_sets']}) s JOIN ({ORACLES['stg_workouts']}) w USING (workout_id)
+LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = s.exercise_template_id AND p.p_size <= {D.MAPPED_MAX_SIZE}
+WHERE NOT w.is_deleted""")
+def q_fct_set_live_documents(spark, sf_dir):
+    """The set fact over staged documents, with deleted workouts among them."""
+    bronze = workout_versions(spark, sf_dir)
+    w = staging.stg_workouts(bronze, feed_versions(spark, sf_dir), D.era_seed(spark), D.LOCAL_TZ)
+    x = D.crosswalk(spark, sf_dir)
+    dim = marts.dim_exercise(staging.stg_exercise_templates(template_documents(spark, sf_dir)), x.withColumn("exercise_template_id", F.col("exercise_template_id").cast("string")))
+    f = marts.fct_set(staging.stg_workout_sets(bronze), w, dim)
+    return f.select("set_key", "workout_id", "workout_date_local", "training_era", "exercise_template_id", "set_type", "weight_lb", "reps",
+                    "canonical_exercise", "movement_pattern", "supports_load_metrics", "has_estimated_load")
+
+
+def _land_feed(spark: SparkSession, sf_dir: str, base: str, cond: Column) -> None:
+    e = _events(spark, sf_dir).where(cond)
+    gone = F.to_json(F.struct(F.lit("deleted").alias("type"), F.col("user_id").alias("id"), _offset_text(F.col("own")).alias("deleted_at")))
+    new = F.to_json(F.struct(F.lit("updated").alias("type"), F.struct(
+        F.col("user_id").alias("id"), F.col("event_type").alias("title"), F.col("value"), _offset_text(F.col("own")).alias("updated_at")).alias("workout")))
+    record = F.when(F.col("event_type") == D.FEED_DELETE_TYPE, gone).otherwise(new).alias("record")
+    landing.land(e.select(record, "landed"), base, "workout_events", ingested_at=F.col("landed"))
+
+
+@query("change_feed_apply", """
+WITH v AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, ts + to_microseconds(event_id) DESC) AS rn FROM events)
+SELECT CAST(user_id AS VARCHAR) AS workout_id, event_type AS title, value FROM v WHERE rn = 1 AND event_type <> 'error'""")
+def q_change_feed_apply(spark, sf_dir):
+    """The feed drained in two runs of the stream, the newer half first: late events and
+    deletions must not disturb what is newer, and a run without news changes nothing."""
+    base, ckpt = _scratch(spark, "feed"), _scratch(spark, "feed-offsets")
+    target = KeyedTable(spark, _scratch(spark, "feed-target"), "workout_id", n_buckets=8)
+
+    def rows(updated: DataFrame) -> DataFrame:
+        return updated.select("workout_id", F.get_json_object("workout", "$.title").alias("title"), F.get_json_object("workout", "$.value").cast("double").alias("value"))
+
+    newer = F.col("ts") >= F.lit(STATE_FROM).cast("timestamp_ntz")
+    for cond in (newer, ~newer):
+        _land_feed(spark, sf_dir, base, cond)
+        for _ in range(2):
+            changefeed.start(spark, f"{base}/workout_events", ckpt, target, rows).awaitTermination()
+    return target.read()
+
+
+@query("stream_dedupe", """
+SELECT CAST(user_id AS VARCHAR) AS record_id, count(*) AS n FROM events GROUP BY user_id""")
+def q_stream_dedupe(spark, sf_dir):
+    """Every event delivered twice; the stream keeps one of each (id, content) inside the watermark."""
+    base, ckpt, out = _scratch(spark, "pages"), _scratch(spark, "pages-offsets"), _scratch(spark, "pages-kept")
+    for _ in range(2):
+        _land_feed(spark, sf_dir, base, F.lit(True))
+    stream = spark.readStream.schema(landing.ENVELOPE).option("recursiveFileLookup", True).json(f"{base}/workout_events")
+    once = changefeed.dedupe_stream(stream.withColumn("at", F.col("_ingested_at").cast("timestamp")), "_record_id", "at", "60 days")
+    once.writeStream.format("parquet").option("checkpointLocation", ckpt).option("path", out).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy(F.col("_record_id").alias("record_id")).agg(F.count(F.lit(1)).alias("n"))
