@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 BYTE_PENALTY = 10.0
-TABLE_WORDS = 300_000
+TABLE_WORDS, TRIE_NODES = 300_000, 300_000
 _models: dict[str, tuple[dict[str, float], dict[str, int]]] = {}
 
 
@@ -39,33 +39,36 @@ class Trie:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest: dict[str, int] = {}  # by a piece's last character
+        sizes: dict[str, set[int]] = {}
         for piece in scores:
-            self.longest[piece[-1]] = max(len(piece), self.longest.get(piece[-1], 0))
+            if len(piece) > 2:
+                sizes.setdefault(piece[-3:], set()).add(len(piece))
+        self.sizes = {end: sorted(n) for end, n in sizes.items()}  # lengths of longer pieces by their last three characters
         self.unknown = min(scores.values(), default=0.0) - BYTE_PENALTY
         self.root: tuple[float, int, dict] = (0.0, 0, {})
+        self.nodes = 0
 
     def insert(self, token: str) -> int:
         """The number of tokens of ``token``; nodes already there are reused."""
-        path, scores, longest = [self.root], self.scores, self.longest
+        path, scores = [self.root], self.scores
         for i, char in enumerate(token, 1):
             children = path[-1][2]
             node = children.get(char)
             if node is None:
-                best = None
-                for size in range(1, min(i, longest.get(char, 0)) + 1):
+                before, score = path[-1], scores.get(char)
+                n = 1 if score is not None else len(char.encode("utf-8", "surrogatepass"))
+                best, count = before[0] + (n * self.unknown if score is None else score), before[1] + n
+                for size in (2, *self.sizes.get(token[i - 3:i], ())) if i > 2 else (2,):
+                    if size > i:
+                        break
                     score = scores.get(token[i - size:i])
                     if score is not None:
                         before = path[i - size]
-                        way = (before[0] + score, -before[1] - 1)
-                        if best is None or way > best:
-                            best = way
-                if char not in scores:
-                    n = len(char.encode("utf-8", "surrogatepass"))
-                    way = (path[-1][0] + n * self.unknown, -path[-1][1] - n)
-                    if best is None or way > best:
-                        best = way
-                node = children[char] = (best[0], -best[1], {})
+                        way = before[0] + score
+                        if way > best or (way == best and before[1] + 1 < count):
+                            best, count = way, before[1] + 1
+                node = children[char] = (best, count, {})
+                self.nodes += 1
             path.append(node)
         return path[-1][1]
 
@@ -88,7 +91,9 @@ def _counter(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                     kept = {w: known[w] for w in words if w in known}
                     known.clear()
                     known.update(kept)
-                trie.root[2].clear()  # its nodes are bounded by 200 texts
+                if trie.nodes > TRIE_NODES:  # and those of 200 texts
+                    trie.root[2].clear()
+                    trie.nodes = 0
                 for word in words.difference(known):
                     known[word] = trie.insert(MARK + word.decode())
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(map(len, split), pa.int64()), pa.array(map(len, raw), pa.int64()),
