@@ -1,16 +1,15 @@
-"""Repeated passages by a sparse suffix array over words.
-
-Suffixes are kept only at minimisers: of every WINDOW consecutive GRAM-word hashes the
-smallest one's position. Two texts that share LEAST words select the same position within
-the first WINDOW words of the passage, and from there share at least RIGHT words. The
-suffixes are range-partitioned and sorted by (hash of their first RIGHT words, doc_id,
-position), so equal starts are neighbours; the order splits a hot passage over many partitions. Each suffix is paired
-with its predecessor and with the first suffix of its run, the pairs are merged by diagonal,
-and each is extended left and right on the words themselves. Spans of LEAST words or more
-are reported for the later (doc_id, position) of the two.
-
-A passage shared by several documents whose surroundings agree in more than one way is
-compared with two of the others at each kept suffix, not with all of them.
+"""Repeated passages by word windows, found through a sparse choice of positions.
+
+A passage of LEAST words that stands in two places holds the same minimiser: of its first
+WINDOW GRAM-word hashes the smallest one's position, from which at least RIGHT words are
+shared. A first pass counts the hashes of these RIGHT words. A second one keeps, where such a
+start is found more than once, the hash of every LEAST-word window that selects it (a fixed
+map lets a few more through). The windows are range-partitioned and sorted by (hash, doc_id,
+position), so equal windows are neighbours, whatever stands around them; the order splits a
+hot passage over many partitions. Each window is paired with its predecessor and with the
+first of its run, the pairs are merged by diagonal, and each is extended left and right on
+the words themselves. Spans of LEAST words or more are reported for the later (doc_id,
+position) of the two, so the spans cover every window that has an equal one before it.
 """
 
 from __future__ import annotations
@@ -28,45 +27,53 @@ from repsmith.llm._text import SPACES, Prefix, Words, mix, sequences, slices
 
 LEAST, GRAM, WINDOW = 50, 4, 16
 RIGHT = LEAST - WINDOW + 1
-#: Words beyond the outermost common suffixes that a match can still reach.
-MARGIN_LEFT, MARGIN_RIGHT = WINDOW + GRAM, 2 * RIGHT + WINDOW + GRAM
+#: Words beyond the outermost common windows that a match is followed.
+MARGIN = WINDOW + GRAM
 
-SUFFIX = "b0 long, doc_id long, pos long"
+WINDOWS = "b0 long, doc_id long, pos long, keys array<long>"
 PAIR = "kind int, part int, b0 long, doc_id long, pos long, other long, other_pos long"
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes at minimisers with RIGHT words after them; one that repeats a recent start (a
-    periodic run) is left out, its run stays covered by the first."""
-    schema = pa.schema([(c, pa.int64()) for c in ("b0", "doc_id", "pos")])
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per minimiser the hash of the RIGHT words from it, the first window that selects it and the
+    hashes of that window and those after it that select it too; one that repeats a recent start
+    (a periodic run) is left out, its run stays covered by the first."""
+    schema = pa.schema([(c, pa.int64()) for c in ("b0", "doc_id", "pos")] + [("keys", pa.list_(pa.int64()))])
     for batch in batches:
         for lo, _, data, offsets in slices(batch, "text"):
             words = Words(data, offsets, SPACES)
-            grams = sequences(words.hash, GRAM)
-            if len(grams) < WINDOW:
+            row = words.rows()
+            starts = np.flatnonzero(row[:-LEAST + 1] == row[LEAST - 1:])
+            if not len(starts):
                 continue
-            row, end = words.rows(), words.bounds[1:]
-            views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-            whole = np.flatnonzero(row[:len(views)] == row[WINDOW + GRAM - 2:WINDOW + GRAM - 2 + len(views)])
+            views = np.lib.stride_tricks.sliding_window_view(sequences(words.hash, GRAM), WINDOW)
             picks = []
-            for at in range(0, len(whole), 1 << 16):
-                some = whole[at:at + (1 << 16)]
+            for at in range(0, len(starts), 1 << 16):
+                some = starts[at:at + (1 << 16)]
                 picks.append(some + views[some].argmin(axis=1))
-            p = np.unique(np.concatenate(picks)) if picks else np.zeros(0, np.int64)
-            p = p[p + RIGHT <= end[row[p]]]
-            b0 = Prefix(mix(words.hash))(p, p + RIGHT)
+            pick = np.concatenate(picks)
+            opens = np.flatnonzero(np.concatenate(([True], pick[1:] != pick[:-1])))
+            p, first = pick[opens], starts[opens]
+            of = Prefix(mix(words.hash))
+            b0 = of(p, p + RIGHT)
             fresh = np.ones(len(p), dtype=bool)
             for back in range(1, WINDOW + 1):
                 if len(p) > back:
                     fresh[back:] &= ~((b0[back:] == b0[:-back]) & (row[p[back:]] == row[p[:-back]]) & (p[back:] - p[:-back] < RIGHT))
-            p, b0 = p[fresh], b0[fresh]
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[lo + row[p]]
-            yield pa.RecordBatch.from_arrays([pa.array(b0.view(np.int64)), pa.array(ids, pa.int64()), pa.array(p - words.bounds[row[p]], pa.int64())], schema=schema)
+            keys = pa.ListArray.from_arrays(pa.array(np.append(opens, len(starts)), pa.int32()), pa.array(of(starts, starts + LEAST).view(np.int64)))
+            out = pa.RecordBatch.from_arrays([pa.array(b0.view(np.int64)), pa.array(ids, pa.int64()), pa.array(first - words.bounds[row[p]], pa.int64()), keys], schema=schema)
+            yield out.filter(pa.array(fresh))
+
+
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for out in _windows(batches):
+        yield out.select(["b0"])
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a suffix and its predecessor or its run's first, in this partition. Kind 1: the
-    partition's first suffix. Kind 2: its last run's first (doc_id, pos) and last (other, other_pos)."""
+    """Kind 0: a window and its predecessor or its run's first, in this partition. Kind 1: the
+    partition's first window. Kind 2: its last run's first (doc_id, pos) and last (other, other_pos)."""
     schema = pa.schema([("kind", pa.int32()), ("part", pa.int32())] + [(c, pa.int64()) for c in ("b0", "doc_id", "pos", "other", "other_pos")])
     part = TaskContext.get().partitionId()
 
@@ -137,8 +144,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     (equal rows are not compared with each other); ``text_hash`` (xxhash64) tells differing
     texts of one id apart. Fewer than LEAST words or an empty table give no span."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    suffixes = docs.mapInArrow(_suffixes, SUFFIX)
-    ordered = suffixes.repartitionByRange("b0", "doc_id", "pos").sortWithinPartitions("b0", "doc_id", "pos")
+    often = docs.mapInArrow(_starts, "b0 long").groupBy("b0").count().where("count > 1")
+    kept = marked(docs.mapInArrow(_windows, WINDOWS), [F.col("b0")], often, [F.col("b0")]).where("_maybe")
+    # Written, as the range partitioning reads its input twice.
+    kept = persisted(kept.select("doc_id", "pos", "keys"), "windows").select("doc_id", "pos", F.posexplode("keys").alias("_i", "b0"))
+    windows = kept.select("b0", "doc_id", (F.col("pos") + F.col("_i")).alias("pos"))
+    ordered = windows.repartitionByRange("b0", "doc_id", "pos").sortWithinPartitions("b0", "doc_id", "pos")
     near = persisted(ordered.mapInArrow(_neighbours, PAIR), "neighbours")
 
     # Two rows for each partition: the run that a partition starts with may have begun before it.
@@ -153,8 +164,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     turned = pairs.select(pick("doc_id", "other").alias("doc_id"), pick("pos", "other_pos").alias("pos"), pick("other", "doc_id").alias("other"), pick("other_pos", "pos").alias("other_pos"))
     merged = (turned.withColumn("shift", F.col("pos") - F.col("other_pos")).where("doc_id <> other or shift <> 0")
               .groupBy("doc_id", "other", "shift").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi")))
-    reach = F.least(F.lit(MARGIN_LEFT), F.col("lo"), F.col("lo") - F.col("shift"))
-    merged = persisted(merged.withColumn("first", F.col("lo") - reach).withColumn("until", F.col("hi") + MARGIN_RIGHT)
+    reach = F.least(F.lit(MARGIN), F.col("lo"), F.col("lo") - F.col("shift"))
+    merged = persisted(merged.withColumn("first", F.col("lo") - reach).withColumn("until", F.col("hi") + LEAST + MARGIN)
                        .select("doc_id", "other", "first", "until", (F.col("first") - F.col("shift")).alias("other_first"), (F.col("until") - F.col("shift")).alias("other_until")), "matches")
 
     wanted = merged.select("doc_id", "first", "until").unionByName(merged.select(F.col("other").alias("doc_id"), F.col("other_first").alias("first"), F.col("other_until").alias("until"))).distinct()

@@ -123,6 +123,38 @@ def test_repeated_passages(spark):
     assert sparse_suffix.repeated_passages(docs_of(spark, [])).count() == 0
 
 
+def covered(rows):
+    """Per document the words of every 50-word window that stands at an earlier (doc_id, position) too."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        w = t.lower().split()
+        for at in range(len(w) - 49):
+            key = tuple(w[at:at + 50])
+            if key in seen:
+                out.setdefault(i, set()).update(range(at, at + 50))
+            seen.add(key)
+    return out
+
+
+def spans_cover(spark, rows):
+    got = {}
+    for r in sparse_suffix.repeated_passages(docs_of(spark, rows)).collect():
+        a, b = (dict(rows)[i].lower().split()[at:at + r.n_words] for i, at in ((r.doc_id, r.start_word), (r.source_id, r.source_start)))
+        assert a == b and len(a) == r.n_words >= 50 and (r.source_id, r.source_start) < (r.doc_id, r.start_word)
+        got.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+    return got
+
+
+def test_repeated_passages_of_families_around_one_core(spark):
+    rows = []
+    for k in range(8):  # 8 cores; 10 families of documents, with 6 words of their own before or after the core
+        for i in range(30):
+            own = text(6, 5000 + 10 * k + i % 10)
+            rows.append((100 * k + i, " ".join([text(40, 10000 + 100 * k + i), *([own, text(45, 40 + k)] if k % 2 else [text(45, 40 + k), own]), text(40, 20000 + 100 * k + i)])))
+    want = covered(rows)
+    assert len(want) == 160 and spans_cover(spark, rows) == want
+
+
 def local_score(x, y):
     best, row = 0, [0] * (len(y) + 1)
     for a in x:
