@@ -6,9 +6,10 @@ shared. A first pass counts the hashes of these RIGHT words. A second one keeps,
 start is found more than once, the hash of every LEAST-word window that selects it (a fixed
 map lets a few more through). The windows are range-partitioned and sorted by (hash, doc_id,
 position), so equal windows are neighbours, whatever stands around them; the order splits a
-hot passage over many partitions. Each window is paired with its predecessor and with the
-first of its run, the pairs are merged by diagonal, and each is extended left and right on
-the words themselves. Spans of LEAST words or more are reported for the later (doc_id,
+hot passage over many partitions. Each window is paired with its predecessor and, if
+it is its document's first of the run, with the first of all; a periodic run is thus followed
+by its period, on one diagonal. The pairs are merged by diagonal, and each is extended left and
+right on the words themselves. Spans of LEAST words or more are reported for the later (doc_id,
 position) of the two, so the spans cover every window that has an equal one before it.
 """
 
@@ -36,8 +37,7 @@ PAIR = "kind int, part int, b0 long, doc_id long, pos long, other long, other_po
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per minimiser the hash of the RIGHT words from it, the first window that selects it and the
-    hashes of that window and those after it that select it too; one that repeats a recent start
-    (a periodic run) is left out, its run stays covered by the first."""
+    hashes of that window and those after it that select it too."""
     schema = pa.schema([(c, pa.int64()) for c in ("b0", "doc_id", "pos")] + [("keys", pa.list_(pa.int64()))])
     for batch in batches:
         for lo, _, data, offsets in slices(batch, "text"):
@@ -56,14 +56,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, first = pick[opens], starts[opens]
             of = Prefix(mix(words.hash))
             b0 = of(p, p + RIGHT)
-            fresh = np.ones(len(p), dtype=bool)
-            for back in range(1, WINDOW + 1):
-                if len(p) > back:
-                    fresh[back:] &= ~((b0[back:] == b0[:-back]) & (row[p[back:]] == row[p[:-back]]) & (p[back:] - p[:-back] < RIGHT))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[lo + row[p]]
             keys = pa.ListArray.from_arrays(pa.array(np.append(opens, len(starts)), pa.int32()), pa.array(of(starts, starts + LEAST).view(np.int64)))
-            out = pa.RecordBatch.from_arrays([pa.array(b0.view(np.int64)), pa.array(ids, pa.int64()), pa.array(first - words.bounds[row[p]], pa.int64()), keys], schema=schema)
-            yield out.filter(pa.array(fresh))
+            yield pa.RecordBatch.from_arrays([pa.array(b0.view(np.int64)), pa.array(ids, pa.int64()), pa.array(first - words.bounds[row[p]], pa.int64()), keys], schema=schema)
 
 
 def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,8 +67,8 @@ def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a window and its predecessor or its run's first, in this partition. Kind 1: the
-    partition's first window. Kind 2: its last run's first (doc_id, pos) and last (other, other_pos)."""
+    """Kind 0: a window and its predecessor or, where that is in another document, its run's
+    first, in this partition. Kind 1: the partition's first window. Kind 2: its last run's first (doc_id, pos) and last (other, other_pos)."""
     schema = pa.schema([("kind", pa.int32()), ("part", pa.int32())] + [(c, pa.int64()) for c in ("b0", "doc_id", "pos", "other", "other_pos")])
     part = TaskContext.get().partitionId()
 
@@ -93,7 +88,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = b != prev[0]
         at = np.maximum.accumulate(np.where(starts, np.arange(len(b)), -1))
         first_d, first_p = np.where(at < 0, hub[1], d[at]), np.where(at < 0, hub[2], p[at])
-        for od, op, extra in ((prev[1], prev[2], True), (first_d, first_p, (first_d != prev[1]) | (first_p != prev[2]))):
+        for od, op, extra in ((prev[1], prev[2], True), (first_d, first_p, (d != prev[1]) & ((first_d != prev[1]) | (first_p != prev[2])))):
             take = ~starts & extra & ((od != d) | (op != p))
             if take.any():
                 yield rows(0, b[take], d[take], p[take], od[take], op[take])

@@ -155,6 +155,14 @@ def test_repeated_passages_of_families_around_one_core(spark):
     assert len(want) == 160 and spans_cover(spark, rows) == want
 
 
+def test_repeated_passages_of_periodic_text(spark):
+    line = text(12, 50)
+    rows = [(i, f"{text(20, 8000 + i)} {line} {' '.join([line] * 49)} {text(20, 8100 + i)}") for i in (1, 2, 3)]
+    rows += [(4, "junk " * 300), (5, "junk " * 20000), (6, f"{text(30, 51)} {'a b c ' * 40}{text(30, 52)}"), (7, " ".join([text(40, 53)] * 5))]
+    want = covered(rows)
+    assert {i: len(w) for i, w in want.items()} == {1: 588, 2: 600, 3: 600, 4: 299, 5: 20000, 6: 117, 7: 160} and spans_cover(spark, rows) == want
+
+
 def local_score(x, y):
     best, row = 0, [0] * (len(y) + 1)
     for a in x:
