@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are taken in blocks of bounded size (any number of blocks, one pass over the
-corpus each). A pass marks, in every text, the words of the block's vocabulary, finds the
-places where GRAM words in a row form an n-gram of some item, and keeps the regions around
-them. From these the documents holding each n-gram are counted over the whole corpus. The
-seeds of an item are its n-grams found in at most RARE documents and, wherever SPAN n-grams
-in a row are all more frequent, the rarest of those, so that an item which leaked into very
-many documents still has seeds all along. A region and an item that share a seed are aligned
-on words; the similarity is the share of the item's words that the best local alignment
-matches with equal words in the same order.
+corpus each). A copy of an m-word item with k edits, k the most that the similarity allows,
+keeps k + 1 runs of equal words at most, one of which has (m - k) / (k + 1) words or more:
+that is the length of the item's seeds, and all its n-grams of that length are seeds, however
+frequent. A pass marks, in every text, the words of the block's vocabulary and finds the
+seeds. Around each seed's diagonal the words that the item and the text have in common are
+counted, which bounds the similarity from above; where that is enough, both are aligned on
+words. The similarity is the share of the item's words that the best local alignment matches
+with equal words in the same order.
 """
 
 from __future__ import annotations
@@ -23,97 +23,36 @@ from pyspark.sql import functions as F
 from repsmith.llm._common import persisted
 from repsmith.llm._text import NON_WORD, Words, sequences, slices
 
-GRAM, RARE, SPAN, SIMILARITY, BLOCK_BYTES = 5, 50, 4, 0.8, 16 << 20
+SIMILARITY, BLOCK_BYTES = 0.8, 16 << 20
 
 
 class Items:
     """One block of test items, as sent to the tasks: at most about BLOCK_BYTES of text."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], least: float = SIMILARITY):
         texts = pa.RecordBatch.from_pydict({"text": pa.array([t for _, t in rows], pa.string())})
         self.ids, self.words = [i for i, _ in rows], []
         for _, _, data, offsets in slices(texts, "text"):
             w = Words(data, offsets, NON_WORD)
             self.words += [w.hash[a:b] for a, b in zip(w.bounds[:-1], w.bounds[1:])]
+        self.need = [int(np.ceil(least * len(w) - 1e-9)) for w in self.words]
         self.vocabulary = np.unique(np.concatenate([*self.words, np.zeros(0, np.uint64)]))
-        self.grams: dict[int, np.ndarray] = {}  # per n-gram length the distinct hashes
-        found: dict[int, list[np.ndarray]] = {}
-        for w in self.words:
+        #: Per length the seeds' hashes in order, with item and position.
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for k, w in enumerate(self.words):
             if len(w):
-                found.setdefault(self.size(w), []).append(self.of(w))
-        self.grams = {n: np.unique(np.concatenate(x)) for n, x in found.items()}
-        self.longest = max(map(len, self.words), default=0)
+                n = seed_size(len(w), self.need[k])
+                found.setdefault(n, []).append((sequences(w, n), k))
+        for n, x in found.items():
+            hashes = np.concatenate([h for h, _ in x])
+            order = np.argsort(hashes, kind="stable")
+            self.seeds[n] = hashes[order], np.repeat([k for _, k in x], [len(h) for h, _ in x])[order], np.concatenate([np.arange(len(h)) for h, _ in x])[order]
 
-    @staticmethod
-    def size(words: np.ndarray) -> int:
-        return min(GRAM, len(words))
 
-    def of(self, words: np.ndarray) -> np.ndarray:
-        return sequences(words, self.size(words))
-
-
-def _regions(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("doc_id", pa.int64()), ("grams", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("regions", pa.list_(pa.binary()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, _, data, offsets in slices(batch, "text"):
-                words = Words(data, offsets, NON_WORD)
-                if not len(words.hash) or not len(items.vocabulary):
-                    continue
-                at = np.minimum(np.searchsorted(items.vocabulary, words.hash), len(items.vocabulary) - 1)
-                known = items.vocabulary[at] == words.hash
-                row = words.rows()
-                hit_at, hit_gram = [], []
-                for n, grams in items.grams.items():
-                    if len(known) < n:
-                        continue
-                    whole = np.convolve(known, np.ones(n, np.int32), "valid") == n
-                    p = np.flatnonzero(whole & (row[:len(whole)] == row[n - 1:]))
-                    if len(p):
-                        h = sequences(words.hash, n)[p]
-                        i = np.minimum(np.searchsorted(grams, h), len(grams) - 1)
-                        ok = grams[i] == h
-                        hit_at.append(p[ok])
-                        hit_gram.append(h[ok])
-                if not hit_at or not sum(map(len, hit_at)):
-                    continue
-                p, g = np.concatenate(hit_at), np.concatenate(hit_gram)
-                order = np.argsort(p, kind="stable")
-                p, g = p[order], g[order]
-                reach = 2 * items.longest
-                out: list[tuple] = []
-                for r in np.unique(row[p]):
-                    own = row[p] == r
-                    q = p[own]
-                    first, last = words.bounds[r], words.bounds[r + 1]
-                    cuts = np.flatnonzero(np.diff(q) > reach) + 1
-                    starts, regions = [], []
-                    for part in np.split(q, cuts):
-                        a, b = max(first, part[0] - reach), min(last, part[-1] + reach)
-                        starts.append(int(a - first))
-                        regions.append(words.hash[a:b].tobytes())
-                    out.append((lo + r, np.unique(g[own]).view(np.int64), starts, regions))
-                rows, grams_, starts_, regions_ = zip(*out)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), pa.array(list(grams_), pa.list_(pa.int64())), pa.array(starts_, pa.list_(pa.int64())), pa.array(regions_, pa.list_(pa.binary()))], schema=schema)
-    return run
-
-
-def rare_seeds(items: Items, counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
-    """Seed hash -> (item, position): n-grams in at most RARE documents, and of every SPAN in a row that are more frequent the rarest."""
-    seeds: dict[int, list[tuple[int, int]]] = {}
-    for k, words in enumerate(items.words):
-        if not len(words):
-            continue
-        grams = items.of(words)
-        n = np.array([counts.get(int(x), 0) for x in grams.view(np.int64)])
-        take = n <= RARE
-        for at in range(0, max(1, len(n) - SPAN + 1)):
-            if not take[at:at + SPAN].any():
-                take[at + int(n[at:at + SPAN].argmin())] = True
-        for at in np.flatnonzero(take):
-            seeds.setdefault(int(grams[at]), []).append((k, int(at)))
-    return seeds
+def seed_size(m: int, need: int) -> int:
+    """The longest run of equal words that is left for sure of ``m`` with ``m - need`` edits."""
+    return max(1, -(-need // (m - need + 1)))
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
@@ -142,39 +81,62 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, i
     return best
 
 
-def _aligned(items: Items, seeds: dict[int, list[tuple[int, int]]], least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _seeds(items: Items, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, diagonal as word number) of every seed found, distinct and in order."""
+    row = words.rows()
+    at = np.minimum(np.searchsorted(items.vocabulary, words.hash), len(items.vocabulary) - 1)
+    known = np.concatenate(([0], np.cumsum(items.vocabulary[at] == words.hash)))
+    found = []
+    for n, (hashes, of, position) in items.seeds.items():
+        if len(row) < n:
+            continue
+        p = np.flatnonzero((known[n:] - known[:-n] == n) & (row[:len(row) - n + 1] == row[n - 1:]))
+        h = sequences(words.hash, n)[p]
+        lo, hi = np.searchsorted(hashes, h), np.searchsorted(hashes, h, "right")
+        many = hi - lo
+        seed = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+        p = np.repeat(p, many)
+        found.append(np.stack([row[p], of[seed], p - position[seed]]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    r, k, d = np.concatenate(found, axis=1)
+    order = np.lexsort((d, k, r))
+    r, k, d = r[order], k[order], d[order]
+    new = np.concatenate(([True], (r[1:] != r[:-1]) | (k[1:] != k[:-1]) | (d[1:] != d[:-1])))[:len(r)]
+    return r[new], k[new], d[new]
+
+
+def _aligned(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = ("doc_id", "item_id", "similarity", "start_word", "end_word")
     schema = pa.schema(list(zip(names, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))))
-    sorted_seeds = np.array(sorted(seeds), np.uint64)
+    own = [np.unique(w, return_counts=True) for w in items.words]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for doc, starts, regions in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "starts", "regions"))):
-                best: dict[int, tuple] = {}
-                for start, region in zip(starts, regions):
-                    words = np.frombuffer(region, np.uint64)
-                    places: dict[int, list[int]] = {}
-                    for n in items.grams:
-                        h = sequences(words, n)
-                        i = np.minimum(np.searchsorted(sorted_seeds, h), len(sorted_seeds) - 1) if len(sorted_seeds) else None
-                        for p in np.flatnonzero(sorted_seeds[i] == h) if i is not None else []:
-                            for k, at in seeds[int(h[p])]:
-                                if items.size(items.words[k]) == n:
-                                    places.setdefault(k, []).append(int(p) - at)
-                    for k, diagonals in places.items():
-                        item = items.words[k]
-                        m = len(item)
-                        end = -1
-                        for d in sorted(diagonals):  # windows around the seeds' diagonals, merged where they overlap
-                            if d + m <= end - m:
-                                continue
-                            lo, end = max(0, d - m), min(len(words), d + 3 * m)
-                            _, equal, a, b = smith_waterman(item, words[lo:end])
-                            if equal >= least * m and equal / m > best.get(k, (0,))[0]:
-                                best[k] = (equal / m, start + lo + a, start + lo + b)
-                found += [(doc, items.ids[k], *v) for k, v in best.items()]
-            if found:
+            best: dict[tuple[int, int], tuple] = {}
+            for lo, _, data, offsets in slices(batch, "text"):
+                words = Words(data, offsets, NON_WORD)
+                if not len(words.hash) or not len(items.vocabulary):
+                    continue
+                last, end = None, -1
+                for r, k, d in zip(*(x.tolist() for x in _seeds(items, words))):
+                    item, first, until = items.words[k], int(words.bounds[r]), int(words.bounds[r + 1])
+                    m = len(item)
+                    if last == (r, k) and d + 2 * m <= end:  # inside the window around an earlier diagonal
+                        continue
+                    a, end, last = max(first, d - m), min(until, d + 3 * m), (r, k)
+                    text = words.hash[a:end]
+                    distinct, counts = own[k]
+                    ordered = np.sort(text)
+                    common = np.searchsorted(ordered, distinct, "right") - np.searchsorted(ordered, distinct)
+                    if np.minimum(common, counts).sum() < items.need[k]:
+                        continue
+                    _, equal, s, e = smith_waterman(item, text)
+                    if equal >= items.need[k] and equal / m > best.get((lo + r, k), (0,))[0]:
+                        best[lo + r, k] = (equal / m, a - first + s, a - first + e)
+            if best:
+                ids = batch.column("doc_id").to_pylist()
+                found = [(ids[r], items.ids[k], *v) for (r, k), v in best.items()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), schema.types)], schema=schema)
     return run
 
@@ -183,7 +145,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     """One row per (doc_id, item_id) with similarity >= ``least``, its best place as word numbers.
 
     Words are runs of ASCII letters, digits and non-ASCII characters in lower case. Items without
-    a word match nothing, items of fewer than GRAM words need all of them in a row to be found.
+    a word match nothing.
     Null texts match nothing; a null doc_id is reported as null. Rows that repeat a document are
     each reported, repeated items too. Other columns of both tables are ignored."""
     spark = docs.sparkSession
@@ -195,11 +157,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     out = spark.createDataFrame([], schema)
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        held = Items([(r["item_id"], r["text"]) for r in own.orderBy("item_id", "text").collect()])  # about BLOCK_BYTES
-        regions = persisted(docs.mapInArrow(_regions(held), "doc_id long, grams array<long>, starts array<long>, regions array<binary>"), "regions")
-        # One row per distinct n-gram of the block.
-        counts = {r["gram"]: r["count"] for r in regions.select(F.explode("grams").alias("gram")).groupBy("gram").count().collect()}
-        out = out.unionByName(regions.repartition(F.xxhash64("doc_id", "starts")).mapInArrow(_aligned(held, rare_seeds(held, counts), least), schema))
+        held = Items([(r["item_id"], r["text"]) for r in own.orderBy("item_id", "text").collect()], least)  # about BLOCK_BYTES
+        out = out.unionByName(docs.mapInArrow(_aligned(held), schema))
     return out
 
 

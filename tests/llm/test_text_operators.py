@@ -194,6 +194,18 @@ def test_contaminated(spark):
     assert decontaminate.contaminated(docs_of(spark, []), benchmark).count() == 0
 
 
+def test_contaminated_by_evenly_spread_edits(spark):
+    def spread(t, places):
+        return " ".join("EDIT%d" % i if i in places else w for i, w in enumerate(t.split()))
+    items = [(1, text(9, 31)), (2, text(14, 32)), (3, text(40, 33)), (4, text(20, 34)), (5, text(10, 35)), (6, text(5, 36))]
+    edits = {1: [4], 2: [4, 9], 3: range(4, 40, 5), 4: [4, 9, 14, 19], 5: [3, 6], 6: [2]}
+    rows = [(i, f"{text(30, 60 + i)} {spread(t, edits[i])} {text(30, 70 + i)}") for i, t in items]
+    rows += [(100 + i, f"{text(30, 800 + i)} {items[2][1]}") for i in range(120)]  # every n-gram of item 3 is frequent
+    rows += [(300, f"{text(30, 80)} {spread(items[2][1], [*range(4, 40, 5), 0])}")]
+    got = sorted((r.doc_id, r.item_id, round(r.similarity, 2)) for r in decontaminate.contaminated(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert got == [(1, 1, 0.89), (2, 2, 0.86), (3, 3, 0.8), (4, 4, 0.8), (5, 5, 0.8), (6, 6, 0.8)] + [(100 + i, 3, 1.0) for i in range(120)]
+
+
 def base_counts(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
     lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
