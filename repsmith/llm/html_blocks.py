@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: HTML's elements by their meaning for text blocks.
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "math", "object", "iframe", "select", "title")
+RAW = ("script", "style", "textarea", "title")
+HOLDERS = ("noscript", "template", "svg", "math", "object", "iframe", "select")
+HEAD = frozenset("html head base basefont bgsound link meta title script style noscript template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav footer aside form button menu dialog fieldset".split())
@@ -35,9 +37,11 @@ HEADER = "header"
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<holder>" + "|".join(HOLDERS) + r")(?=[\s/>])[^>]*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?>[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
+_HOLDER = {name: re.compile(r"<!--.*?(?:-->|\Z)|<script(?=[\s/>]).*?(?:</script\s*>|\Z)|<(?P<close>/?)(?P<name>" + name + r")(?=[\s/>])[^>]*>", re.S | re.I) for name in HOLDERS}
 _ATTR = re.compile(r"""\b(class|id|role|style)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|\b(hidden)\b""", re.I)
 _WORD = re.compile(r"[^\W_]+", re.U)
 
@@ -63,8 +67,25 @@ class Block:
         self.link_words, self.furniture, self.article, self.heading = link_words, furniture, article, heading
 
 
+def _empty(name: str, tag: str) -> bool:
+    return name in ("svg", "math") and tag.endswith("/>")
+
+
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Start of each element of this name that is closed -> its end."""
+    out, opened = {}, []
+    for m in _HOLDER[name].finditer(page):
+        if m["close"]:
+            if opened:
+                out[opened.pop()] = m.end()
+        elif m["name"] and not _empty(name, m[0]):
+            opened.append(m.start())
+    return out
+
+
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order. Unclosed, crossed and cut-off tags are tolerated."""
+    """The text blocks of a page in order. Unclosed, crossed and cut-off tags are tolerated: an
+    unclosed element of HOLDERS loses its tag only, and the head ends where something stands that it cannot hold."""
     out: list[Block] = []
     text: list[str] = []
     linked = 0
@@ -81,19 +102,28 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     def add(piece: str) -> None:
-        nonlocal linked
+        nonlocal linked, in_head
+        in_head = in_head and not piece.strip()
         if piece and not in_head:
             text.append(piece)
             if links:
                 linked += len(piece.split())
 
     at = 0
-    for m in _TAG.finditer(page):
+    ends: dict[str, dict[int, int]] = {}
+    while m := _TAG.search(page, at):
         add(page[at:m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
+        element = (m["raw"] or m["holder"] or name).lower()
+        if element and not m["close"] and element not in HEAD:
+            in_head = False
+        if m["holder"] and not _empty(element, m[0]):
+            if element not in ends:
+                ends[element] = _ends(page, element)
+            at = ends[element].get(m.start(), at)
         if not name:
-            if m["raw"] and m["raw"].lower() != "title":
+            if element and element != "title":
                 text.append(" ")
             continue
         if name in ("head", "body"):

@@ -251,6 +251,21 @@ def test_html_blocks(spark):
     assert ((html_blocks.predict(html_blocks.grow(x, y), x) >= 0.5) == y).mean() > 0.97
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p><svg-icon></svg-icon><p>rest</p>", ["a", "rest"]),
+    ("<p>a<title-bar>b</title-bar><select-menu><template-x>c", ["a", "b", "c"]),
+    ("<p>a <svg width='1'/> b <math/> c</p><svg><g/><text>no</text></svg><p>d", ["a b c", "d"]),
+    ("<p>a <select><option>x</p><p>b</p><object data=u><p>c</p><select><option>no</select>d<iframe src=u>", ["a", "x", "b", "c", "d"]),
+    ("<object><object>no</object>no</object><p>a<noscript><p>b", ["a", "b"]),
+    ("<!-- <svg> --><svg><!-- </svg> -->no</svg><script>'<svg>'</script>a", ["a"]),
+    ("<html><head><title>no</title><meta charset=u><link href=u><p>a</p><p>b", ["a", "b"]),
+    ("<head><title>no</title>\n<script>no</script><noscript>no</noscript> a b", ["a b"]),
+    ("<head><title>no</title><style>no</style></head><body>a<textarea>no", ["a"]),
+])
+def test_html_of_unclosed_and_custom_elements(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
+
+
 def test_toxicity(spark):
     r = random.Random(2)
     bad = ["vile" + x for x in ("ling", "some", "ness", "dom")]
