@@ -133,3 +133,17 @@ def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
             yield np.unique(runs[lo:hi - n + 1])
         else:
             yield sequences(words.hash[lo:hi], int(hi - lo)) if hi > lo else np.zeros(0, np.uint64)
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether the byte ranges a[a_start:a_end] and b[b_start:b_end] are equal, pair by pair."""
+    size = a_end - a_start
+    equal = size == b_end - b_start
+    at = np.flatnonzero(equal & (size > 0))
+    n = size[at]
+    first = np.cumsum(n) - n
+    step = np.arange(int(n.sum())) - np.repeat(first, n)
+    differ = a[step + np.repeat(a_start[at], n)] != b[step + np.repeat(b_start[at], n)]
+    if len(at):
+        equal[at] = np.add.reduceat(differ, first, dtype=np.int64) == 0
+    return equal

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repsmith.llm import arc_convert, decontaminate, html_blocks, line_frequency, minhash_dedup, packing, sharding, sparse_suffix, token_counts, toxicity_pu
+from repsmith.llm import arc_convert, bag_ranking, decontaminate, html_blocks, line_frequency, minhash_dedup, packing, sharded_lloyd, sharding, sparse_suffix, token_counts, toxicity_pu
 
 SHARDS = 16
+DIMS, CLUSTERS, ROUNDS = 64, 16, 3
 #: Rows per Arrow batch: with texts of megabytes a task's batch must stay small.
 ARROW_ROWS = "512"
 
@@ -69,11 +70,48 @@ def op10_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sparse_suffix.repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.lloyd(table(spark, sf_dir, "embeddings"), DIMS, CLUSTERS, ROUNDS)
+
+
+def op12_bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_arc_to_warc, op2_bounded_ring, op3_best_two_fit, op4_rare_seed_alignment, op5_line_frequency,
-                            op6_html_blocks, op7_minhash_stars, op8_nnpu_toxicity, op9_trie_token_counts, op10_sparse_suffix)}
+                            op6_html_blocks, op7_minhash_stars, op8_nnpu_toxicity, op9_trie_token_counts, op10_sparse_suffix, op11_sharded_lloyd, op12_bag_ranking)}
+
+def _lloyd_sql(dims: int, clusters: int, rounds: int) -> str:
+    """Lloyd's rounds unrolled: s (start) or m (means) give c0, c1, ...; a0, a1, ... are the assignments."""
+    steps = [f"""v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+                  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {dims})""",
+             f"c0 AS (SELECT row_number() OVER (ORDER BY vec_id IS NULL, sha256('1:' || vec_id), x) - 1 AS cluster, x AS c FROM v QUALIFY cluster < {clusters})"]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (SELECT r, min(struct_pack(distance := d, cluster := cluster)) AS best FROM (SELECT r, cluster, CAST(list_sum(list_transform(generate_series(1, {dims}), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d FROM v, c{k}) GROUP BY r)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (SELECT best.cluster AS cluster, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{k} USING (r), (SELECT unnest(generate_series(1, {dims})) AS i) GROUP BY 1, 2) GROUP BY cluster)""")
+            steps.append(f"c{k + 1} AS (SELECT c{k}.cluster, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (cluster))")
+    return "WITH " + ",\n".join(steps) + f"""
+        SELECT vec_id, CAST(best.cluster AS INT) AS cluster, best.distance AS distance, CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(best.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM v JOIN a{rounds} USING (r) JOIN c{rounds} ON c{rounds}.cluster = best.cluster"""
+
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_sharded_lloyd": _lloyd_sql(DIMS, CLUSTERS, ROUNDS),
+    "op12_bag_ranking": r"""
+        WITH t AS (SELECT r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+                   FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+        d AS (SELECT r, doc_id, len(ws) AS n, ws FROM t WHERE len(ws) > 0),
+        s AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+        tf AS (SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM d) WHERE w IN (SELECT w FROM q) GROUP BY r, w),
+        df AS (SELECT w, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, s GROUP BY w, nn),
+        m AS (SELECT r, doc_id, 50 + (50 * n * nn) // ll AS m FROM d, s),
+        p AS (SELECT r, doc_id, w, weight * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS part FROM tf JOIN m USING (r) JOIN df USING (w)),
+        x AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM p JOIN q USING (w) GROUP BY item_id, r, doc_id HAVING sum(part) > 0)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM x QUALIFY rank <= 50""",
     "op1_arc_to_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
         g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
