@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repsmith.llm import arc_convert, bag_ranking, decontaminate, html_blocks, line_frequency, minhash_dedup, packing, sharded_lloyd, sharding, sparse_suffix, token_counts, toxicity_pu
+from repsmith.llm import arc_convert, bag_ranking, decontaminate, html_blocks, id_files, line_frequency, minhash_dedup, packing, sharded_lloyd, sharding, sparse_suffix, token_counts, toxicity_pu
 
 SHARDS = 16
 DIMS, CLUSTERS, ROUNDS = 64, 16, 3
@@ -78,9 +78,13 @@ def op12_bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_arc_to_warc, op2_bounded_ring, op3_best_two_fit, op4_rare_seed_alignment, op5_line_frequency,
-                            op6_html_blocks, op7_minhash_stars, op8_nnpu_toxicity, op9_trie_token_counts, op10_sparse_suffix, op11_sharded_lloyd, op12_bag_ranking)}
+                            op6_html_blocks, op7_minhash_stars, op8_nnpu_toxicity, op9_trie_token_counts, op10_sparse_suffix, op11_sharded_lloyd, op12_bag_ranking, op13_context_mixing)}
 
 def _lloyd_sql(dims: int, clusters: int, rounds: int) -> str:
     """Lloyd's rounds unrolled: s (start) or m (means) give c0, c1, ...; a0, a1, ... are the assignments."""
