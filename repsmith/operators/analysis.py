@@ -1,7 +1,8 @@
 """Analysis outputs and the designed analyses.
 
 Each returns the data behind a chart or table as a grouped DataFrame; nothing is
-collected. Statistics are Spark aggregates (``regr_*``, exact ``percentile``).
+collected. Statistics are Spark aggregates (``regr_*``); exact quantiles come from the rank
+selection of :mod:`repsmith.operators.order_statistics`, which needs no buffer per group.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
 from repsmith.functions.scalars import day_name, iso_day_of_week, rest_bucket
+from repsmith.operators.order_statistics import distribution
 from repsmith.operators.windows import day_number
 
 
@@ -27,30 +29,28 @@ def equals_or_all(col: str, value: str | None) -> Column:
     return F.lit(True) if value in (None, "All") else (F.col(col) == F.lit(value))
 
 
-def quantiles(col: str, qs, approx_accuracy: int | None = None) -> Column:
-    """Exact (``percentile``: linear interpolation, equal to SQL ``quantile_cont``) or, with
-    ``approx_accuracy``, a bounded-memory sketch (``percentile_approx``).
-
-    The exact form keeps every distinct value of a group in the final aggregation buffer,
-    so a group holding a third of all rows lands in one task; at that scale pass an
-    accuracy (e.g. 10_000 -> rank error <= n / 10_000)."""
-    if approx_accuracy:
-        return F.percentile_approx(F.col(col), qs, approx_accuracy).cast(
-            "double" if not isinstance(qs, (list, tuple)) else "array<double>")
-    if isinstance(qs, (list, tuple)):
-        return F.percentile(F.col(col), F.array(*[F.lit(float(q)) for q in qs]))
-    return F.percentile(F.col(col), F.lit(float(qs)))
+def quantiles(col: str, qs, approx_accuracy: int) -> Column:
+    """Sketched quantiles (``percentile_approx``) as an aggregate: rank error <= n / approx_accuracy."""
+    return F.percentile_approx(F.col(col), list(qs), approx_accuracy).cast("array<double>")
 
 
 def recovery_curve(sessions: DataFrame, days: str = "days_since_last_exposure",
                    perf: str = "relative_performance", cap: int = 7,
-                   approx_accuracy: int | None = None) -> DataFrame:
-    """Relative performance by rest-day bucket (0..6, 7+): n, mean, median."""
-    d = sessions.where(F.col(perf).isNotNull())
-    return d.groupBy(rest_bucket(days, cap).alias("rest_bucket")).agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.avg(perf).alias("mean_relative_performance"),
-        quantiles(perf, 0.5, approx_accuracy).alias("median_relative_performance"))
+                   approx_accuracy: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Relative performance by rest-day bucket (0..6, 7+): n, mean, median (D2, G7). ``by`` adds
+    controls, such as the era (G10). The median is exact, or sketched with ``approx_accuracy``."""
+    d = sessions.where(F.col(perf).isNotNull()).select(*by, rest_bucket(days, cap).alias("rest_bucket"), perf)
+    s = _summary(d, [*by, "rest_bucket"], perf, [0.5], approx_accuracy)
+    return s.select(*by, "rest_bucket", "n", F.col("mean_value").alias("mean_relative_performance"),
+                    F.col("quantiles")[0].alias("median_relative_performance"))
+
+
+def _summary(df: DataFrame, groups: Sequence[str], value: str, qs: Sequence[float], approx_accuracy: int | None) -> DataFrame:
+    """n, mean_value, min_value, max_value and quantiles per group of a column without nulls."""
+    if not approx_accuracy:
+        return distribution(df, groups, value, qs)
+    return df.groupBy(*groups).agg(F.count(F.lit(1)).cast("long").alias("n"), F.avg(value).alias("mean_value"), F.min(value).alias("min_value"),
+                                   F.max(value).alias("max_value"), quantiles(value, qs, approx_accuracy).alias("quantiles"))
 
 
 def ols_trend(df: DataFrame, group: ColumnOrName, x: str, y: str, min_rows: int = 3) -> DataFrame:
@@ -66,15 +66,13 @@ def ols_trend(df: DataFrame, group: ColumnOrName, x: str, y: str, min_rows: int
     return fits.where(total > min_rows)
 
 
-def box_stats(df: DataFrame, group: Sequence[ColumnOrName], value: str,
-              approx_accuracy: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, group: Sequence[ColumnOrName], value: str, approx_accuracy: int | None = None) -> DataFrame:
     """Quartiles (exact, linear interpolation; or sketched), whiskers and count per group (D3)."""
-    q = quantiles(value, [0.25, 0.5, 0.75], approx_accuracy)
-    return (df.where(F.col(value).isNotNull()).groupBy(*group)
-            .agg(q.alias("__q"), F.min(value).alias("min_value"), F.max(value).alias("max_value"),
-                 F.count(F.lit(1)).cast("long").alias("n"))
-            .select("*", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
-            .drop("__q"))
+    d = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("__value"))
+    names = d.columns[:-1]
+    s = _summary(d, names, "__value", [0.25, 0.5, 0.75], approx_accuracy)
+    return s.select(*names, "min_value", "max_value", "n", F.col("quantiles")[0].alias("q1"),
+                    F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"))
 
 
 def recent_prs(sessions: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ joined back:
   ``ORDER BY day, id``.
 * trailing range max over ``[day - lo, day - hi]`` with ``hi >= 1``: the frame never
   includes the current day, so the max of per-day maxima equals the row-level answer.
-* trailing quantile: per-day mergeable KLL sketches merged over the day frame
-  (approximate); the exact form stays a row-level window and is documented as such.
+* trailing quantile: counts per (key, day, value range) added up over the day frame and
+  refined where the wanted ranks lie (exact), or per-day mergeable KLL sketches merged
+  over it (approximate).
 
 The ``*_direct`` functions are the plain row-level windows, kept as test references.
 """
@@ -126,11 +127,13 @@ def trailing_range_percentile(df: DataFrame, keys: Sequence[str], date_col: str,
                               q: float = 0.5, lo: int = 90, hi: int = 1) -> DataFrame:
     """Exact trailing percentile (robust baseline, G6) over ``[date - lo, date - hi]``.
 
-    A median is not decomposable, so this one stays a row-level range window per key;
-    supply an entity key at scale so each partition is one athlete's exercise history.
-    """
-    w = Window.partitionBy(*keys).orderBy(day_number(date_col)).rangeBetween(-lo, -hi)
-    return df.withColumn(out, F.percentile(F.col(value), F.lit(q)).over(w))
+    Per (key, day) by rank selection on mergeable counts, joined back to the rows; no window holds
+    the rows of a key. Rows without a date have no frame: null."""
+    keys = list(keys)
+    from repsmith.operators.order_statistics import trailing_quantile
+    dated = df.where(F.col(date_col).isNotNull())
+    daily = trailing_quantile(dated, keys, day_number(date_col), value, q, lo, hi).withColumnRenamed("__q", out)
+    return _join_back(df.withColumn("__t", day_number(date_col)), daily, [*keys, "__t"]).drop("__t")
 
 
 def trailing_range_quantile_sketch(df: DataFrame, keys: Sequence[str], date_col: str, value: str, out: str,
