@@ -1,9 +1,9 @@
 """Record versions, change detection and change-feed operators.
 
-Latest-per-key is an *aggregation* (``max`` of a struct whose leading fields are
-the ordering columns), not a ``row_number`` window: aggregation combines map-side,
-so a key holding a third of all versions is reduced to one row per map task before
-the shuffle instead of being sorted whole inside one task.
+Latest-per-key is an *aggregation* over (key, ordering columns, row hash), not a
+``row_number`` window: aggregation combines map-side, so a key holding a third of all
+versions is reduced to one narrow row per map task before the shuffle. Wide rows
+(documents) are fetched afterwards by the winners' hashes, and never sorted.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repsmith.operators.joins import join_null_safe
+from repsmith.operators.membership import with_membership
 from repsmith.functions._util import as_col, ColumnOrName
 from repsmith.functions.scalars import bump_millisecond, iso_utc_text
 
@@ -29,17 +31,33 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _fixed_width(df: DataFrame, cols: Sequence[str]) -> bool:
+    return all(isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for c in cols)
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str] | str, order_by: Sequence[ColumnOrName],
                   keep_null_keys: bool = False) -> DataFrame:
     """One row per key: the row with the greatest ``order_by`` tuple (newest first).
 
     ``order_by`` is compared lexicographically, larger = newer; negate a column for an
     ascending tiebreak. Give a total order (event time, then position, then a hash) so
-    the winner is deterministic. Rows with a null key are dropped, or all kept with
-    ``keep_null_keys`` (a null key identifies nothing, so nothing can supersede them).
-    Output has the input's columns in the input's order.
+    the winner is the one meant; among equals a hash of the row decides, and of equal
+    rows one stays. Rows with a null key are dropped, or all kept with ``keep_null_keys``
+    (a null key identifies nothing, so nothing can supersede them). Output has the input's
+    columns in the input's order.
+
+    Where all columns are numbers, times or flags one aggregation carries them along. Other
+    rows may be documents: phase one aggregates (key, order, 128-bit row hash) alone; phase
+    two reads the rows again, drops by a broadcast map of the winners' hashes what is surely
+    no winner, and hash-joins the rest, which leaves one row per key and chance hits.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if not keys or _fixed_width(df, [c for c in df.columns if c not in keys]):
+        return _latest_one_pass(df, keys, order_by, keep_null_keys)
+    return _latest_two_phase(df, keys, order_by, keep_null_keys)
+
+
+def _latest_one_pass(df: DataFrame, keys: list[str], order_by: Sequence[ColumnOrName], keep_null_keys: bool) -> DataFrame:
     cols = df.columns
     payload = [c for c in cols if c not in keys]
     ords = [as_col(o).alias(f"{_ORD}{i}") for i, o in enumerate(order_by)]
@@ -54,6 +72,33 @@ def latest_by_key(df: DataFrame, keys: Sequence[str] | str, order_by: Sequence[C
     return best
 
 
+def _latest_two_phase(df: DataFrame, keys: list[str], order_by: Sequence[ColumnOrName], keep_null_keys: bool) -> DataFrame:
+    cols = df.columns
+    row = [F.col(c) for c in cols]
+    ords = [as_col(o).alias(f"{_ORD}{i}") for i, o in enumerate(order_by)]
+    tagged = df.select("*", *ords, F.xxhash64(*row).alias("__h1"), F.xxhash64(F.lit(1), *row).alias("__h2"))
+    order = [*[f"{_ORD}{i}" for i in range(len(ords))], "__h1", "__h2"]
+    best = tagged.where(~_any_null(keys)).groupBy(*keys).agg(F.max(F.struct(*order)).alias("__best"))
+    winners = best.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(f"__best.{o}").alias(f"__w{o}") for o in order])
+    winners = winners.withColumn("__winner", F.xxhash64(*[c for c in winners.columns]))
+    null_key = _any_null(keys)
+    # A null key meets no winner; its hash of the row spreads such rows over all tasks.
+    rows = tagged.withColumn("__id", F.when(null_key, F.xxhash64("__h1", "__h2")).otherwise(F.xxhash64(*keys, *order)))
+    maybe = with_membership(rows, "__id", winners, "__winner", "__maybe")
+    maybe = maybe.where(F.col("__maybe") | null_key if keep_null_keys else F.col("__maybe")).drop("__maybe")
+    same = F.col("__id") == F.col("__winner")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"__k{i}"))
+    for o in order:
+        same = same & F.col(o).eqNullSafe(F.col(f"__w{o}"))
+    # Winners are the side that is hashed: unique keys without payload, so a partition of them is small.
+    hit = maybe.join(winners.hint("shuffle_hash"), same, "left" if keep_null_keys else "left_semi")
+    if keep_null_keys:
+        hit = hit.where(F.col("__winner").isNotNull() | null_key).withColumn("__each", F.when(null_key, F.monotonically_increasing_id()))
+        return hit.select(*cols, "__id", "__each").dropDuplicates().select(*cols)
+    return hit.select(*cols, "__id").dropDuplicates().select(*cols)
+
+
 def dedupe_last_wins(df: DataFrame, keys: Sequence[str] | str, seq: Sequence[ColumnOrName]) -> DataFrame:
     """Within one pass, keep the last occurrence of each key (``seq`` = delivery order,
     e.g. page then position); rows with a null key are all kept."""

@@ -75,9 +75,8 @@ def stg_workouts(bronze_workouts: DataFrame, bronze_events: DataFrame, eras: Dat
                  X.minutes_between("started_at_utc", "ended_at_utc").alias("duration_min"))
     d = range_join(d, eras.select(F.col("era").alias("training_era"), "start_date", "end_date"),
                    F.col("workout_date_local"), "start_date", "end_date", "left").drop("start_date", "end_date")
-    ev = latest(bronze_events)
     flagged = soft_delete_flags(
-        d, ev.select("record_id", "ingested_at", "record_hash", "record"), "workout_id", "record_id",
+        d, bronze_events.select("record_id", "ingested_at", "record_hash", "record"), "workout_id", "record_id",
         json_text("record", "$.type") == F.lit("deleted"),
         version_order(), _ts("record", "$.deleted_at"))
     return flagged.select(
