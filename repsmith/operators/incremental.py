@@ -2,11 +2,11 @@
 
 ``key_replace`` is the logical delete+insert by key. ``KeyedTable`` persists it without
 a table format that has MERGE: rows are stored partitioned by a hash bucket of the
-key, and an increment rewrites only the buckets its changed keys hash to, with
-dynamic partition overwrite. The new content of those buckets is checkpointed to the
+key, and an increment reads and rewrites only the buckets its changed keys hash to, with
+dynamic partition overwrite. The new content of those buckets is staged in the
 session's shared checkpoint folder first, so the write never reads the files it
-replaces and a lost executor recomputes from the checkpoint, not from a half-written
-table. Each rewritten bucket carries one marker row, so a bucket whose rows were all
+replaces and a lost executor recomputes from the staged files, not from a half-written
+table; they are removed after the write. Each rewritten bucket carries one marker row, so a bucket whose rows were all
 deleted is still overwritten (dynamic overwrite leaves partitions it does not write).
 """
 
@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
-from repsmith.session import checkpoint_dir
+from repsmith.session import path_exists, remove_tree, staged
 
 BUCKET = "__bucket"
 MARKER = "__marker"
@@ -96,27 +96,53 @@ class KeyedTable:
         (rows.unionByName(marker)
            .write.mode("overwrite").partitionBy(BUCKET).parquet(self.path))
 
+    def buckets(self, keys: DataFrame) -> list[int]:
+        """The buckets that ``keys`` hash to: at most ``n_buckets`` numbers."""
+        return sorted(r["b"] for r in keys.select(self._bucket().alias("b")).distinct().collect())
+
+    def read_buckets(self, buckets: Sequence[int]) -> DataFrame:
+        """:meth:`read`, but of the given buckets; the other partitions' files are not listed in the scan."""
+        return self._raw().where(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False)).where(~F.col(MARKER)).drop(MARKER, BUCKET)
+
     def replace_keys(self, delta: DataFrame, changed_keys: DataFrame | None = None) -> None:
         """Delete+insert by key: ``changed_keys`` (plus the delta's own keys) leave, ``delta`` enters.
-        The first increment into a table that does not exist yet creates it."""
+        The first increment into a table that does not exist yet creates it; one without a key
+        writes nothing."""
         if not self.exists():
             self.overwrite(delta)
             return
         ck = delta.select(*self.keys)
         if changed_keys is not None:
             ck = ck.unionByName(changed_keys.select(*self.keys))
-        ck = ck.distinct().withColumn(BUCKET, self._bucket())
-        # at most n_buckets rows: a proven bound for the broadcast
-        touched = F.broadcast(ck.select(BUCKET).distinct())
-        current = self._raw().join(touched, BUCKET, "left_semi").where(~F.col(MARKER))
-        kept = current.join(ck, [*self.keys, BUCKET], "left_anti")
-        incoming = delta.withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
-        markers = touched.select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in current.schema.fields
-              if f.name not in (MARKER, BUCKET)],
-            F.lit(True).alias(MARKER), F.col(BUCKET))
-        rewritten = kept.unionByName(incoming).unionByName(markers)
-        checkpoint_dir(self.spark)
-        staged = rewritten.checkpoint(eager=True)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.path))
+        ck = ck.distinct()
+        touched = self.buckets(ck)
+        if not touched:
+            return
+        kept = self.read_buckets(touched).join(ck, self.keys, "left_anti")
+        rows = kept.unionByName(delta).withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields]
+        markers = self.spark.range(self.n_buckets).where(F.col("id").isin(*touched)).select(*empty, F.lit(True).alias(MARKER), F.col("id").cast("int").alias(BUCKET))
+        with staged(rows.unionByName(markers), "buckets") as content:
+            (content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET).parquet(self.path))
+
+
+class BatchLedger:
+    """Which micro-batches of a stream have been applied: one committed marker folder per batch.
+
+    Of a stream only the newest batch can come again, so markers of batches more than ``keep``
+    behind are removed and the folder does not grow with the stream's life."""
+
+    def __init__(self, spark: SparkSession, path: str, stream: str, keep: int = 100):
+        self.spark, self.base, self.keep = spark, f"{path.rstrip('/')}/stream={stream}", keep
+
+    def _batch(self, batch: int) -> str:
+        return f"{self.base}/batch={batch}"
+
+    def applied(self, batch: int) -> bool:
+        return path_exists(self.spark, f"{self._batch(batch)}/_SUCCESS")
+
+    def add(self, batch: int) -> None:
+        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(self._batch(batch))
+        if batch >= self.keep and path_exists(self.spark, self._batch(batch - self.keep)):
+            remove_tree(self.spark, self._batch(batch - self.keep))

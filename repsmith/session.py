@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
@@ -91,3 +94,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package made."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, for the length of a ``with`` block.
+
+    Cuts the lineage like a checkpoint (a lost executor reads it again), and the files are gone
+    once what they were staged for is written."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_tree(spark, path)
