@@ -97,8 +97,6 @@ class Encoder:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs one task per core
         from tokenizers import Tokenizer
-        if not fits(path):
-            raise ValueError(f"{path}: texts cannot be cut at white space and by character class for this tokenizer")
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
         mark = self.tokenizer.encode("0", add_special_tokens=False).ids
@@ -193,3 +191,24 @@ class Encoder:
         ids = self.ids[at] if len(self.ids) else np.zeros(len(at), np.uint32)
         ids[tail - 1] = self.end_id
         return ids, np.diff(tail, prepend=0)
+
+
+class WholeTexts:
+    """The same for any tokenizer: texts are encoded as they are."""
+
+    def __init__(self, path: str, end_id: int):
+        import os
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        ids = [[*e.ids, self.end_id] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for own in ids for i in own], np.uint32), np.array([len(i) for i in ids], np.int64)
+
+
+def encoder(path: str, end_id: int) -> Encoder | WholeTexts:
+    """The faster of the two that is right for the tokenizer file."""
+    return Encoder(path, end_id) if fits(path) else WholeTexts(path, end_id)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from repsmith.llm import id_mixing
 from repsmith.llm._common import persisted, scratch
 from repsmith.llm._text import slices
-from repsmith.llm._tokens import Encoder
+from repsmith.llm._tokens import encoder
 
 SEGMENT_BLOCKS = 4096
 SEGMENT_IDS = SEGMENT_BLOCKS * id_mixing.BLOCK_IDS
@@ -108,7 +108,7 @@ def read_block(raw: bytes, block: int) -> np.ndarray:
 def _writer(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode = Encoder(tokenizer, end_id)
+        encode = encoder(tokenizer, end_id)
         part = TaskContext.get().partitionId()
         ids: list[np.ndarray] = []
         docs: list[np.ndarray] = []

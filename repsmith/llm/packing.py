@@ -22,55 +22,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repsmith.llm._common import group_rank, persisted
+from repsmith.llm._text import slices
+from repsmith.llm._tokens import encoder
 
-CAPACITY, END_ID, CACHE_WORDS = 2048, 0, 400_000
-_tokenizers: dict[str, tuple] = {}
-
-
-def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids (little-endian uint32) of texts. Both the pre-tokenizer and the merges of this vocabulary
-    stop at a space, so a text is the sum of its space-separated words; words are kept in a bounded table."""
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _tokenizers[path]
-
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        if len(known) > CACHE_WORDS:  # start again with the words at hand
-            kept = {w: known[w] for w in words if w in known}
-            known.clear()
-            known.update(kept)
-        new = list(words.difference(known))
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    return encode
+CAPACITY, END_ID = 2048, 0
 
 
 def _pieces(tokenizer: str, capacity: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs one task per core
-        encode = _encoder(tokenizer)
-        end = np.array([END_ID], "<u4").tobytes()
+        encode = encoder(tokenizer, END_ID)
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                some = batch.slice(at, 100)
-                out: list[tuple] = []
-                for doc, ids in zip(some.column("doc_id").to_pylist(), encode([t or "" for t in some.column("text").to_pylist()])):
-                    ids += end
-                    for i, lo in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[lo:lo + 4 * capacity]
-                        out.append((doc, i, lo // 4, len(own) // 4, zlib.crc32(own), own))
-                doc, i, start, length, crc, own = zip(*out)
-                columns = {"doc_id": pa.array(doc, pa.int64()), "piece": pa.array(i, pa.int32()), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
+            for lo, hi, data, at in slices(batch, "text"):
+                ids, n = encode(data, at)
+                parts = -(-n // capacity)  # a document has its end id at least
+                row = np.repeat(np.arange(hi - lo), parts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                start = piece * capacity
+                length = np.minimum(n[row] - start, capacity)
+                ends = np.cumsum(length)  # pieces stand one after the other, as their documents do
+                flat = memoryview(ids.astype("<u4").tobytes())
+                crc = [zlib.crc32(flat[4 * (e - k):4 * e]) for e, k in zip(ends.tolist(), length.tolist())]
+                columns = {"doc_id": batch.column("doc_id").slice(lo, hi - lo).take(pa.array(row)), "piece": pa.array(piece.astype(np.int32)), "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crc, pa.int64())}
                 if with_ids:
-                    flat = np.frombuffer(b"".join(own), "<u4").astype(np.int32)
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))), pa.int32()), pa.array(flat))
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_pydict(columns)
     return run
 

@@ -114,9 +114,13 @@ def test_equal_hashes_are_told_apart(monkeypatch):
         assert encoded(texts, e) == [direct(t) for t in texts]
 
 
-def test_other_tokenizers_are_refused():
-    with pytest.raises(ValueError):
-        _tokens.Encoder(tokenizer("byte_bpe_50k.json"), 1)
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+    path = tokenizer("byte_bpe_50k.json")
+    e, plain = _tokens.encoder(path, 3), Tokenizer.from_file(path)
+    assert isinstance(e, _tokens.WholeTexts) and isinstance(_tokens.encoder(WORD_BPE, 3), _tokens.Encoder)
+    texts = odd_texts()[:60] + [None, ""]
+    assert encoded(texts, e) == [plain.encode(t or "", add_special_tokens=False).ids + [3] for t in texts]
 
 
 DOCS = "doc_id long, text string, part string, n string, at string"
