@@ -29,13 +29,14 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 
 def range_join(left: DataFrame, ranges: DataFrame, value: ColumnOrName, start: str, end: str,
-               how: str = "left", max_broadcast_rows: int = 10_000, bucket: str = "month") -> DataFrame:
+               how: str = "left", max_broadcast_rows: int = 100, bucket: str | None = None) -> DataFrame:
     """Interval join: ``value BETWEEN start AND end`` (both ends inclusive).
 
-    Few ranges (proven by a bounded count) -> broadcast nested-loop join, no shuffle of
-    ``left``. Many ranges -> each range is exploded into the ``bucket`` periods it covers
-    (clamped to the span of ``left``'s values, so open-ended sentinel ends stay cheap),
-    equi-joined on the period, then filtered by the exact bounds. Overlapping ranges
+    A handful of ranges (proven by a bounded count), such as training eras, -> broadcast and
+    compared row by row, no shuffle of ``left``. More -> the sweep over slices of
+    :mod:`repsmith.operators.interval_sweep`. With ``bucket`` (month, year) each range is
+    exploded into the calendar periods it covers instead (clamped to the span of ``left``'s
+    values), equi-joined on the period, then filtered by the exact bounds. Overlapping ranges
     duplicate rows, as the SQL join would. ``how`` is inner, left, left_semi or left_anti:
     unmatched ranges are not asked for here, and exploded ranges could not give them.
     """
@@ -45,11 +46,14 @@ def range_join(left: DataFrame, ranges: DataFrame, value: ColumnOrName, start: s
     if has_at_most(ranges, max_broadcast_rows):
         r = F.broadcast(ranges)
         return left.join(r, (v >= r[start]) & (v <= r[end]), how)
+    if bucket is None:
+        from repsmith.operators.interval_sweep import sweep_join
+        return sweep_join(left, ranges, v, start, end, how)
     lo = left.agg(F.min(v).cast("date")).scalar()        # scalar subqueries: the data's span
     hi = left.agg(F.max(v).cast("date")).scalar()
     unit = {"month": "MM", "year": "year"}[bucket]
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    r = (ranges.where((F.col(end) >= lo) & (F.col(start) <= hi))
+    r = (ranges.where((F.col(end).cast("date") >= lo) & (F.col(start).cast("date") <= hi))
          .withColumn("__b", F.explode(F.sequence(
              F.trunc(F.greatest(F.col(start).cast("date"), lo), unit),
              F.trunc(F.least(F.col(end).cast("date"), hi), unit), step))))

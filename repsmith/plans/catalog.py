@@ -20,7 +20,7 @@ from repsmith.operators import analysis as A
 from repsmith.operators import cdc, nested, quality as Q
 from repsmith.operators.incremental import delta_since, key_replace
 from repsmith.operators.joins import range_join
-from repsmith.plans import document_queries
+from repsmith.plans import document_queries, merge_queries  # noqa: F401 (merge_queries registers there)
 from repsmith.plans import driver_tables as D
 from repsmith.plans.marts import build_marts
 from repsmith.sources.inventory import table_inventory
@@ -310,7 +310,7 @@ def q_era_range_join_bucketed(spark, sf_dir):
     """Same join forced down the bucketed path (as used when the range table is large)."""
     w = D.workouts(spark, sf_dir).drop("training_era")
     eras = D.era_seed(spark).select(F.col("era").alias("training_era"), "start_date", "end_date")
-    j = range_join(w, eras, F.col("workout_date_local"), "start_date", "end_date", "left", max_broadcast_rows=0)
+    j = range_join(w, eras, F.col("workout_date_local"), "start_date", "end_date", "left", max_broadcast_rows=0, bucket="month")
     return j.select(F.col("workout_id").alias("o_orderkey"), "workout_date_local", "training_era")
 
 
@@ -517,7 +517,7 @@ def q_check_rollup_parity(spark, sf_dir):
         F.count(F.lit(1)).cast("long").alias("total_sets"),
         F.sum(F.when(F.col("is_working_set"), 1).otherwise(0)).cast("long").alias("total_working_sets"))
     expected = m["fct_workout"].where(F.col("total_sets") > 0)
-    diff = Q.reconcile(expected, actual, "workout_id", ["total_sets", "total_working_sets"])
+    diff = Q.reconcile_by_checksum(expected, actual, "workout_id", ["total_sets", "total_working_sets"])
     n = expected.agg(F.count(F.lit(1)).cast("long").alias("workouts_compared"))
     return n.select("workouts_compared",
                     diff.agg(F.count(F.lit(1)).cast("long")).scalar().alias("workouts_mismatched"))
@@ -563,7 +563,7 @@ def q_reconcile_diff(spark, sf_dir):
     expected = li.groupBy(F.col("l_orderkey").alias("workout_id")).agg(F.count(F.lit(1)).cast("long").alias("n_sets"))
     fs = _marts(spark, sf_dir)["fct_set"].where(F.col("canonical_exercise").isNotNull())
     actual = fs.groupBy("workout_id").agg(F.count(F.lit(1)).cast("long").alias("n_sets"))
-    return Q.reconcile(expected, actual, "workout_id", ["n_sets"])
+    return Q.reconcile_by_checksum(expected, actual, "workout_id", ["n_sets"])
 
 
 @query("newest_record_listing")

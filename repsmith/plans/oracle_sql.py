@@ -752,6 +752,8 @@ ORACLES["era_range_join_bucketed"] = ORACLES["era_range_join"]
 _NEEDS["era_range_join_bucketed"] = ["workouts"]
 
 
+from repsmith.plans import merge_queries  # noqa: E402, F401 (registers its queries there)
+
 ORACLES.update(document_queries.ORACLES)
 _NEEDS.update(document_queries.NEEDS)
 
