@@ -75,11 +75,11 @@ def box_stats(df: DataFrame, group: Sequence[ColumnOrName], value: str, approx_a
                     F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"))
 
 
-def recent_prs(sessions: DataFrame) -> DataFrame:
-    """PR sessions, newest first."""
+def recent_prs(sessions: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """PR sessions, newest first (D4); ``also`` adds columns such as the era it is controlled by."""
     return (sessions.where(F.col("is_pr"))
             .select("workout_date_local", "canonical_exercise", "working_e1rm_lb",
-                    "trailing_90d_max_e1rm_lb", "reps", "weight_lb", "workout_id")
+                    "trailing_90d_max_e1rm_lb", "reps", "weight_lb", "workout_id", *also)
             .orderBy(F.col("workout_date_local").desc(), F.col("canonical_exercise"), F.col("workout_id")))
 
 

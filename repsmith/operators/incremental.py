@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
+from repsmith.operators.joins import join_null_safe
 from repsmith.session import path_exists, remove_tree, staged
 
 BUCKET = "__bucket"
@@ -118,7 +119,7 @@ class KeyedTable:
         touched = self.buckets(ck)
         if not touched:
             return
-        kept = self.read_buckets(touched).join(ck, self.keys, "left_anti")
+        kept = join_null_safe(self.read_buckets(touched), ck, self.keys, "left_anti")
         rows = kept.unionByName(delta).withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields]
         markers = self.spark.range(self.n_buckets).where(F.col("id").isin(*touched)).select(*empty, F.lit(True).alias(MARKER), F.col("id").cast("int").alias(BUCKET))
