@@ -32,6 +32,11 @@ MARKS = frozenset("""ad ads advert advertisement advertising adsense banner spon
 footer masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice notification newsletter subscribe signup login popup modal overlay share sharing
 social related recommended widget comment comments commentlist reply replies disqus respond copyright toolbar pagination pager search contentinfo
 complementary skip topbar""".split())
+#: Words beside a mark that make a class name one of furniture ("nav-bar", "widget-title", "share-buttons").
+PARTS = frozenset("""area bar block body bottom box btn button buttons col column container content count desktop footer form global group header holder icon icons inner
+item items label left link links list main mobile module page panel primary right secondary section site slot sticky top title toggle unit wrap wrapper""".split())
+#: First words that say what a page has, is about or is like, not what the element is ("has-sidebar", "tag-search").
+STATES = frozenset("about category domain format has hentry hide in is keyword no not show supports tag term theme topic type with without".split())
 #: Words that end the article's own header's exemption: a header outside the article is furniture.
 HEADER = "header"
 
@@ -39,22 +44,39 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<holder>" + "|".join(HOLDERS) + r")(?=[\s/>])[^>]*>"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?>[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
 _HOLDER = {name: re.compile(r"<!--.*?(?:-->|\Z)|<script(?=[\s/>]).*?(?:</script\s*>|\Z)|<(?P<close>/?)(?P<name>" + name + r")(?=[\s/>])[^>]*>", re.S | re.I) for name in HOLDERS}
 _ATTR = re.compile(r"""\b(class|id|role|style)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|\b(hidden)\b""", re.I)
 _WORD = re.compile(r"[^\W_]+", re.U)
-
-
-def _marked(attrs: str) -> bool:
+#: A tag that the page ends in; a "<" before anything but a name is text.
+_CUT_OFF = re.compile(r"<(?:/?[a-zA-Z]|[!?])[^\s<>]*\Z")
+_CAMEL, _PART = re.compile(r"(?<=[a-z])(?=[A-Z])"), re.compile(r"[^a-z0-9]+")
+
+
+def _names_furniture(token: str, whole_only: bool) -> bool:
+    """Whether one class name, id or role is a mark: as it is, or with nothing but PARTS and numbers beside it
+    or before it a name ("site-footer"). In a name of several words a mark elsewhere says something else
+    ("comment-open", "social-science", "has-sidebar")."""
+    if token in MARKS:
+        return True
+    words = [w for w in _PART.split(token) if w]
+    if whole_only or len(words) < 2 or words[0] in STATES:
+        return False
+    rest = [w for w in words if w not in MARKS]
+    return len(rest) < len(words) and (words[-1] in MARKS or all(w in PARTS or w.isdigit() for w in rest))
+
+
+def _marked(attrs: str, element: str) -> bool:
+    """Hidden, or marked as furniture by class, id or role; article and main only by a name that is a mark itself."""
     for name, value, hidden in _ATTR.findall(attrs):
         if hidden:
             return True
-        value = value.strip("\"'").lower()
+        value = value.strip("\"'")
         if name.lower() == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
                 return True
-        elif not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value))):
+        elif any(_names_furniture(t, element in ARTICLE) for t in _CAMEL.sub("-", value).lower().split()):
             return True
     return False
 
@@ -135,7 +157,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if name == "br":
             text.append(" ")
-        marked = not m["close"] and bool(m["attrs"]) and name not in ("html",) and _marked(m["attrs"])
+        marked = not m["close"] and bool(m["attrs"]) and name not in ("html",) and _marked(m["attrs"], name)
         if name in INLINE and not marked and not (m["close"] and any(s[0] == name for s in stack)):
             continue
         flush()
@@ -153,7 +175,8 @@ def blocks(page: str) -> list[Block]:
         _, furniture, article, heading = stack[-1] if stack else ("", False, False, False)
         own = marked or name in FURNITURE or (name == HEADER and not article)
         stack.append((name, furniture or own, article or name in ARTICLE, heading or name in HEADINGS))
-    add(page[at:] if "<" not in page[at:] else page[at:page.rindex("<")] if re.match(r"</?[a-zA-Z!]?[^\s>]*\Z", page[page.rindex("<"):]) else page[at:])
+    cut_off = _CUT_OFF.search(page, at)
+    add(page[at:cut_off.start()] if cut_off else page[at:])
     flush()
     return out
 

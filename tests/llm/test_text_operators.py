@@ -350,3 +350,36 @@ def test_queries_equal_their_sql(spark, name):
     cur = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in cur.description]
     assert sorted(map(str, cur.fetchall())) == sorted(str(tuple(r)) for r in QUERIES[name](spark, sf).select(*columns).collect())
+
+
+PARAGRAPHS = ["".join(f"<p>{' '.join(f'w{i}x{j}' for j in range(40))}.</p>" for i in range(4))]
+
+
+def page_text(spark, body):
+    return html_blocks.extract(spark.createDataFrame([(1, "u", body)], "page_id long, url string, html string")).first().text
+
+
+def test_articles_under_everyday_class_names(spark):
+    article = "<h1>A heading of some words here</h1>" + PARAGRAPHS[0]
+    plain = page_text(spark, f"<html><body><article>{article}</article></body></html>")
+    assert plain.count("w3x39") == 1 and len(plain) > 900
+    for wrapped in ('<div class="content has-sidebar"><article>{}</article></div>', '<article class="post comment-open">{}</article>', '<main class="site-main with-navigation">{}</main>',
+                    '<article class="post tag-search">{}</article>', '<div class="page social-science"><article>{}</article></div>', '<body class="no-sidebar category-related"><article>{}</article></body>'):
+        assert page_text(spark, "<html><body>" + wrapped.format(article) + "</body></html>") == plain, wrapped
+
+
+@pytest.mark.parametrize("name", ["nav", "site-footer", "widget-title", "sidebar-left", "navBar", "share-buttons", "cookie-notice", "comment-list", "ad", "ad-slot-3", "main-navigation", "post-comments", "related"])
+def test_furniture_names_stay_marks(name):
+    assert html_blocks._marked(f' class="x {name}"', "div")
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "comment-open", "social-science", "tag-search", "no-sidebar", "with-navigation", "searching", "is-sponsored", "notice-of-motion"])
+def test_other_names_are_none(name):
+    assert not html_blocks._marked(f' class="{name}"', "div") and not html_blocks._marked(f" id={name}", "article")
+
+
+def test_stray_quotes_and_signs_swallow_nothing():
+    page = "<article><p data-x=it's>first words</p><p>middle words</p><p>don't stop</p><p title='a > b'>quoted</p><p title=\"it's\">both</p> I like you <3"
+    assert [b.text for b in html_blocks.blocks(page)] == ["first words", "middle words", "don't stop", "quoted", "both", "I like you <3"]
+    for end, kept in (("<", "x <"), ("</", "x </"), ("<b", "x"), ("<!-", "x"), ("</di", "x"), ("< b", "x < b"), ("<p class='a", "x")):
+        assert " ".join(b.text for b in html_blocks.blocks("<p>x " + end)) == kept, end
