@@ -142,3 +142,28 @@ def q_recent_prs_by_era(spark, sf_dir):
     n = prs.groupBy("training_era").agg(F.count(F.lit(1)).alias("era_prs"))  # a row per era
     from repsmith.operators.joins import join_null_safe
     return join_null_safe(prs, n, ["training_era"], "inner").select("training_era", "canonical_exercise", "workout_id", "workout_date_local", "working_e1rm_lb", "era_prs")
+
+
+def _as_first_stored(spark, sf_dir):
+    """Staging frames with the warm-ups of some workouts missing and others deleted."""
+    st = D.staging(spark, sf_dir)
+    w = st["workouts"].withColumn("is_deleted", F.col("workout_id") % 211 == 5)
+    s = st["sets"].where(~((F.col("workout_id") % 173 == 1) & F.col("is_warmup")))
+    return st, w, s
+
+
+@query("mart_refresh", "")  # its SQL is that of obt_wide, see oracle_sql
+def q_mart_refresh(spark, sf_dir):
+    """The marts stored with some sets missing and some workouts deleted, then two increments that bring
+    the sets and the workouts back: the wide table equals that of the whole data."""
+    from repsmith.plans import marts as M
+    from repsmith.plans.mart_refresh import StoredMarts
+    st, w, s = _as_first_stored(spark, sf_dir)
+    dim = M.dim_exercise(st["templates"], st["crosswalk"])
+    stored = StoredMarts(spark, doc._scratch(spark, "marts"), n_buckets=16)
+    stored.build(w, s, dim)
+    ids = st["workouts"].select("workout_id")
+    stored.refresh(w, st["sets"], dim, ids.where(F.col("workout_id") % 173 == 1), 1)
+    stored.refresh(st["workouts"], st["sets"], dim, ids.where(F.col("workout_id") % 211 == 5), 2)
+    from repsmith.plans.catalog import QUERIES
+    return stored.obt_sets.read().select(*QUERIES["obt_wide"](spark, sf_dir).columns)

@@ -757,6 +757,9 @@ from repsmith.plans import merge_queries  # noqa: E402, F401 (registers its quer
 ORACLES.update(document_queries.ORACLES)
 _NEEDS.update(document_queries.NEEDS)
 
+# The refreshed wide table is that of the whole data.
+ORACLES["mart_refresh"], _NEEDS["mart_refresh"] = ORACLES["obt_wide"], _NEEDS["obt_wide"]
+
 
 def _merge_with(ctes: list[str], body: str) -> str:
     body = body.strip()
