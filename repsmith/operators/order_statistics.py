@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from repsmith.functions._util import as_col, ColumnOrName
 from repsmith.operators.joins import join_null_safe
+from repsmith.session import written
 
 #: Ranges per octave: 2**FINE_BITS fine ones, 2**(FINE_BITS - COARSE_SHIFT) coarse ones.
 FINE_BITS, COARSE_SHIFT = 20, 14
@@ -38,9 +39,10 @@ def order_key(value: ColumnOrName) -> Column:
 
 
 def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """``groups``, __v (double), __n rows, and the value's ranges __f (fine) and __c (coarse)."""
+    """``groups``, __v (double), __n rows, and the value's ranges __f (fine) and __c (coarse). Written, as
+    every walk reads them: ``df`` runs once."""
     counts = df.select(*groups, F.col(value).cast("double").alias("__v")).groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    return counts.withColumn("__f", order_key("__v")).withColumn("__c", F.shiftright("__f", COARSE_SHIFT))
+    return written(counts, "counts").withColumn("__f", order_key("__v")).withColumn("__c", F.shiftright("__f", COARSE_SHIFT))
 
 
 def _wanted(total: str, qs: Sequence[float]) -> Column:

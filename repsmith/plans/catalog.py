@@ -23,6 +23,7 @@ from repsmith.operators.joins import range_join
 from repsmith.plans import document_queries, merge_queries  # noqa: F401 (merge_queries registers there)
 from repsmith.plans import driver_tables as D
 from repsmith.plans.marts import build_marts
+from repsmith.session import written
 from repsmith.sources.inventory import table_inventory
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -516,8 +517,8 @@ def q_check_rollup_parity(spark, sf_dir):
     actual = m["fct_set"].groupBy("workout_id").agg(
         F.count(F.lit(1)).cast("long").alias("total_sets"),
         F.sum(F.when(F.col("is_working_set"), 1).otherwise(0)).cast("long").alias("total_working_sets"))
-    expected = m["fct_workout"].where(F.col("total_sets") > 0)
-    diff = Q.reconcile_by_checksum(expected, actual, "workout_id", ["total_sets", "total_working_sets"])
+    expected = written(m["fct_workout"].where(F.col("total_sets") > 0).select("workout_id", "total_sets", "total_working_sets"), "expected")
+    diff = Q.reconcile_by_checksum(expected, written(actual, "actual"), "workout_id", ["total_sets", "total_working_sets"])
     n = expected.agg(F.count(F.lit(1)).cast("long").alias("workouts_compared"))
     return n.select("workouts_compared",
                     diff.agg(F.count(F.lit(1)).cast("long")).scalar().alias("workouts_mismatched"))
@@ -563,7 +564,7 @@ def q_reconcile_diff(spark, sf_dir):
     expected = li.groupBy(F.col("l_orderkey").alias("workout_id")).agg(F.count(F.lit(1)).cast("long").alias("n_sets"))
     fs = _marts(spark, sf_dir)["fct_set"].where(F.col("canonical_exercise").isNotNull())
     actual = fs.groupBy("workout_id").agg(F.count(F.lit(1)).cast("long").alias("n_sets"))
-    return Q.reconcile_by_checksum(expected, actual, "workout_id", ["n_sets"])
+    return Q.reconcile_by_checksum(written(expected, "expected"), written(actual, "actual"), "workout_id", ["n_sets"])
 
 
 @query("newest_record_listing")

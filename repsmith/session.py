@@ -112,6 +112,15 @@ def remove_tree(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for results that are read from it: what made
+    it runs once, however often it is used, and a lost executor reads it again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/written-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` written to the shared folder and read back, for the length of a ``with`` block.
