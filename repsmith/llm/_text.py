@@ -42,7 +42,7 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, PIECE + 4096), base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if len(have) <= 8 * PIECE:
+        if len(have) <= PIECE + 4096:  # kept by a worker from task to task; longer ones are made when needed
             _powers[base] = have
     return have[:n]
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repsmith.llm._common import group_rank, persisted
+from repsmith.llm._common import group_rank, persisted, released
 from repsmith.llm._text import slices
 from repsmith.llm._tokens import encoder
 
@@ -53,7 +53,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     """Per piece of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32 and, on
     request, ids. A document's ids are its text's followed by END_ID; null or empty text: END_ID alone."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_pieces(tokenizer, capacity, with_ids), schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(released(_pieces(tokenizer, capacity, with_ids)), schema)
 
 
 def _greedy(gap: int, left: Counter, lengths: list[int]) -> tuple[list[int], int]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repsmith.llm._common import persisted
+from repsmith.llm._common import persisted, released
 from repsmith.llm._text import NON_WORD, Words, slices
 
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 6000, 20_000, 20_000
@@ -111,10 +111,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, limit / max(1, of)))
 
     toxic = labels.where((F.col("toxic") == 1) & share(MAX_POSITIVE, positives, 1)).select("doc_id")
-    sample = docs.join(toxic, "doc_id").select(F.lit(True).alias("positive"), "text").unionByName(
+    # About MAX_POSITIVE ids, whatever the number of labels: a bounded broadcast, and no text is shuffled for them.
+    sample = docs.join(F.broadcast(toxic), "doc_id").select(F.lit(True).alias("positive"), "text").unionByName(
         docs.where(share(MAX_UNLABELLED, total, 2)).select(F.lit(False).alias("positive"), "text"))
     sample = sample.dropDuplicates()  # copies of one text are one example
-    sample = persisted(sample.repartition(F.xxhash64("text")).mapInArrow(_sampled_features, "positive boolean, features array<long>").withColumn("id", F.monotonically_increasing_id()), "sample")
+    sample = persisted(sample.repartition(F.xxhash64("text")).mapInArrow(released(_sampled_features), "positive boolean, features array<long>").withColumn("id", F.monotonically_increasing_id()), "sample")
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     if not sizes.get(True) or not sizes.get(False):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -20.0)
@@ -169,7 +170,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ``docs``; null and empty texts get the score of no feature. Only the text is an input of a score."""
     text = F.col(text_col).cast("string")
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    out = plain.mapInArrow(_score(model, "text", "score"), "doc_id long, held_out boolean, text_hash long, score double")
+    out = plain.mapInArrow(released(_score(model, "text", "score")), "doc_id long, held_out boolean, text_hash long, score double")
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "text_hash")
 
 
@@ -178,5 +179,5 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     names = [f"_c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names).withColumn("_t", F.col(names[docs.columns.index(text_col)]).cast("string"))
     schema = ", ".join([*[f"{n} {plain.schema[n].dataType.simpleString()}" for n in names], "_score double"])
-    out = plain.mapInArrow(_score(model, "_t", "_score"), schema).where("_score < 0.5")
+    out = plain.mapInArrow(released(_score(model, "_t", "_score")), schema).where("_score < 0.5")
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
