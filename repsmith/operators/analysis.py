@@ -204,19 +204,18 @@ def muscle_bridge(templates: DataFrame) -> DataFrame:
 
 def routine_adherence(workouts: DataFrame, workout_exercises: DataFrame, routine_exercises: DataFrame) -> DataFrame:
     """Planned vs performed exercises per workout that follows a routine (G13): planned,
-    performed, matched (by template) counts."""
+    performed, matched (by template) counts.
+
+    A plan is counted once per routine and looked up by what was done, so no workout is paired
+    with the exercises of its plan."""
     w = workouts.where(F.col("routine_id").isNotNull()).select("workout_id", "routine_id")
-    done = workout_exercises.select("workout_id", "exercise_template_id").distinct()
     plan = routine_exercises.select("routine_id", "exercise_template_id").distinct()
-    planned = w.join(plan, "routine_id")
-    matched = planned.join(done, ["workout_id", "exercise_template_id"], "left_semi")
-    cnt = lambda d, name: d.groupBy("workout_id").agg(F.count(F.lit(1)).cast("long").alias(name))
-    out = w.join(cnt(planned, "planned"), "workout_id", "left") \
-        .join(cnt(done.join(w.select("workout_id"), "workout_id", "left_semi"), "performed"), "workout_id", "left") \
-        .join(cnt(matched, "matched"), "workout_id", "left")
-    for c in ("planned", "performed", "matched"):
-        out = out.withColumn(c, F.coalesce(c, F.lit(0).cast("long")))
-    return out
+    planned = plan.groupBy("routine_id").agg(F.count(F.lit(1)).alias("planned"))
+    done = workout_exercises.select("workout_id", "exercise_template_id").distinct().join(w, "workout_id")
+    per_workout = (done.join(plan.withColumn("__planned", F.lit(1)), ["routine_id", "exercise_template_id"], "left")
+                   .groupBy("workout_id", "routine_id").agg(F.count(F.lit(1)).alias("performed"), F.count("__planned").alias("matched")))
+    out = w.join(planned, "routine_id", "left").join(per_workout, ["workout_id", "routine_id"], "left")
+    return out.select("workout_id", "routine_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("planned", "performed", "matched")])
 
 
 def flag_periods(df: DataFrame, date_col: str, periods: DataFrame, flag: str = "is_disrupted") -> DataFrame:

@@ -12,6 +12,7 @@ from repsmith.plans import staging as S
 from repsmith.plans.marts import dim_routine
 from repsmith.plans.driver_tables import seed_frame
 from repsmith.sources import landing as L
+from plan_rows import most_rows
 
 
 def _recs(spark, objs, start_pos=0):
@@ -76,6 +77,17 @@ def test_adherence_dim_routine_and_effective_load(spark):
     assert [r[0] for r in df.select(effective_load("w", "s", 80.0)).collect()] == [90.0, 70.0, 10.0, 80.0]
 
 
+def test_adherence_pairs_no_workout_with_its_whole_plan(spark):
+    w = spark.range(1000).selectExpr("id AS workout_id", "id % 2 AS routine_id")
+    plan = spark.range(4000).selectExpr("id % 2 AS routine_id", "id AS exercise_template_id")
+    done = spark.range(3000).selectExpr("id % 1000 AS workout_id", "id AS exercise_template_id").unionByName(
+        spark.range(1).selectExpr("id AS workout_id", "id + 1 AS exercise_template_id"))
+    out = A.routine_adherence(w, done, plan)
+    got = {r.workout_id: (r.planned, r.performed, r.matched) for r in out.collect()}
+    assert len(got) == 1000 and got[0] == (2000, 4, 3) and got[999] == (2000, 3, 3)
+    assert most_rows(out) <= 10000
+
+
 def test_flag_periods_no_duplicates(spark):
     df = spark.sql("SELECT id, date_add(DATE'2024-01-01', CAST(id AS INT)) AS d FROM range(10)")
     periods = seed_frame(spark, [("2024-01-02", "2024-01-04"), ("2024-01-03", "2024-01-05")], ["start_date DATE", "end_date DATE"])
