@@ -96,14 +96,16 @@ def trailing_range_max(df: DataFrame, keys: Sequence[str], date_col: str, values
 
 
 def day_level_features(df: DataFrame, keys: Sequence[str], date_col: str, id_col: str, gap_out: str,
-                       values: dict[str, str], lo: int = 90, hi: int = 1) -> DataFrame:
+                       values: dict[str, str], lo: int = 90, hi: int = 1, many_keys: bool = False) -> DataFrame:
     """:func:`gap_since_previous` and :func:`trailing_range_max` in one pass: one per-(key, day)
-    aggregate, one window over it (lag + range max), one join back."""
+    aggregate, one window over it (lag + range max), one join back. ``many_keys``: keys with few rows
+    a day each (a person's exercise), whose rows are dealt by key once, for aggregate and window."""
     if hi < 1:
         raise ValueError("the per-day rewrite needs a frame that excludes the current day (hi >= 1)")
     keys = list(keys)
-    days = df.groupBy(*keys, date_col).agg(F.min(id_col).alias("__first_id"),
-                                           *[F.max(c).alias(f"__d_{c}") for c in values])
+    dealt = df.select(*keys, date_col, id_col, *values).repartition(*keys) if many_keys else df
+    days = dealt.groupBy(*keys, date_col).agg(F.min(id_col).alias("__first_id"),
+                                              *[F.max(c).alias(f"__d_{c}") for c in values])
     w_lag = Window.partitionBy(*keys).orderBy(date_col)
     w_rng = Window.partitionBy(*keys).orderBy(day_number(date_col)).rangeBetween(-lo, -hi)
     days = days.select(*keys, date_col, "__first_id", F.lag(date_col).over(w_lag).alias("__prev"),

@@ -119,16 +119,26 @@ def workouts(spark: SparkSession, sf_dir: str, tz: str = LOCAL_TZ) -> DataFrame:
     return w.drop("start_date", "end_date")
 
 
-def sets(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem")
-    raw_kg = F.col("l_extendedprice") / F.lit(X.LB_PER_KG)
-    st = set_type_of()
-    flags = X.set_flags(st)
-    return li.select(
+def set_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sets as stored: the few columns that :func:`set_columns` makes the staging columns from."""
+    return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("workout_id"),
-        F.col("l_partkey").alias("exercise_index"),
         F.col("l_partkey").alias("exercise_template_id"),
         F.col("l_linenumber").alias("set_index"),
+        "l_returnflag", "l_linestatus", "l_extendedprice", "l_quantity", "l_discount")
+
+
+def set_columns(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The staging columns of :func:`set_rows`, and ``keep``. A row's own columns are all it takes, so
+    it may run behind joins, which then shuffle the narrow rows."""
+    raw_kg = F.col("l_extendedprice") / F.lit(X.LB_PER_KG)
+    st = set_type_of()
+    flags = X.set_flags(st)
+    return rows.select(
+        "workout_id",
+        F.col("exercise_template_id").alias("exercise_index"),
+        "exercise_template_id",
+        "set_index",
         st.alias("set_type"),
         *[v.alias(k) for k, v in flags.items()],
         X.weight_lb(raw_kg).alias("weight_lb"),
@@ -142,6 +152,12 @@ def sets(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFr
     )
 
 
+def sets(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    rows = load(spark, sf_dir, "lineitem").withColumnsRenamed(
+        {"l_orderkey": "workout_id", "l_partkey": "exercise_template_id", "l_linenumber": "set_index"})
+    return set_columns(rows, keep)
+
+
 def with_set_key(sets_df: DataFrame) -> DataFrame:
     """``workout-exercise-set`` positional key from the integer parts."""
     return sets_df.withColumn("set_key", X.positional_key("workout_id", "exercise_index", "set_index"))
@@ -198,5 +214,5 @@ def marts(spark: SparkSession, sf_dir: str, entity_cols: tuple[str, ...] = ()) -
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), entity_cols)
     if key not in _MARTS:
         s = staging(spark, sf_dir)
-        _MARTS[key] = build_marts(s["workouts"], s["sets"], s["templates"], s["crosswalk"], entity_cols)
+        _MARTS[key] = build_marts(s["workouts"], set_rows(spark, sf_dir), s["templates"], s["crosswalk"], entity_cols, set_columns)
     return _MARTS[key]

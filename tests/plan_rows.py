@@ -1,4 +1,4 @@
-"""Rows that the operators of a query's plan gave, from the metrics of the plan that ran."""
+"""What the operators of a query's plan did, from the metrics of the plan that ran."""
 
 
 def _nodes(node):
@@ -14,8 +14,17 @@ def _nodes(node):
             yield from _nodes(children.apply(i))
 
 
+def _metric(df, name: str) -> list[int]:
+    df.collect()
+    found = [n.metrics().get(name) for n in _nodes(df._jdf.queryExecution().executedPlan())]
+    return [int(m.get().value()) for m in found if m.isDefined()]
+
+
 def most_rows(df) -> int:
     """Run ``df`` and return the most rows that any operator of its plan gave."""
-    df.collect()
-    counts = [n.metrics().get("numOutputRows") for n in _nodes(df._jdf.queryExecution().executedPlan())]
-    return max(int(c.get().value()) for c in counts if c.isDefined())
+    return max(_metric(df, "numOutputRows"))
+
+
+def shuffled_bytes(df) -> int:
+    """Run ``df`` and return the bytes that its exchanges wrote."""
+    return sum(_metric(df, "shuffleBytesWritten"))
