@@ -29,7 +29,8 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 
 def range_join(left: DataFrame, ranges: DataFrame, value: ColumnOrName, start: str, end: str,
-               how: str = "left", max_broadcast_rows: int = 100, bucket: str | None = None) -> DataFrame:
+               how: str = "left", max_broadcast_rows: int = 100, bucket: str | None = None,
+               per_range: dict[str, tuple[str, str | None]] | None = None) -> DataFrame:
     """Interval join: ``value BETWEEN start AND end`` (both ends inclusive).
 
     A handful of ranges (proven by a bounded count), such as training eras, -> broadcast and
@@ -39,7 +40,16 @@ def range_join(left: DataFrame, ranges: DataFrame, value: ColumnOrName, start: s
     values), equi-joined on the period, then filtered by the exact bounds. Overlapping ranges
     duplicate rows, as the SQL join would. ``how`` is inner, left, left_semi or left_anti:
     unmatched ranges are not asked for here, and exploded ranges could not give them.
+
+    With ``per_range`` (name -> ("count", None), ("min", column) or ("max", column); ``how`` inner) the
+    result is not the pairs but the matched ranges with these aggregates of their rows of ``left``. Ranges
+    that overlap have pairs that grow with the square of the data; the aggregates are taken without them.
     """
+    if per_range is not None:
+        if how != "inner":
+            raise ValueError("aggregates per range come with how='inner'")
+        from repsmith.operators.interval_sweep import sweep_aggregate
+        return sweep_aggregate(left, ranges, as_col(value), start, end, per_range)
     if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti"):
         raise ValueError(f"range_join does not support how={how!r}")
     v = as_col(value)

@@ -32,8 +32,9 @@ def q_overlapping_ranges(spark, sf_dir):
     o = D.load(spark, sf_dir, "orders")
     ranges = o.where(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("o_orderkey").alias("workout_id"), F.col("o_orderdate").alias("since"), (F.col("o_orderdate") + F.expr("INTERVAL '2' DAY")).alias("until"))
-    near = range_join(o.select("o_orderkey", "o_orderdate"), ranges, F.col("o_orderdate"), "since", "until", "inner")
-    return near.groupBy("workout_id").agg(F.count(F.lit(1)).alias("n_near"), F.min("o_orderkey").alias("first_near"), F.max("o_orderkey").alias("last_near"))
+    near = range_join(o.select("o_orderkey", "o_orderdate"), ranges, F.col("o_orderdate"), "since", "until", "inner", per_range={
+        "n_near": ("count", None), "first_near": ("min", "o_orderkey"), "last_near": ("max", "o_orderkey")})
+    return near.groupBy("workout_id").agg(F.sum("n_near").alias("n_near"), F.min("first_near").alias("first_near"), F.max("last_near").alias("last_near"))
 
 
 @query("reconcile_changed_rows", """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repsmith.operators import interval_sweep as I
 from repsmith.operators import quality as Q
 from repsmith.operators.joins import range_join
+from plan_rows import most_rows
 
 
 def frames(spark, n_points, n_ranges, seed=1):
@@ -51,6 +52,26 @@ def test_many_overlapping_ranges_and_a_hot_month(spark):
     assert len(borders) > 700 and len(month) > 30
 
 
+def test_aggregates_per_range_equal_those_of_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(I, "PER_SLICE", 8)
+    df, r, points, ranges = frames(spark, 400, 200)
+    got = range_join(df, r, "t", "s", "e", "inner", per_range={"n": ("count", None), "lo": ("min", "i"), "hi": ("max", "i")})
+    want = []
+    for j, s, e in ranges:
+        near = [i for i, t in points if t and s and e and s <= t <= e]
+        want += [(j, len(near), min(near), max(near))] if near else []
+    assert sorted(tuple(x) for x in got.select("j", "n", "lo", "hi").collect()) == sorted(want)
+
+
+def test_overlapping_ranges_make_no_pairs(spark):
+    """3,000 instants and as many ranges that each hold about a third of them: 3 million pairs."""
+    pts = spark.range(3000).select(F.col("id"), F.timestamp_seconds(F.col("id") * 60).alias("t"))
+    ranges = pts.select(F.col("id").alias("r"), F.col("t").alias("s"), (F.col("t") + F.expr("INTERVAL '1000' MINUTE")).alias("e"))
+    out = range_join(pts, ranges, "t", "s", "e", "inner", per_range={"n": ("count", None), "lo": ("min", "id"), "hi": ("max", "id")})
+    assert {tuple(x) for x in out.select("r", "n", "lo", "hi").collect()} == {(i, min(i + 1000, 2999) - i + 1, i, min(i + 1000, 2999)) for i in range(3000)}
+    assert most_rows(out) <= 100_000
+
+
 @pytest.mark.parametrize("kind", ["date", "int", "mixed"])
 def test_other_axes(spark, monkeypatch, kind):
     monkeypatch.setattr(I, "PER_SLICE", 2)
