@@ -112,7 +112,9 @@ def trailing_quantile(df: DataFrame, keys: Sequence[str], day: ColumnOrName, val
     on the days [t - lo, t - hi]; null where the frame has none.
 
     Three walks: over the frame's counts per coarse range (a table of days times ranges per key, whatever
-    the number of rows), over the fine ranges of those that hold a rank, over the values of those."""
+    the number of rows), over the fine ranges of those that hold a rank, over the values of those. A
+    frame's count is the difference of two running counts; what a walk finds (a few ranges per target) is
+    written, as the next step reads it twice."""
     out = list(keys)
     keys = out or ["__all"]
     width = lo - hi + 1
@@ -123,11 +125,12 @@ def trailing_quantile(df: DataFrame, keys: Sequence[str], day: ColumnOrName, val
     by_range = valued.groupBy(*keys, "__day", "__c").agg(F.sum("__n").alias("__n"))
     ranges = by_range.select(*keys, "__c").distinct()
     grid = join_null_safe(join_null_safe(days.drop("__any"), ranges, keys, "inner"), by_range, [*keys, "__day", "__c"], "left")
-    frame = Window.partitionBy(*keys, "__c").orderBy("__day").rangeBetween(-lo, -hi)
-    held = grid.select(*keys, F.col("__day").alias("__t"), "__c", F.sum("__n").over(frame).alias("__n")).where(F.col("__n") > 0)
+    days_of = Window.partitionBy(*keys, "__c").orderBy("__day")
+    up_to = lambda back: F.coalesce(F.sum("__n").over(days_of.rangeBetween(Window.unboundedPreceding, -back)), F.lit(0))
+    held = grid.select(*keys, F.col("__day").alias("__t"), "__c", (up_to(hi) - up_to(lo + 1)).alias("__n")).where(F.col("__n") > 0)
     target = [*keys, "__t"]
     held = held.withColumn("__total", F.sum("__n").over(Window.partitionBy(*target))).withColumn("__w", _wanted("__total", [q]))
-    first = _walk(held, target, "__c")
+    first = written(_walk(held, target, "__c"), "first")
 
     def inside(stored: DataFrame, found: DataFrame, on: list[str], also: list[str]) -> DataFrame:
         """Counts of the frames' days in the ranges found, per target, range and ``also``."""
@@ -137,7 +140,7 @@ def trailing_quantile(df: DataFrame, keys: Sequence[str], day: ColumnOrName, val
 
     fine_days = valued.groupBy(*keys, "__day", "__bin", "__c", "__f").agg(F.sum("__n").alias("__n"))
     in_first, in_second = [*target, "__c"], [*target, "__f"]
-    second = _walk(join_null_safe(inside(fine_days, first, ["__c"], ["__f"]), first.select(*in_first, "__total", "__w"), in_first, "inner"), in_first, "__f")
+    second = written(_walk(join_null_safe(inside(fine_days, first, ["__c"], ["__f"]), first.select(*in_first, "__total", "__w"), in_first, "inner"), in_first, "__f"), "second")
     last = _walk(join_null_safe(inside(valued, second, ["__f"], ["__v"]), second.select(*in_second, "__total", "__w"), in_second, "inner"), in_second, "__v")
     found = _interpolated(last, target, "__total", [q]).select(*target, F.col("__q")[0].alias("__q"))
     every = days.select(*keys, F.col("__day").alias("__t"))

@@ -88,3 +88,9 @@ def test_trailing_has_no_window_over_rows(spark):
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows and all("id#" not in line for line in windows)
     assert W.trailing_range_percentile(sessions(spark, 3).where("false"), ["ex"], "d", "v", "t").count() == 0
+
+
+def test_trailing_walks_run_once(spark):
+    """What a walk finds is read twice by the next; only the last walk is left in the plan."""
+    plan = W.trailing_range_percentile(sessions(spark, 3), ["ex"], "d", "v", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Window [" in line for line in plan.splitlines()) == 1
