@@ -20,7 +20,7 @@ from repsmith.plans import driver_tables as D
 from repsmith.plans import ingest, marts, staging
 from repsmith.sources import landing, tables
 from repsmith.operators.incremental import KeyedTable
-from repsmith.session import checkpoint_dir
+from repsmith.session import checkpoint_dir, written
 from repsmith.streaming import changefeed
 
 QUERIES: dict = {}
@@ -334,8 +334,9 @@ FROM ({ORACLES['stg_workout_sets']}) s JOIN ({ORACLES['stg_workouts']}) w USING
 LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = s.exercise_template_id AND p.p_size <= {D.MAPPED_MAX_SIZE}
 WHERE NOT w.is_deleted""")
 def q_fct_set_live_documents(spark, sf_dir):
-    """The set fact over staged documents, with deleted workouts among them."""
-    bronze = workout_versions(spark, sf_dir)
+    """The set fact over staged documents, with deleted workouts among them. Both staging models start from
+    the latest versions: these are found once, of versions made and hashed once, and written."""
+    bronze = written(staging.latest(written(workout_versions(spark, sf_dir), "versions")), "latest")
     w = staging.stg_workouts(bronze, feed_versions(spark, sf_dir), D.era_seed(spark), D.LOCAL_TZ)
     x = D.crosswalk(spark, sf_dir)
     dim = marts.dim_exercise(staging.stg_exercise_templates(template_documents(spark, sf_dir)), x.withColumn("exercise_template_id", F.col("exercise_template_id").cast("string")))

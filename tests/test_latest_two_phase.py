@@ -76,3 +76,10 @@ def test_membership_is_never_falsely_negative(spark, monkeypatch):
     assert not any(r.m for r in M.with_membership(df, "k", wanted.where("false"), "w", "m").collect())
     monkeypatch.setattr(M, "MAP_BITS", 1 << 16)
     assert all(r.m for r in M.with_membership(df.where("id % 7 = 0"), "k", wanted, "w", "m").collect())
+
+
+def test_live_documents_make_the_versions_once(spark):
+    """Workouts and sets start from the same latest versions; what is left of the events in the plan is the feed."""
+    import __spark_entry__ as E
+    plan = E.queries()["fct_set_live_documents"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [event_id" in line for line in plan.splitlines()) <= 3
