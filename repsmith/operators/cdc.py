@@ -121,8 +121,9 @@ def changed_only(incoming: DataFrame, stored: DataFrame | None, id_col: str = "r
         return incoming
     latest = stored.where(F.col(id_col).isNotNull())
     if stored_order is not None:
-        latest = latest_by_key(latest.select(id_col, hash_col, *[as_col(o).alias(f"__so{i}") for i, o in enumerate(stored_order)]),
-                               id_col, [F.col(f"__so{i}") for i in range(len(stored_order))])
+        # An id, a hash and what orders them: no documents, so one pass carries them along.
+        latest = _latest_one_pass(latest.select(id_col, hash_col, *[as_col(o).alias(f"__so{i}") for i, o in enumerate(stored_order)]),
+                                  [id_col], [F.col(f"__so{i}") for i in range(len(stored_order))], False)
     latest = latest.select(id_col, hash_col)
     return incoming.join(latest, [id_col, hash_col], "left_anti")
 

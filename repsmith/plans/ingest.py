@@ -25,10 +25,11 @@ def identify(records: DataFrame, record_col: str = "record") -> DataFrame:
 
 
 def snapshot_to_land(records: DataFrame, stored_bronze: DataFrame | None,
-                     seq: Sequence[str] = ("page", "pos")) -> DataFrame:
+                     seq: Sequence[str] = ("page", "pos"), identified: bool = False) -> DataFrame:
     """Static snapshot ingest (C9): dedupe within the pass (last occurrence by ``seq``
-    wins), then keep only new or changed records versus the latest stored version."""
-    r = dedupe_last_wins(identify(records), "record_id", [F.col(c) for c in seq])
+    wins), then keep only new or changed records versus the latest stored version. ``identified``:
+    the records are those of :func:`identify` already."""
+    r = dedupe_last_wins(records if identified else identify(records), "record_id", [F.col(c) for c in seq])
     if stored_bronze is None:
         return r
     return changed_only(r, _versions(stored_bronze), stored_order=[F.col(c) for c in ("ingested_at", "own_time", "record_hash")])
@@ -48,13 +49,23 @@ def backfill_check(records: DataFrame, source_count: DataFrame) -> DataFrame:
         .withColumn("counts_match", F.col("landed") == F.col("source_count"))
 
 
+def feed_entities(feed_records: DataFrame, seq: Sequence[str] = ("page", "pos")) -> DataFrame:
+    """The entities that ``updated`` events wrap, one per event, identified, with their ``own_time``."""
+    upd = feed_records.where(json_text("record", "$.type") == F.lit("updated")).select(
+        F.get_json_object("record", "$.workout").alias("record"), *seq)
+    return identify(upd).withColumn("own_time", own_time())
+
+
+def latest_entities(entities: DataFrame, seq: Sequence[str] = ("page", "pos")) -> DataFrame:
+    """Of :func:`feed_entities` the latest per entity: the latest ``updated_at`` wins, then ``seq``."""
+    return dedupe_last_wins(entities, "record_id", [F.col("own_time"), *[F.col(c) for c in seq]]).drop("own_time")
+
+
 def entities_from_feed(feed_records: DataFrame, seq: Sequence[str] = ("page", "pos")) -> DataFrame:
     """Feed -> entity refresh (C7): ``updated`` events wrap the full entity; unwrap it,
     dedupe (the latest ``updated_at`` per entity wins, then ``seq``), and return entity
     records ready to land."""
-    upd = feed_records.where(json_text("record", "$.type") == F.lit("updated")).select(
-        F.get_json_object("record", "$.workout").alias("record"), *seq)
-    return dedupe_last_wins(identify(upd), "record_id", [own_time(), *[F.col(c) for c in seq]])
+    return latest_entities(feed_entities(feed_records, seq), seq)
 
 
 def feed_high_water(feed_records: DataFrame, default: str = "1970-01-01 00:00:00") -> DataFrame:

@@ -27,7 +27,7 @@ from repsmith.session import staged
 from repsmith.sources import landing
 
 STATIC = ("exercise_templates", "routines", "routine_folders")
-SEQ = ("page", "pos")
+SEQ, STAMP = ("page", "pos"), "__stamp"
 SUMMARY = "run_id string, dataset string, mode string, n_records long, expected long, counts_match boolean, high_water string, elapsed_s double"
 
 
@@ -81,37 +81,43 @@ def run(spark: SparkSession, source: Source, base: str, run_id: str, at: Column
     rows = []
 
     def land(records: DataFrame, dataset: str) -> None:
-        landing.land(records, base, dataset, run_id, at)
+        landing.land(records, base, dataset, run_id, at, identified=True)
 
     def done(dataset: str, mode: str, n: int, t0: float, expected: int | None = None, mark: str | None = None) -> None:
         rows.append((run_id, dataset, mode, n, expected, None if expected is None else expected == n, mark, time.perf_counter() - t0))
 
     for dataset in [d for d in STATIC if d in datasets]:
         t0 = time.perf_counter()
-        with staged(ingest.snapshot_to_land(source.fetch(dataset, None), stored(dataset)), "fresh") as fresh:
-            n = fresh.count()
-            if n:
-                land(fresh, dataset)
+        with staged(ingest.identify(source.fetch(dataset, None)), "fetched") as fetched:
+            with staged(ingest.snapshot_to_land(fetched, stored(dataset), identified=True), "fresh") as fresh:
+                n = fresh.count()
+                if n:
+                    land(fresh, dataset)
         done(dataset, "snapshot", n, t0)
     if "workouts" in datasets:
         t0 = time.perf_counter()
         since = high_water(state)
         mode = "full" if full_refresh or since is None else "incremental"
-        with staged(source.fetch("workouts" if mode == "full" else "workout_events", since if mode == "incremental" else None), "fetched") as fetched:
+        # Documents are read once each, where they arrive: what is asked of them is staged beside them.
+        stamp = ("$.updated_at", "$.start_time") if mode == "full" else ("$.workout.updated_at", "$.deleted_at")
+        arrived = source.fetch("workouts" if mode == "full" else "workout_events", since if mode == "incremental" else None)
+        arrived = ingest.identify(arrived).withColumn(STAMP, F.coalesce(*[json_text("record", p) for p in stamp]))
+        with staged(arrived, "fetched") as fetched:
             if mode == "full":
-                whole = dedupe_last_wins(ingest.identify(fetched), "record_id", [F.col(c) for c in SEQ])
+                whole = dedupe_last_wins(fetched.drop(STAMP), "record_id", [F.col(c) for c in SEQ])
                 with staged(whole, "whole") as records:
                     n = records.count()
                     land(records, "workouts")
                 expected = source.count().first()["n"] if source.count else None
-                mark = _mark(fetched, F.coalesce(json_text("record", "$.updated_at"), json_text("record", "$.start_time"))) or "1970-01-01T00:00:00.001000Z"
+                mark = _mark(fetched, F.col(STAMP)) or "1970-01-01T00:00:00.001000Z"
             else:
                 n, expected = fetched.count(), None
                 mark = since
                 if n:
                     land(fetched, "workout_events")
-                    land(ingest.entities_from_feed(fetched), "workouts")
-                    mark = _mark(fetched, F.coalesce(json_text("record", "$.workout.updated_at"), json_text("record", "$.deleted_at"))) or since
+                    with staged(ingest.feed_entities(fetched, SEQ), "entities") as entities:
+                        land(ingest.latest_entities(entities, SEQ), "workouts")
+                    mark = _mark(fetched, F.col(STAMP)) or since
             if mark != since:
                 state.replace_keys(spark.createDataFrame([("workouts", mark, run_id)], "dataset string, high_water string, run_id string"))
         done("workouts" if mode == "full" else "workout_events", mode, n, t0, expected, mark)

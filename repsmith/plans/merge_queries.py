@@ -84,7 +84,7 @@ def q_ingest_runs(spark, sf_dir):
     base = doc._scratch(spark, "ingest")
     events = doc._events(spark, sf_dir)
     early = events.where(F.col("ts") < F.lit(doc.STATE_FROM).cast("timestamp_ntz"))
-    parts = D.load(spark, sf_dir, "part")
+    parts = D.load(spark, sf_dir, "part").select("p_partkey", "p_name").repartition("p_partkey")  # a small file: dealt before its documents are made
 
     def source(edited: bool) -> ingest_run.Source:
         def fetch(dataset, since):

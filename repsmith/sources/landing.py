@@ -36,24 +36,25 @@ DATASETS = {
 
 
 def envelope(records: DataFrame, dataset: str, run_id: str | Column | None = None,
-             ingested_at: Column | None = None, record_col: str = "record") -> DataFrame:
-    """Stamp raw JSON records with the landing envelope (run, endpoint, id, content hash)."""
+             ingested_at: Column | None = None, record_col: str = "record", identified: bool = False) -> DataFrame:
+    """Stamp raw JSON records with the landing envelope (run, endpoint, id, content hash). ``identified``:
+    the records carry ``record_id`` and ``record_hash`` of ``ingest.identify``, which are not made again."""
     ts = ingested_at if ingested_at is not None else F.current_timestamp()
     run = run_id if isinstance(run_id, Column) else (F.lit(run_id) if run_id else run_stamp(ts))
     return records.select(
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("_ingested_at"),
         run.alias("_run_id"),
         F.lit(DATASETS.get(dataset, dataset)).alias("_endpoint"),
-        record_id(record_col).alias("_record_id"),
-        content_hash(record_col).alias("_record_hash"),
+        (F.col("record_id") if identified else record_id(record_col)).alias("_record_id"),
+        (F.col("record_hash") if identified else content_hash(record_col)).alias("_record_hash"),
         F.col(record_col).alias("record"),
         F.to_date(ts).alias("ingest_date"))
 
 
 def land(records: DataFrame, base_path: str, dataset: str, run_id: str | None = None,
-         ingested_at: Column | None = None) -> None:
+         ingested_at: Column | None = None, identified: bool = False) -> None:
     """Append records to ``base_path/dataset/ingest_date=YYYY-MM-DD/`` as JSON lines."""
-    (envelope(records, dataset, run_id, ingested_at)
+    (envelope(records, dataset, run_id, ingested_at, identified=identified)
      .write.mode("append").partitionBy("ingest_date").json(f"{base_path.rstrip('/')}/{dataset}"))
 
 

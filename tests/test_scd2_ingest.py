@@ -147,3 +147,21 @@ def test_paging_stops(spark):
     got = sorted((str(r.list), r.page) for r in ingest_run.read_pages(pages, ["list"]).collect())
     assert got == [("None", 1), ("None", 2), ("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2), ("c", 1), ("d", 1)]
     assert [r.page for r in ingest_run.read_pages(pages.where("list = 'b'").drop("list")).orderBy("page").collect()] == [1, 2]
+
+
+def test_documents_are_hashed_once_each(spark, scratch, monkeypatch):
+    """The identity of a document is a column of the staged records: nothing behind the fetch makes it again."""
+    calls = []
+    real_hash = ingest_run.ingest.content_hash
+    for module in (ingest_run.ingest, L):
+        monkeypatch.setattr(module, "content_hash", lambda r, real=real_hash: calls.append(r) or real(r))
+    feed = [{"type": "updated", "workout": {"id": "w1", "updated_at": f"2024-02-0{i}T00:00:00Z"}} for i in (2, 3, 1)]
+    src, _ = source(spark, [{"id": "w1", "updated_at": "2024-01-01T00:00:00Z"}, {"id": "w1", "updated_at": "2023-01-01T00:00:00Z"}], feed, statics=[{"id": "t1"}], count=1)
+    assert [r[2:4] for r in summary(ingest_run.run(spark, src, scratch, "r1", datasets=["routines", "workouts"]))] == [("snapshot", 1), ("full", 1)]
+    assert len(calls) == 2  # one per fetch
+    assert [r[2:4] for r in summary(ingest_run.run(spark, src, scratch, "r2", datasets=["routines", "workouts"]))] == [("snapshot", 0), ("incremental", 3)]
+    assert len(calls) == 5  # one per fetch, and one of the entities that the feed wraps
+    landed = L.read_landed(spark, scratch, "workouts").where("_run_id = 'r2'").collect()
+    assert [json.loads(r.record)["updated_at"] for r in landed] == ["2024-02-03T00:00:00Z"]
+    plain = L.envelope(spark.createDataFrame([(landed[0].record,)], "record string"), "workouts", "r2").first()
+    assert (landed[0]._record_id, landed[0]._record_hash) == (plain._record_id, plain._record_hash)
