@@ -24,6 +24,9 @@ from repsmith.session import path_exists, remove_tree, staged
 
 BUCKET = "__bucket"
 MARKER = "__marker"
+#: With ``deltas``: the increment a row came with, after how many increments touched buckets are
+#: rewritten, and up to how many replaced keys go to every task (more are joined as Spark sees fit).
+BATCH, REWRITE_EVERY, BROADCAST_KEYS = "__batch", 16, 2_000_000
 
 
 def key_replace(target: DataFrame, delta: DataFrame, keys: Sequence[str] | str,
@@ -65,9 +68,15 @@ class KeyedTable:
 
     Size ``n_buckets`` with :func:`buckets_for` from the expected table size: an increment
     rewrites every bucket one of its changed keys hashes to, so the cost of an increment is
-    (touched buckets) x (bucket size)."""
+    (touched buckets) x (bucket size).
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] | str, n_buckets: int = 64):
+    With ``deltas`` an increment only appends, to the buckets of its keys: the new rows, and a marker row
+    for each replaced key. Reading drops the rows of a key that came before its newest marker. Every
+    REWRITE_EVERY-th increment rewrites the buckets it touches, so what reading has to drop stays small.
+    For increments whose keys are few but hash to all buckets; one write, so a stopped one shows nothing."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] | str, n_buckets: int = 64, deltas: bool = False):
+        self.deltas = deltas
         self.spark, self.path = spark, path
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.n_buckets = n_buckets
@@ -86,16 +95,36 @@ class KeyedTable:
             return False
 
     def read(self) -> DataFrame:
-        return self._raw().where(~F.col(MARKER)).drop(MARKER, BUCKET)
+        return self._current(self._raw())
+
+    def _current(self, raw: DataFrame) -> DataFrame:
+        rows = raw.where(~F.col(MARKER)).drop(MARKER, BUCKET)
+        if not self.deltas:
+            return rows
+        replaced = raw.where(F.col(MARKER) & (F.col(BATCH) > 0)).groupBy(*self.keys).agg(F.max(BATCH).alias("__newest"))
+        n = replaced.count()
+        if not n:
+            return rows.drop(BATCH)
+        replaced = replaced.select(*[F.col(k).alias(f"__r_{k}") for k in self.keys], "__newest")
+        older = rows[BATCH] < replaced["__newest"]
+        for k in self.keys:
+            older = older & rows[k].eqNullSafe(replaced[f"__r_{k}"])
+        return rows.join(F.broadcast(replaced) if n <= BROADCAST_KEYS else replaced, older, "left_anti").drop(BATCH)
 
     def overwrite(self, df: DataFrame) -> None:
         """Full rebuild (first load or full refresh). One marker row carries the schema, so an
         empty table can be read."""
-        rows = df.withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
-        marker = self.spark.range(1).select(*[(F.lit(True) if f.name == MARKER else F.lit(0 if f.name == BUCKET else None)).cast(f.dataType).alias(f.name)
+        rows = self._tagged(df, 0)
+        marker = self.spark.range(1).select(*[(F.lit(True) if f.name == MARKER else F.lit(0 if f.name in (BUCKET, BATCH) else None)).cast(f.dataType).alias(f.name)
                                               for f in rows.schema.fields])
-        (rows.unionByName(marker)
-           .write.mode("overwrite").partitionBy(BUCKET).parquet(self.path))
+        self._write(rows.unionByName(marker), "overwrite")
+
+    def _tagged(self, df: DataFrame, batch: int) -> DataFrame:
+        rows = df.withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
+        return rows.withColumn(BATCH, F.lit(batch)) if self.deltas else rows
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        rows.write.mode(mode).partitionBy(BUCKET).option("compression", "zstd").parquet(self.path)
 
     def buckets(self, keys: DataFrame) -> list[int]:
         """The buckets that ``keys`` hash to: at most ``n_buckets`` numbers."""
@@ -103,7 +132,7 @@ class KeyedTable:
 
     def read_buckets(self, buckets: Sequence[int]) -> DataFrame:
         """:meth:`read`, but of the given buckets; the other partitions' files are not listed in the scan."""
-        return self._raw().where(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False)).where(~F.col(MARKER)).drop(MARKER, BUCKET)
+        return self._current(self._raw().where(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False)))
 
     def replace_keys(self, delta: DataFrame, changed_keys: DataFrame | None = None) -> None:
         """Delete+insert by key: ``changed_keys`` (plus the delta's own keys) leave, ``delta`` enters.
@@ -119,12 +148,21 @@ class KeyedTable:
         touched = self.buckets(ck)
         if not touched:
             return
+        batch = 0
+        if self.deltas:
+            batch = self._raw().where(MARKER).agg(F.max(BATCH).alias("b")).first()["b"] + 1
+            if batch % REWRITE_EVERY:
+                rows = self._tagged(delta, batch)
+                gone = self._tagged(ck, batch).withColumn(MARKER, F.lit(True))
+                self._write(rows.unionByName(gone, allowMissingColumns=True), "append")
+                return
         kept = join_null_safe(self.read_buckets(touched), ck, self.keys, "left_anti")
-        rows = kept.unionByName(delta).withColumn(MARKER, F.lit(False)).withColumn(BUCKET, self._bucket())
+        rows = self._tagged(kept.unionByName(delta), batch)
         empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in kept.schema.fields]
-        markers = self.spark.range(self.n_buckets).where(F.col("id").isin(*touched)).select(*empty, F.lit(True).alias(MARKER), F.col("id").cast("int").alias(BUCKET))
+        markers = self.spark.range(self.n_buckets).where(F.col("id").isin(*touched)).select(
+            *empty, F.lit(True).alias(MARKER), F.col("id").cast("int").alias(BUCKET), *([F.lit(batch).alias(BATCH)] if self.deltas else []))
         with staged(rows.unionByName(markers), "buckets") as content:
-            (content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (content.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
              .partitionBy(BUCKET).parquet(self.path))
 
 

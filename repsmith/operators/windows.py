@@ -100,6 +100,13 @@ def day_level_features(df: DataFrame, keys: Sequence[str], date_col: str, id_col
     """:func:`gap_since_previous` and :func:`trailing_range_max` in one pass: one per-(key, day)
     aggregate, one window over it (lag + range max), one join back. ``many_keys``: keys with few rows
     a day each (a person's exercise), whose rows are dealt by key once, for aggregate and window."""
+    days = day_level_table(df, keys, date_col, id_col, values, lo, hi, many_keys)
+    return attach_day_level(df, days, keys, date_col, id_col, gap_out)
+
+
+def day_level_table(df: DataFrame, keys: Sequence[str], date_col: str, id_col: str, values: dict[str, str],
+                    lo: int = 90, hi: int = 1, many_keys: bool = False) -> DataFrame:
+    """Per (key, day) what :func:`day_level_features` needs: a table bounded by the keys and the calendar."""
     if hi < 1:
         raise ValueError("the per-day rewrite needs a frame that excludes the current day (hi >= 1)")
     keys = list(keys)
@@ -108,8 +115,12 @@ def day_level_features(df: DataFrame, keys: Sequence[str], date_col: str, id_col
                                               *[F.max(c).alias(f"__d_{c}") for c in values])
     w_lag = Window.partitionBy(*keys).orderBy(date_col)
     w_rng = Window.partitionBy(*keys).orderBy(day_number(date_col)).rangeBetween(-lo, -hi)
-    days = days.select(*keys, date_col, "__first_id", F.lag(date_col).over(w_lag).alias("__prev"),
+    return days.select(*keys, date_col, "__first_id", F.lag(date_col).over(w_lag).alias("__prev"),
                        *[F.max(f"__d_{c}").over(w_rng).alias(o) for c, o in values.items()])
+
+
+def attach_day_level(df: DataFrame, days: DataFrame, keys: Sequence[str], date_col: str, id_col: str, gap_out: str) -> DataFrame:
+    """Apply a :func:`day_level_table` to rows that carry (keys, date, id), which may be some of those it was built from."""
     joined = _join_back(df, days, [*keys, date_col])
     gap = F.when(F.col(id_col) == F.col("__first_id"),
                  F.datediff(F.col(date_col), F.col("__prev"))).otherwise(F.lit(0))

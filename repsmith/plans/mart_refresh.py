@@ -2,32 +2,40 @@
 
 A set of changed workouts travels from table to table, with each table's own key:
 
-    fct_set, fct_workout    the changed workouts
-    sessions                the exercises these contained before or contain now
-    fct_exercise_session    those, and the exercises done on the dates whose gap since the last workout
-                            moves: the changed dates and the next date with a workout after each
-    obt_sets                the changed workouts, and the workouts whose session row came out different
-
-Every table is a ``KeyedTable``, so of each only the buckets of its keys are read and rewritten; the
-gap since the last workout reads three columns of all live workouts. What a step needs to know of the
-old state is written down before the first table changes, so a refresh that stopped halfway is run
-again under its number with the same result; one that ended is not run twice.
+    fct_set, fct_workout, sessions    the changed workouts
+    fct_exercise_session              those; the sessions on an exercise's days whose trailing best came out
+                                      different; and the workouts that are or were the first of a day (of an
+                                      exercise's day) and take its gap, where that came out different
+    obt_sets                          the changed workouts, and the workouts whose session row came out different
+
+What a session row takes from other rows stands in two tables bounded by the calendar, per exercise and
+day and per day: they are made before and after the change, and where they differ is what moved.
+
+Every table is a ``KeyedTable`` by workout to which increments are appended, so a refresh writes what
+changed; the day tables read some columns of the sessions of the touched exercises and of all live
+workouts. What a step needs to know of the old state is written down before the first table changes, so a
+refresh that stopped halfway is run again under its number with the same result; one that ended is not run
+twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repsmith.operators.incremental import BatchLedger, KeyedTable
-from repsmith.operators.joins import join_null_safe
-from repsmith.operators.windows import day_number
+from repsmith.operators.incremental import BROADCAST_KEYS, BatchLedger, KeyedTable
+from repsmith.operators.joins import broadcast_if_bounded, join_null_safe
 from repsmith.plans import marts as M
 from repsmith.session import path_exists, remove_tree, staged
 
 DAY, EXERCISE = "workout_date_local", "canonical_exercise"
+#: Up to this many rows the day table of all sessions goes to every task.
+BROADCAST_DAYS = 600_000
+#: What a refresh writes down until it has ended.
+PENDING = ("exercises", "old-workouts", "old-sessions", "new-workouts", "new-sessions", "wide")
 
 
 class StoredMarts:
@@ -35,24 +43,34 @@ class StoredMarts:
 
     def __init__(self, spark: SparkSession, base: str, entity_cols: Sequence[str] = (), n_buckets: int = 64):
         self.spark, self.base, self.entity = spark, base.rstrip("/"), list(entity_cols)
-        table = lambda name, keys: KeyedTable(spark, f"{self.base}/{name}", keys, n_buckets)
+        table = lambda name: KeyedTable(spark, f"{self.base}/{name}", "workout_id", n_buckets, deltas=True)
         self.by_exercise = [*self.entity, EXERCISE]
-        self.fct_set, self.fct_workout, self.obt_sets = table("fct_set", "workout_id"), table("fct_workout", "workout_id"), table("obt_sets", "workout_id")
-        self.sessions, self.fct_exercise_session = table("sessions", self.by_exercise), table("fct_exercise_session", self.by_exercise)
+        self.fct_set, self.fct_workout, self.obt_sets = table("fct_set"), table("fct_workout"), table("obt_sets")
+        self.sessions, self.fct_exercise_session = table("sessions"), table("fct_exercise_session")
         self.done = BatchLedger(spark, f"{self.base}/refreshes", "marts")
 
-    def build(self, workouts: DataFrame, sets: DataFrame, dim: DataFrame) -> None:
-        """All tables anew, each from the written ones before it."""
-        self.fct_set.overwrite(M.fct_set(sets, workouts, dim, self.entity))
-        self.fct_workout.overwrite(M.fct_workout(workouts, sets, self.entity))
-        self.sessions.overwrite(M.exercise_sessions(self.fct_set.read(), self.entity))
-        live = self.fct_workout.read()
-        self.fct_exercise_session.overwrite(M.fct_exercise_session(self.sessions.read(), live, self.entity))
-        self.obt_sets.overwrite(M.obt_sets(self.fct_set.read(), live, self.fct_exercise_session.read(), self.entity))
-
-    def _own(self, table: KeyedTable, keys: DataFrame) -> DataFrame:
-        """The rows of ``keys``, read from their buckets."""
-        return join_null_safe(table.read_buckets(table.buckets(keys)), keys, table.keys, "left_semi")
+    def build(self, workouts: DataFrame, sets: DataFrame, dim: DataFrame, derive: Callable[..., DataFrame] | None = None) -> None:
+        """All tables anew, each from those before it; ``derive`` as in ``marts.fct_set``. The set fact is kept on
+        the executors' disks meanwhile, dealt by workout: its rollups and the wide table need it so."""
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        facts = M.fct_set(sets, workouts, dim, self.entity, derive).repartition(tasks, "workout_id").persist(StorageLevel.DISK_ONLY)
+        try:
+            self.fct_set.overwrite(facts)
+            self.fct_workout.overwrite(M.fct_workout(workouts, facts, self.entity))
+            self.sessions.overwrite(M.exercise_sessions(facts, self.entity))
+            live, sessions = self.fct_workout.read(), self.sessions.read()
+            if self.entity:
+                self.fct_exercise_session.overwrite(M.fct_exercise_session(sessions, live, self.entity))
+            else:  # the day tables are bounded by the exercises and the calendar
+                with staged(M.session_days(sessions), "days") as days:
+                    self.fct_exercise_session.overwrite(M.session_facts_at(sessions, M.workout_days(live), broadcast_if_bounded(days, BROADCAST_DAYS)))
+            self.obt_sets.overwrite(M.obt_sets(facts, live, self.fct_exercise_session.read(), self.entity))
+        finally:
+            facts.unpersist()
+
+    def _own(self, table: KeyedTable, ids: DataFrame) -> DataFrame:
+        """The rows of the workouts ``ids`` (a written table), read from their buckets."""
+        return join_null_safe(table.read_buckets(table.buckets(ids)), broadcast_if_bounded(ids, BROADCAST_KEYS), table.keys, "left_semi")
 
     def _kept(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` as it was when the step was first reached, also when a stopped refresh is run again."""
@@ -67,43 +85,52 @@ class StoredMarts:
         if self.done.applied(refresh_id):
             return False
         with staged(changed.select("workout_id").distinct(), "changed") as ids:
-            facts = [*self.entity, DAY, EXERCISE]
-            own = lambda df: join_null_safe(df, ids, ["workout_id"], "left_semi")
-            # Old days also of workouts without a set: they are gaps of the next one.
-            before = self._own(self.fct_set, ids).select(*facts).unionByName(
-                self._own(self.fct_workout, ids).select(*self.entity, DAY, F.lit(None).cast("string").alias(EXERCISE)))
-            old = self._kept(f"{refresh_id}-old", before.distinct())
-
-            self.fct_set.replace_keys(M.fct_set(own(sets), own(workouts), dim, self.entity), ids)
-            self.fct_workout.replace_keys(M.fct_workout(own(workouts), own(sets), self.entity), ids)
-
-            now = self._own(self.fct_set, ids)
-            with staged(old.unionByName(now.select(*facts)).unionByName(self._own(self.fct_workout, ids).select(*self.entity, DAY, F.lit(None).cast("string").alias(EXERCISE))).distinct(), "touched") as touched:
-                exercises = touched.where(F.col(EXERCISE).isNotNull()).select(*self.by_exercise).distinct()
-                kept = join_null_safe(self._own(self.sessions, exercises), ids, ["workout_id"], "left_anti")
-                self.sessions.replace_keys(kept.unionByName(M.exercise_sessions(now, self.entity)), exercises)
-
-                live = self.fct_workout.read()
-                days = touched.select(*self.entity, DAY).distinct()
-                moved = days.unionByName(self._next_days(days, live)).distinct()
-                on_days = join_null_safe(live.select("workout_id", *self.entity, DAY), moved, [*self.entity, DAY], "left_semi").select("workout_id")
-                with staged(exercises.unionByName(self._own(self.fct_set, on_days).where(F.col(EXERCISE).isNotNull()).select(*self.by_exercise)).distinct(), "exercises") as affected:
-                    with staged(M.fct_exercise_session(self._own(self.sessions, affected), live, self.entity), "sessions") as fresh:
-                        stored = self._own(self.fct_exercise_session, affected).select(*fresh.columns)
-                        different = fresh.exceptAll(stored).unionByName(stored.exceptAll(fresh)).select("workout_id")
-                        wide = self._kept(f"{refresh_id}-wide", different.unionByName(ids).distinct())
-                        self.fct_exercise_session.replace_keys(fresh, affected)
-            rows = self._own(self.fct_set, wide)
-            of_wide = rows.where(F.col(EXERCISE).isNotNull()).select(*self.by_exercise).distinct()
-            self.obt_sets.replace_keys(M.obt_sets(rows, self._own(self.fct_workout, wide), self._own(self.fct_exercise_session, of_wide), self.entity), wide)
+            few = broadcast_if_bounded(ids, BROADCAST_KEYS)
+            own = lambda df: join_null_safe(df, few, ["workout_id"], "left_semi")
+            with staged(M.fct_set(own(sets), own(workouts), dim, self.entity), "sets") as rows:
+                now = M.exercise_sessions(rows, self.entity)
+                touched = self._own(self.sessions, ids).select(*self.by_exercise).unionByName(now.select(*self.by_exercise))
+                exercises = self._kept(f"{refresh_id}-exercises", touched.distinct())
+                old = self._days(refresh_id, "old", exercises)
+                self.fct_set.replace_keys(rows, ids)
+                self.fct_workout.replace_keys(M.fct_workout(own(workouts), own(sets), self.entity), ids)
+                self.sessions.replace_keys(now, ids)
+            new = self._days(refresh_id, "new", exercises)
+            with staged(self._moved(old, new).unionByName(ids).distinct(), "moved") as moved:
+                mine = self._own(self.sessions, moved)
+                # Exercises that did not move are met again in workouts that did.
+                others = join_null_safe(mine.select(*self.by_exercise).distinct(), exercises, self.by_exercise, "left_anti")
+                with staged(others, "others") as others, staged(M.session_facts_at(mine, new[0], new[1].unionByName(self._session_days(others)), self.entity), "sessions") as fresh:
+                    stored = self._own(self.fct_exercise_session, moved).select(*fresh.columns)
+                    different = fresh.exceptAll(stored).unionByName(stored.exceptAll(fresh)).select("workout_id")
+                    wide = self._kept(f"{refresh_id}-wide", different.unionByName(ids).distinct())
+                    self.fct_exercise_session.replace_keys(join_null_safe(fresh, broadcast_if_bounded(wide, BROADCAST_KEYS), ["workout_id"], "left_semi"), wide)
+            self.obt_sets.replace_keys(M.obt_sets(*[self._own(t, wide) for t in (self.fct_set, self.fct_workout, self.fct_exercise_session)], self.entity), wide)
         self.done.add(refresh_id)
-        for name in ("old", "wide"):
+        for name in PENDING:
             remove_tree(self.spark, f"{self.base}/pending/{refresh_id}-{name}")
         return True
 
-    def _next_days(self, days: DataFrame, live: DataFrame) -> DataFrame:
-        """The first day with a live workout after each of ``days``: a window over days, bounded by the calendar."""
-        every = live.select(*self.entity, DAY).distinct().withColumn("__live", F.lit(True)).unionByName(days.withColumn("__live", F.lit(False)))
-        after = Window.partitionBy(*self.entity).orderBy(day_number(DAY)).rangeBetween(1, Window.unboundedFollowing)
-        nxt = every.withColumn("__next", F.min(F.when(F.col("__live"), F.col(DAY))).over(after))
-        return nxt.where(~F.col("__live") & F.col("__next").isNotNull()).select(*self.entity, F.col("__next").alias(DAY))
+    def _days(self, refresh_id: int, name: str, exercises: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The day tables as they are now: of all live workouts, and of the sessions of ``exercises``."""
+        live = self.fct_workout.read().select("workout_id", *self.entity, DAY)
+        return (self._kept(f"{refresh_id}-{name}-workouts", M.workout_days(live, self.entity)),
+                self._kept(f"{refresh_id}-{name}-sessions", self._session_days(exercises)))
+
+    def _session_days(self, exercises: DataFrame) -> DataFrame:
+        """The day table of the sessions of ``exercises`` (a written table)."""
+        few = broadcast_if_bounded(exercises, BROADCAST_KEYS)
+        return M.session_days(join_null_safe(self.sessions.read(), few, self.by_exercise, "left_semi"), self.entity)
+
+    def _moved(self, old: tuple[DataFrame, DataFrame], new: tuple[DataFrame, DataFrame]) -> DataFrame:
+        """The workouts whose session rows may come out different as the day tables do (workout_id)."""
+        firsts = None
+        for was, now, keys in zip(old, new, ([*self.entity, DAY], [*self.by_exercise, DAY])):
+            columns = [*keys, "__first_id", "__prev"]
+            was, now = was.select(*columns), now.select(*columns)
+            differ = now.subtract(was).unionByName(was.subtract(now)).select(F.col("__first_id").alias("workout_id"))
+            firsts = differ if firsts is None else firsts.unionByName(differ)
+        columns = [*self.by_exercise, DAY, *M.TRAILING.values()]
+        best = new[1].select(*columns).subtract(old[1].select(*columns)).select(*self.by_exercise, DAY)
+        with_best = join_null_safe(self.sessions.read(), broadcast_if_bounded(best, BROADCAST_KEYS), [*self.by_exercise, DAY], "left_semi")
+        return firsts.unionByName(with_best.select("workout_id"))

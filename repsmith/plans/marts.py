@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from repsmith.functions.scalars import has_estimated_load, positional_key, supports_load_metrics
 from repsmith.operators.joins import zero_filled
 from repsmith.operators.rollups import exercise_session_rollup, workout_rollup
-from repsmith.operators.windows import (attach_gap, day_level_features, day_number, gap_since_previous, pr_flag,
+from repsmith.operators.windows import (attach_day_level, attach_gap, day_level_features, day_level_table, day_number, gap_since_previous, pr_flag,
                                        previous_day_table, relative_performance, trailing_range_max)
 
 FCT_SET_COLUMNS = [
@@ -131,6 +131,26 @@ def rest_intervals(sessions: DataFrame, live_workouts: DataFrame, entity_cols: S
                               "workout_id", "days_since_last_exposure")
 
 
+TRAILING = {"working_e1rm_lb": "trailing_90d_max_e1rm_lb", "working_e1rm_kg": "trailing_90d_max_e1rm_kg"}
+
+
+def session_days(sessions: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """Per exercise and day what the session fact takes from other sessions."""
+    return day_level_table(sessions, [*entity_cols, "canonical_exercise"], "workout_date_local", "workout_id", TRAILING, many_keys=bool(entity_cols))
+
+
+def workout_days(live_workouts: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """Per day what the session fact takes from other workouts."""
+    return previous_day_table(live_workouts, list(entity_cols), "workout_date_local", "workout_id")
+
+
+def session_facts_at(sessions: DataFrame, of_workouts: DataFrame, of_sessions: DataFrame, entity_cols: Sequence[str] = ()) -> DataFrame:
+    """The rows of :func:`fct_exercise_session` of some sessions, from :func:`workout_days` and :func:`session_days` of all."""
+    s = attach_gap(sessions, of_workouts, list(entity_cols), "workout_date_local", "workout_id", "days_since_last_workout")
+    return _session_facts(attach_day_level(s, of_sessions, [*entity_cols, "canonical_exercise"], "workout_date_local", "workout_id",
+                                           "days_since_last_exposure"), entity_cols)
+
+
 def session_features(sessions: DataFrame, live_workouts: DataFrame, entity_cols: Sequence[str] = (),
                      partition_extra: Sequence[str] = (), lo: int = 90, hi: int = 1) -> DataFrame:
     """Rest intervals and trailing 90-day bests together: one per-(exercise, day) table
@@ -138,7 +158,7 @@ def session_features(sessions: DataFrame, live_workouts: DataFrame, entity_cols:
     back once. With ``partition_extra`` the baseline partition differs from the gap
     partition, so the two are computed separately."""
     keys = [*entity_cols, "canonical_exercise"]
-    vals = {"working_e1rm_lb": "trailing_90d_max_e1rm_lb", "working_e1rm_kg": "trailing_90d_max_e1rm_kg"}
+    vals = TRAILING
     s = with_workout_gap(sessions, live_workouts, entity_cols)
     if partition_extra:
         r = gap_since_previous(s, keys, "workout_date_local", "workout_id", "days_since_last_exposure")
@@ -155,7 +175,10 @@ def fct_exercise_session(sessions: DataFrame, live_workouts: DataFrame, entity_c
 
     ``partition_extra`` (e.g. ``["training_era"]``) keeps baselines from crossing eras.
     """
-    t = session_features(sessions, live_workouts, entity_cols, partition_extra, lo, hi)
+    return _session_facts(session_features(sessions, live_workouts, entity_cols, partition_extra, lo, hi), entity_cols, require_value)
+
+
+def _session_facts(t: DataFrame, entity_cols: Sequence[str] = (), require_value: bool = False) -> DataFrame:
     return t.select(
         "workout_id", *entity_cols, "workout_date_local", "workout_hour_local", "training_era",
         "canonical_exercise", "movement_pattern", "working_e1rm_lb", "working_e1rm_kg",

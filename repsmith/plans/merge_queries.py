@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from repsmith.functions import scalars as X
 from repsmith.operators import quality as Q
 from repsmith.operators.cdc import latest_by_key
 from repsmith.operators.joins import range_join
@@ -146,11 +147,11 @@ def q_recent_prs_by_era(spark, sf_dir):
 
 
 def _as_first_stored(spark, sf_dir):
-    """Staging frames with the warm-ups of some workouts missing and others deleted."""
+    """Staging frames, and as first stored: the workouts, some of them deleted, and the rows of the sets, the warm-ups of some workouts missing."""
     st = D.staging(spark, sf_dir)
     w = st["workouts"].withColumn("is_deleted", F.col("workout_id") % 211 == 5)
-    s = st["sets"].where(~((F.col("workout_id") % 173 == 1) & F.col("is_warmup")))
-    return st, w, s
+    rows = D.set_rows(spark, sf_dir).where(~((F.col("workout_id") % 173 == 1) & X.set_flags(D.set_type_of())["is_warmup"]))
+    return st, w, rows
 
 
 @query("mart_refresh", "")  # its SQL is that of obt_wide, see oracle_sql
@@ -159,10 +160,10 @@ def q_mart_refresh(spark, sf_dir):
     the sets and the workouts back: the wide table equals that of the whole data."""
     from repsmith.plans import marts as M
     from repsmith.plans.mart_refresh import StoredMarts
-    st, w, s = _as_first_stored(spark, sf_dir)
+    st, w, rows = _as_first_stored(spark, sf_dir)
     dim = M.dim_exercise(st["templates"], st["crosswalk"])
     stored = StoredMarts(spark, doc._scratch(spark, "marts"), n_buckets=16)
-    stored.build(w, s, dim)
+    stored.build(w, rows, dim, D.set_columns)
     ids = st["workouts"].select("workout_id")
     stored.refresh(w, st["sets"], dim, ids.where(F.col("workout_id") % 173 == 1), 1)
     stored.refresh(st["workouts"], st["sets"], dim, ids.where(F.col("workout_id") % 211 == 5), 2)
