@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from repsmith.llm import id_mixing
 from repsmith.llm._common import persisted, scratch
 from repsmith.llm._text import slices
-from repsmith.llm._tokens import encoder
+from repsmith.llm._tokens import kept_encoder
 
 SEGMENT_BLOCKS = 4096
 SEGMENT_IDS = SEGMENT_BLOCKS * id_mixing.BLOCK_IDS
 #: Fixed by the format.
-MAGIC, VERSION, END = b"IDSEG", 1, b"\0"
+MAGIC, VERSION, END = b"IDSEG", 2, b"\0"
 HEADER = struct.Struct("<5sBBBIQQIIII")  # magic, version, bits, -, part, first id and first document in the part, documents, blocks, block ids, packed index
 ENTRY = np.dtype([("doc", "<i8"), ("known", "u1"), ("more", "u1"), ("ids", "<u8")])
 BLOCK = np.dtype([("ids", "<u4"), ("words", "<u4"), ("payload_crc", "<u4"), ("ids_crc", "<u4")])
@@ -105,10 +105,10 @@ def read_block(raw: bytes, block: int) -> np.ndarray:
     return segment_ids(parse_segment(raw), [block])[0]
 
 
-def _writer(tokenizer: str, end_id: int):
+def _writer(run_id: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode = encoder(tokenizer, end_id)
+        encode = kept_encoder(run_id, tokenizer, end_id)
         part = TaskContext.get().partitionId()
         ids: list[np.ndarray] = []
         docs: list[np.ndarray] = []
@@ -153,7 +153,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: s
     so a frequent id is spread); null text: the end id alone. Other columns are ignored."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("_tie", F.xxhash64("text"))
     ordered = plain.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").drop("_tie")
-    segments = ordered.mapInArrow(_writer(tokenizer, end_id), "segment binary")
+    segments = ordered.mapInArrow(_writer(path, tokenizer, end_id), "segment binary")
     segments.select(F.col("segment").cast("string").alias("value")).write.option("lineSep", END.decode()).option("maxRecordsPerFile", 1).text(path)
 
 
